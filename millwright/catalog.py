@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from millwright import constants as K
+from millwright.functions.columns import first_mode
 from millwright.operators import fleet_queries as Q
+from millwright.operators import modelling as M
+from millwright.operators import quality as B
 from millwright.operators.modelling import FleetTables
 from millwright.sources import lineitem_fleet as source
+from millwright.sources import schemas as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,4 +49,100 @@ FLEET_QUERIES: dict[str, Query] = {
     "q12_failure_cost_repeated": _tables(Q.failure_cost, repeated=True),
 }
 
-QUERIES: dict[str, Query] = {**FLEET_QUERIES}
+
+
+def _fleet(make: Callable[..., DataFrame], read=source.observations, **options) -> Query:
+    """A query over the wide observations."""
+    return lambda spark, folder: make(read(spark, folder), **options)
+
+
+def _feed(make: Callable[..., DataFrame], *args) -> Query:
+    """A query over the feed as delivered, copies included."""
+    return lambda spark, folder: make(source.delivered_feed(spark, folder), *args)
+
+
+def _table(name: str, make: Callable[..., DataFrame], *args) -> Query:
+    """A query over one delivered table."""
+    return lambda spark, folder: make(spark.read.parquet(f"{folder}/{name}.parquet"), *args)
+
+
+EVENT_RULES = [S.Rule("value is positive", "value > 0"), S.Rule("event_type is known", "event_type IN ('click', 'view')"),
+               S.Rule("user is set", "user_id IS NOT NULL"), S.Rule("value below 100", "value < 100")]
+LABEL_RULES = [S.Rule("quality is binary", "quality IN (0, 1)"), S.Rule("toxic is binary", "toxic IN (0, 1)"),
+               S.Rule("quality is set", "quality = 1")]
+SOURCE_KEYS = [
+    S.ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    S.ForeignKey("lineitem", "l_partkey", "part", "p_partkey"),
+    S.ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    S.ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+    S.ForeignKey("customer", "c_nationkey", "nation", "n_nationkey"),
+    S.ForeignKey("labels", "doc_id", "documents", "doc_id"),
+]
+
+
+def _text_fields(clean: DataFrame) -> DataFrame:
+    """Fields as a text file delivers them."""
+    return clean.select(*[F.col(name).cast("string").alias(name) for name in [*K.SENSORS, "product_id"]])
+
+
+def _source_keys(spark: SparkSession, folder: str) -> DataFrame:
+    names = {key.child for key in SOURCE_KEYS} | {key.parent for key in SOURCE_KEYS}
+    tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
+    return B.foreign_key_report(tables, SOURCE_KEYS)
+
+
+def _wide(df: DataFrame) -> DataFrame:
+    return df.drop("reading_id")
+
+
+def _with_machines(t: FleetTables) -> DataFrame:
+    counts = t.machines.groupBy("type_code").agg(F.count(F.lit(1)).alias("n_machines"))
+    return t.machine_type.join(counts, "type_code")
+
+
+def _with_events(t: FleetTables) -> DataFrame:
+    counts = t.melted.groupBy("failure_mode_code").agg(F.count(F.lit(1)).alias("n"))
+    return t.failure_mode.join(counts, "failure_mode_code", "left").select(
+        "failure_mode_code", "description", F.coalesce("n", F.lit(0)).alias("n_events"))
+
+
+QUALITY_QUERIES: dict[str, Query] = {
+    "a01_raw_scan": _fleet(source.to_raw),
+    "b01_drop_copies": lambda s, d: B.drop_copies(source.delivered_feed(s, d)),
+    "b01_copy_report": _feed(B.copy_report),
+    "b02_rename": lambda s, d: M.rename_raw(source.to_raw(source.observations(s, d))),
+    "b03_coercion": lambda s, d: B.coercion_report(
+        _text_fields(source.observations(s, d)), dict.fromkeys([*K.SENSORS, "product_id"], "double")),
+    "b04_key_violations": _feed(B.key_violations, B.ID_COLUMNS),
+    "b05_domain_rules": _feed(B.rule_report, S.DOMAIN_RULES),
+    "b05_label_rules": _table("labels", B.rule_report, LABEL_RULES),
+    "b06_range_rules": _feed(B.rule_report, S.RANGE_RULES),
+    "b06_event_rules": _table("events", B.rule_report, EVENT_RULES),
+    "b07_foreign_keys": _tables(lambda t: B.foreign_key_report(t.named(), S.FOREIGN_KEYS), repeated=True),
+    "b07_source_keys": _source_keys,
+    "b09_label_consistency": _fleet(B.label_consistency),
+    "b09_inconsistent_rows": _fleet(B.inconsistent_rows),
+    "b10_missing_profile": _table("events", B.missing_profile),
+    "b10_missing_profile_fleet": lambda s, d: B.missing_profile(_wide(source.observations(s, d))),
+    "b11_duplicate_profile": _feed(B.duplicate_profile),
+    "b12_id_profile": _table("events", B.id_profile, ["event_id", "user_id"]),
+    "b12_id_profile_fleet": _feed(B.id_profile),
+    "b13_prefix_agreement": _fleet(B.prefix_agreement),
+    "b14_binary_values": _fleet(B.binary_values),
+    "b15_leakage_agreement": _fleet(B.leakage_agreement),
+}
+
+MODEL_QUERIES: dict[str, Query] = {
+    "c01_machine_type": _tables(_with_machines),
+    "c02_machines": _fleet(M.machines),
+    "c02_machines_repeated": _fleet(M.machines, read=source.repeated_observations),
+    "c03_sensor_readings": _fleet(M.sensor_readings, read=source.repeated_observations),
+    "c04_failure_mode": _tables(_with_events),
+    "c05_melt_failures": lambda s, d: M.melt_failures(source.observations(s, d)).drop("mode_order"),
+    "c06_failure_events": _fleet(M.failure_events, read=source.repeated_observations),
+    "c07_maintenance_events": _tables(lambda t: t.maintenance_events),
+    "c08_inverse_one_hot": lambda s, d: M.feature_table_to_raw(M.feature_table(source.observations(s, d))),
+    "c09_failure_label": lambda s, d: source.observations(s, d).select("machine_id", first_mode().alias("failure_mode")),
+}
+
+QUERIES: dict[str, Query] = {**QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES}
