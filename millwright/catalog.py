@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from millwright import constants as K
 from millwright.functions.columns import first_mode
+from millwright.operators import exploration as E
+from millwright.operators import features as X
 from millwright.operators import fleet_queries as Q
 from millwright.operators import modelling as M
 from millwright.operators import quality as B
@@ -145,4 +147,102 @@ MODEL_QUERIES: dict[str, Query] = {
     "c09_failure_label": lambda s, d: source.observations(s, d).select("machine_id", first_mode().alias("failure_mode")),
 }
 
-QUERIES: dict[str, Query] = {**QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES}
+
+
+def _engineered(spark: SparkSession, folder: str) -> DataFrame:
+    return X.engineer(source.observations(spark, folder))
+
+
+def _described(spark: SparkSession, folder: str) -> DataFrame:
+    """Engineered features with the in-sample grouped z."""
+    return E.with_grouped_z(_engineered(spark, folder))
+
+
+def _rounded(df: DataFrame, columns, digits: int = 6) -> DataFrame:
+    """Doubles rounded where two engines may differ in the last bits."""
+    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})
+
+
+def _feature_column(name: str, *others: str) -> Query:
+    doubles = [name] if name in K.ENGINEERED else []
+    return lambda s, d: _rounded(X.encode(_engineered(s, d)).select("machine_id", *others, name), doubles)
+
+
+def _split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return X.split_fleet(source.observations(spark, folder))
+
+
+def _group_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    train = _split_rows(spark, folder).where("split = 'train'")
+    stats = X.group_statistics(train, "air_temperature_k", "type_code")
+    return _rounded(stats.select(F.coalesce("type_code", F.lit("ALL")).alias("type_code"), "mean", "std"), ["mean", "std"])
+
+
+def _aligned(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(X.align(X.prepared(source.observations(spark, folder))), K.FEATURE_NAMES[:10])
+
+
+def _matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(X.feature_matrix(source.observations(spark, folder)), K.NUMERIC_FEATURES)
+
+
+FEATURE_QUERIES: dict[str, Query] = {
+    "f01_select_inputs": _fleet(X.select_inputs),
+    "f02_stratified_split": lambda s, d: _split_rows(s, d).select("machine_id", "machine_failure", "split"),
+    "f02_split_counts": lambda s, d: _split_rows(s, d).groupBy("split", "machine_failure").agg(F.count(F.lit(1)).alias("n")),
+    "f03_mode_split": lambda s, d: X.split_by_mode(source.observations(s, d)).select("machine_id", "failure_mode", "split"),
+    "f04_temp_diff": _feature_column("temp_diff_K"),
+    "f05_power": _feature_column("power_W"),
+    "f06_torque_x_toolwear": _feature_column("torque_x_toolwear"),
+    "f07_speed_torque_ratio": _feature_column("speed_torque_ratio"),
+    "f08_wear_bucket": _feature_column("tool_wear_bucket", "tool_wear_min"),
+    "f09_wear_quartile_label": lambda s, d: X.wear_quartile_label(source.observations(s, d)).select(
+        "machine_id", "tool_wear_min", "tool_wear_bucket"),
+    "f10_grouped_z": lambda s, d: _rounded(X.prepared(source.observations(s, d)).select(
+        "machine_id", "split", K.GROUPED_Z), [K.GROUPED_Z]),
+    "f10_group_statistics": _group_statistics,
+    "f11_in_sample_z": lambda s, d: _rounded(_described(s, d).select("machine_id", K.GROUPED_Z), [K.GROUPED_Z]),
+    "f12_standardised": lambda s, d: _matrix(s, d).select("machine_id", "split", *K.NUMERIC_FEATURES),
+    "f13_one_hot": lambda s, d: X.encode(_engineered(s, d)).select("machine_id", "type_H", "type_L", "type_M"),
+    "f14_wear_ordinal": _feature_column("tool_wear_ordinal"),
+    "f15_feature_matrix": _matrix,
+    "f16_feature_table": lambda s, d: _rounded(M.feature_table(source.observations(s, d)), ["temp_diff_k", "mechanical_power_w"]),
+    "f17_type_dummies": lambda s, d: X.encode(_engineered(s, d)).groupBy("type_code").agg(
+        *[F.sum(f"type_{t}").alias(f"type_{t}") for t in K.TYPES]),
+    "f18_aligned": _aligned,
+    "f19_display_names": lambda s, d: _rounded(X.feature_means(_aligned(s, d), K.FEATURE_NAMES), ["mean_value"], 4),
+    "f20_normal_training_rows": lambda s, d: X.normal_training_rows(_split_rows(s, d)).select("machine_id"),
+    "f21_seeded_sample": lambda s, d: X.seeded_sample(source.observations(s, d)).select("machine_id", "machine_failure"),
+}
+
+EXPLORATION_QUERIES: dict[str, Query] = {
+    "e01_describe": _fleet(E.describe, features=K.SENSORS),
+    "e01_describe_features": lambda s, d: E.describe(_described(s, d), E.CANDIDATES),
+    "e02_univariate": _fleet(E.univariate),
+    "e03_iqr_outliers": _fleet(E.iqr_outliers),
+    "e04_histogram": _fleet(E.sensor_histogram),
+    "e05_frequencies": _fleet(E.frequencies),
+    "e06_class_balance": _fleet(E.class_balance),
+    "e07_mode_summary": _fleet(E.mode_summary),
+    "e08_five_numbers": _fleet(E.five_numbers, features=K.SENSORS, flags=[*K.MODES, "machine_failure"]),
+    "e08_five_numbers_features": lambda s, d: E.five_numbers(
+        _described(s, d), [*K.ENGINEERED, K.GROUPED_Z], ["machine_failure"]),
+    "e08_bucket_by_class": lambda s, d: E.bucket_by_class(_engineered(s, d)),
+    "e09_mann_whitney": lambda s, d: _rounded(E.mann_whitney(source.observations(s, d), K.SENSORS), ["p_value"], 9),
+    "e09_mann_whitney_features": lambda s, d: _rounded(
+        E.mann_whitney(_described(s, d), E.CANDIDATES), ["median_normal", "median_failure"]).withColumn(
+        "p_value", F.round("p_value", 9)),
+    "e10_crosstab": _fleet(E.crosstab),
+    "e11_chi_square": _fleet(E.chi_square),
+    "e12_correlations": _fleet(E.correlations, features=K.SENSORS),
+    "e12_correlations_features": lambda s, d: E.correlations(_described(s, d), E.CANDIDATES),
+    "e13_redundant_pairs": lambda s, d: E.redundant_pairs(_described(s, d), E.CANDIDATES),
+    "e14_cohens_d": lambda s, d: E.cohens_d(_described(s, d), E.CANDIDATES),
+    "e15_rank_features": lambda s, d: _rounded(E.rank_features(_described(s, d), E.CANDIDATES), ["p_value"], 9),
+    "e16_scatter_speed_torque": _fleet(E.scatter_bins, x="rotational_speed_rpm", y="torque_nm"),
+    "e16_scatter_air_process": _fleet(E.scatter_bins, x="air_temperature_k", y="process_temperature_k"),
+}
+
+QUERIES: dict[str, Query] = {
+    **QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES, **FEATURE_QUERIES, **EXPLORATION_QUERIES,
+}

@@ -128,8 +128,11 @@ def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str],
     )
     coarse = F.filter(F.col("_cuts"), lambda _, i: i % VALUE_CUTS == VALUE_CUTS - 1)
     cuts = cuts.withColumn("_coarse", coarse)
-    # One row per group, and the caller's groups are features or nothing at all.
-    located = df.join(F.broadcast(cuts), by) if by else df.join(F.broadcast(cuts))
+    if by:
+        located = df.join(F.broadcast(cuts), by)  # one row per group: a handful of features
+    else:
+        both = cuts.select(F.struct("_cuts", "_coarse")).scalar()
+        located = df.withColumn("_both", both).select("*", "_both._cuts", "_both._coarse").drop("_both")
     first = F.size(F.filter(F.col("_coarse"), lambda c: c < F.col(value)))
     located = located.withColumn("_first", first)
     second = F.size(F.filter(F.slice("_cuts", F.col("_first") * VALUE_CUTS + 1, VALUE_CUTS - 1),

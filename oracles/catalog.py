@@ -1,5 +1,5 @@
 """All statements by query name."""
 
-from oracles import fleet_queries, quality
+from oracles import exploration, features, fleet_queries, quality
 
-STATEMENTS: dict[str, str] = {**quality.SQL, **fleet_queries.SQL}
+STATEMENTS: dict[str, str] = {**quality.SQL, **fleet_queries.SQL, **features.SQL, **exploration.SQL}
