@@ -3,21 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
 from millwright import constants as K
+from millwright.functions import columns as C
 from millwright.functions.columns import first_mode
+from millwright.operators import drift as J
+from millwright.operators import evaluation as I
 from millwright.operators import exploration as E
 from millwright.operators import features as X
 from millwright.operators import fleet_queries as Q
 from millwright.operators import modelling as M
 from millwright.operators import quality as B
+from millwright.operators import retrieval as L
+from millwright.operators import scoring as H
 from millwright.operators.modelling import FleetTables
 from millwright.sources import lineitem_fleet as source
+from millwright.session import scratch_path, stage
+from millwright.sources import readers, writers
 from millwright.sources import schemas as S
+from millwright.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,6 +252,241 @@ EXPLORATION_QUERIES: dict[str, Query] = {
     "e16_scatter_air_process": _fleet(E.scatter_bins, x="air_temperature_k", y="process_temperature_k"),
 }
 
+
+def _status(spark: SparkSession, folder: str) -> DataFrame:
+    return H.fleet_status(source.observations(spark, folder))
+
+
+def _scored(spark: SparkSession, folder: str, label: str = "machine_failure") -> DataFrame:
+    """(score, label) rows of the rule score."""
+    clean = source.observations(spark, folder)
+    return clean.select(H.rule_probability(clean).alias("score"), F.col(label).alias("label"))
+
+
+def _points(make: Callable[[DataFrame], DataFrame], label: str = "machine_failure") -> Query:
+    """A measure of the threshold curve, its doubles rounded but for the threshold."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        result = make(I.threshold_points(_scored(spark, folder, label)))
+        return _rounded(result, [c for c in result.columns if c != "threshold"], 9)
+    return run
+
+
+def _scores(make: Callable[..., DataFrame], *rounded: str) -> Query:
+    return lambda s, d: _rounded(make(_scored(s, d)), rounded, 9)
+
+
+def _flat_sink(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "flat")
+    writers.write_flat(source.observations(spark, folder), path)
+    return spark.read.parquet(path).select(*K.RAW_TO_CLEAN.values())
+
+
+def _feature_sink(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "features")
+    writers.write_features(X.feature_matrix(source.observations(spark, folder)), path, X.FEATURE_COLUMNS)
+    stored = readers.read_feature_table(spark, path)
+    return stored.groupBy("split", "machine_failure").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("n_features"))
+
+
+def _table_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch_path(spark, "tables")
+    writers.write_tables(FleetTables.from_observations(source.repeated_observations(spark, folder)).named(), place)
+    stored = FleetTables.load(spark, place).named()
+    counts = [t.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name, t in stored.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch_path(spark, "scores")
+    scored, rejected = H.score_raw(source.to_raw(source.observations(spark, folder)))
+    writers.write_scores(scored, rejected, place)
+    stored = spark.read.option("header", True).csv(f"{place}/scored")
+    return stored.select(
+        F.col("UDI").cast("long").alias("machine_id"),
+        F.round(F.col("failure_probability").cast("double"), 9).alias("failure_probability"),
+        F.col("predicted_failure").cast("int").alias("predicted_failure"))
+
+
+def _feature_table_load(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "overview")
+    M.feature_table(source.observations(spark, folder)).write.parquet(path)
+    return readers.read_feature_table(spark, path).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("mechanical_power_w"), 4).alias("mean_power"),
+        F.sum("machine_failure").alias("failures"))
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.read_documents(spark, f"{folder}/documents.parquet")
+
+
+def _batch_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scored, _ = H.score_raw(source.to_raw(source.observations(spark, folder)))
+    return scored.select("UDI", "Type", "`Torque [Nm]`", "`Tool wear [min]`", "failure_probability", "predicted_failure")
+
+
+def _anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule score standing in for the anomaly score, which needs a fitted model."""
+    clean = source.observations(spark, folder)
+    return H.flag_anomalies(clean.withColumn("anomaly_score", H.rule_probability(clean)))
+
+
+def _anomaly_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _anomalies(spark, folder).withColumn("mlp_probability", F.col("anomaly_score"))
+    return _rounded(H.anomaly_kpis(scored), ["average_probability_pct"])
+
+
+def _telemetry_high_risk(spark: SparkSession, folder: str) -> DataFrame:
+    status = _status(spark, folder)
+    return H.lookup_telemetry(status, status.where(F.col("status") == K.HIGH_RISK))
+
+
+def _diagnoses(spark: SparkSession, folder: str) -> DataFrame:
+    return H.diagnose(_engineered(spark, folder))
+
+
+def _rule_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    clean = stage(_split_rows(spark, folder), "split")
+    scored = clean.select("split", H.rule_probability(clean).alias("score"), F.col("machine_failure").alias("label"))
+    rows = [I.metrics_row(scored.where(F.col("split") == part), "rule score", part) for part in ("train", "val", "test")]
+    measures = ["precision", "recall", "f1", "pr_auc", "pr_auc_trapezoid", "roc_auc", "false_negative_rate"]
+    return _rounded(I.compare_models(rows), measures, 9)
+
+
+def _predicted(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder).withColumn("prediction", C.at_least("score", K.DECISION_THRESHOLD))
+
+
+def _report(df: DataFrame) -> DataFrame:
+    return _rounded(I.classification_report(df), ["precision", "recall", "f1"], 9)
+
+
+def _document_labels(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return labels.select(F.col("quality").alias("label"), (1 - F.col("toxic")).alias("prediction"))
+
+
+def _drift(spark: SparkSession, folder: str) -> DataFrame:
+    ready = stage(X.prepared(source.observations(spark, folder)), "prepared")
+    return _rounded(_rounded(J.ks_drift(ready, X.FEATURE_COLUMNS, "split", "train", "test"), ["statistic"], 9), ["p_value"])
+
+
+def _attributions(spark: SparkSession, folder: str) -> DataFrame:
+    parts = stage(_split_rows(spark, folder), "split")
+    return J.attributions(parts, J.reference_means(parts.where("split = 'train'")))
+
+
+def _global_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    parts = stage(_split_rows(spark, folder), "split")
+    local = J.attributions(X.seeded_sample(parts), J.reference_means(parts.where("split = 'train'")))
+    return _rounded(J.global_attribution(local), ["mean_abs_contribution"], 9)
+
+
+def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
+def _prototype_queries(spark: SparkSession, folder: str) -> DataFrame:
+    return L.prototypes(_embeddings(spark, folder)).withColumnRenamed("label", "query_id")
+
+
+def _similarity_search(spark: SparkSession, folder: str) -> DataFrame:
+    return L.top_k(_prototype_queries(spark, folder), _embeddings(spark, folder))
+
+
+def _context(spark: SparkSession, folder: str) -> DataFrame:
+    texts = _documents(spark, folder).select(F.col("doc_id").alias("vec_id"), "text")
+    return L.context(_similarity_search(spark, folder), texts, _prototype_queries(spark, folder))
+
+
+def _chunk_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = L.chunk_fixed(_documents(spark, folder))
+    return L.embed(L.embedder().fit(chunks), chunks).select("doc_id", "chunk_id", "embedding")
+
+
+def _text_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark texts as questions over the chunks of all documents."""
+    chunks = L.chunk_fixed(_documents(spark, folder)).withColumn(
+        "vec_id", F.col("doc_id") * 1000000 + F.col("chunk_id"))
+    model = L.embedder().fit(chunks)
+    corpus = stage(L.embed(model, chunks).select("vec_id", "chunk", "embedding"), "chunks")
+    questions = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", F.col("text").alias("chunk"))
+    queries = L.embed(model, questions).select(F.col("item_id").alias("query_id"), "embedding")
+    return L.top_k(queries, corpus)
+
+
+SINK_QUERIES: dict[str, Query] = {
+    "a02_flat_sink": _flat_sink,
+    "a03_feature_sink": _feature_sink,
+    "a04_table_refresh": _table_refresh,
+    "a06_text_documents": lambda s, d: _documents(s, d).select(
+        "doc_id", "lang", "source", F.length("text").cast("long").alias("n_characters"), F.md5("text").alias("digest")),
+    "a07_batch_scoring": _batch_scoring,
+    "a12_feature_table_load": _feature_table_load,
+}
+
+SCORING_QUERIES: dict[str, Query] = {
+    "h01_rule_score": lambda s, d: H.with_rule_score(source.observations(s, d)).select("machine_id", "failure_probability"),
+    "h02_predicted_flag": lambda s, d: H.with_rule_score(source.observations(s, d)).select("machine_id", "predicted_failure"),
+    "h03_batch_scores": _batch_scores,
+    "h05_anomaly_flag": lambda s, d: _anomalies(s, d).select("machine_id", "anomaly_score", "is_anomaly"),
+    "h06_status_bands": lambda s, d: _status(s, d).select("machine_id", "failure_risk", "status"),
+    "h07_fleet_kpis": lambda s, d: _rounded(H.fleet_kpis(_status(s, d)), ["average_risk_pct"]),
+    "h07_anomaly_kpis": _anomaly_kpis,
+    "h08_worklist": lambda s, d: H.worklist(_status(s, d), "failure_risk"),
+    "h08_worklist_top": lambda s, d: H.worklist(_status(s, d), "failure_risk", 100).select(
+        "machine_id", "failure_risk", "status"),
+    "h09_telemetry_high_risk": _telemetry_high_risk,
+    "h10_diagnosis": _diagnoses,
+}
+
+EVALUATION_QUERIES: dict[str, Query] = {
+    "i01_confusion_matrix": _scores(I.confusion_matrix),
+    "i02_point_metrics": lambda s, d: _rounded(
+        I.point_metrics(I.confusion_matrix(_scored(s, d))).select("precision", "recall", "f1"), ["precision", "recall", "f1"], 9),
+    "i03_false_negative_rate": lambda s, d: _rounded(
+        I.point_metrics(I.confusion_matrix(_scored(s, d))).select("false_negative_rate"), ["false_negative_rate"], 9),
+    "i04_precision_recall": _points(I.precision_recall),
+    "i05_average_precision": _points(I.average_precision),
+    "i06_pr_auc_trapezoid": _points(I.pr_auc_trapezoid),
+    "i07_roc_auc": _points(I.roc_auc),
+    "i07_roc_auc_mode_labels": _points(I.roc_auc, "OSF"),
+    "i08_threshold_for_precision": _points(I.threshold_for_precision),
+    "i09_f1_threshold": _points(I.f1_threshold),
+    "i10_threshold_sweep": _scores(I.threshold_sweep, "precision", "recall", "f1"),
+    "i11_cost_sweep": _scores(I.cost_sweep),
+    "i11_cheapest_threshold": lambda s, d: I.cheapest_threshold(I.cost_sweep(_scored(s, d))),
+    "i12_policy_costs": _scores(I.policy_costs),
+    "i13_classification_report": lambda s, d: _report(_predicted(s, d)),
+    "i13_report_document_labels": lambda s, d: _report(_document_labels(s, d)),
+    "i14_class_separation": _scores(I.class_separation, "mean_normal", "mean_failure", "separation"),
+    "i15_score_histogram": _scores(I.score_histogram),
+    "i16_rule_comparison": _rule_comparison,
+}
+
+DRIFT_QUERIES: dict[str, Query] = {
+    "j01_ks_drift": _drift,
+    "j02_degradation": lambda s, d: _rounded(J.degradation_risk(source.observations(s, d)), ["mean_risk"], 9),
+    "j03_attributions": _attributions,
+    "j04_global_attribution": _global_attribution,
+}
+
+STREAMING_QUERIES: dict[str, Query] = {
+    "k01_replay_scores": replay.replay_scores,
+    "k02_replay_status": replay.replay_status,
+}
+
+RETRIEVAL_QUERIES: dict[str, Query] = {
+    "l01_chunk_fixed": lambda s, d: L.chunk_fixed(_documents(s, d)),
+    "l01_chunk_by_separators": lambda s, d: L.chunk_by_separators(_documents(s, d)),
+    "l02_chunk_embedding": _chunk_embedding,
+    "l03_similarity_search": _similarity_search,
+    "l03_text_search": _text_search,
+    "l04_context": _context,
+    "l05_risk_protocols": lambda s, d: L.risk_protocols(_status(s, d), _diagnoses(s, d)),
+}
+
 QUERIES: dict[str, Query] = {
-    **QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES, **FEATURE_QUERIES, **EXPLORATION_QUERIES,
+    **SINK_QUERIES, **QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES, **FEATURE_QUERIES, **EXPLORATION_QUERIES,
+    **SCORING_QUERIES, **EVALUATION_QUERIES, **DRIFT_QUERIES, **STREAMING_QUERIES, **RETRIEVAL_QUERIES,
 }

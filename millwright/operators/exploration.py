@@ -95,8 +95,8 @@ def histogram(counts: DataFrame, by: Sequence[str], bins: int = 40) -> DataFrame
     rows = grid.join(filled, [*by, "bin"], "left").withColumn("n", F.coalesce("_n", F.lit(0)))
     return rows.select(
         *by, "bin",
-        _r(F.col("_lo") + width * F.col("bin") / bins).alias("bin_low"),
-        _r(F.col("_lo") + width * (F.col("bin") + 1) / bins).alias("bin_high"),
+        _half_up(F.col("_lo") + width * F.col("bin") / bins, 6).alias("bin_low"),
+        _half_up(F.col("_lo") + width * (F.col("bin") + 1) / bins, 6).alias("bin_high"),
         "n",
         _r(F.col("n") * bins / (F.col("_total") * width), 9).alias("density"))
 

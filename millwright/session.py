@@ -62,3 +62,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as a table under the shared folder and read it back.
+
+    For frames that several jobs read with different columns, such as the input of a fit: the
+    columnar files are pruned per job and survive the loss of any executor.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,62 +6,57 @@ data set; integers until the last step keep every engine's result bit-equal.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.constants import CLEAN_TO_RAW, MODES
 
-RAD_PER_S_TO_RPM = 9.549296585513721
-
-
-def _cents(column: Column) -> Column:
-    """Hundredths of a non-negative two-decimal number as an integer."""
-    return F.floor(column * 100 + 0.5)
-
-
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+LINE_VALUES = {
+    "p": "l_partkey",
+    "disc": "l_discount",
+    "tax": "l_tax",
+    "qty": "l_quantity",
+    "cents": "l_extendedprice",
+}
+
+# SQL text keeps the derivation a few plan nodes, whoever builds on it. floor(x + 0.5) is the plain
+# rounding of a non-negative number and stays inside generated code.
+SETTINGS = [
+    "CASE WHEN p % 10 < 6 THEN 'L' WHEN p % 10 < 9 THEN 'M' ELSE 'H' END AS type_code",
+    "29500 + floor(disc * 100 + 0.5) * 90 + IF(udi % 211 = 0, 900, 0) AS air_c",
+    "845 + floor(tax * 100 + 0.5) * 40 + floor(cents * 100 + 0.5) % 40 AS gap_c",
+    "1160 + (floor(cents * 100 + 0.5) % 42) * (p % 42) AS rpm",
+    "3450 + 115 * (CAST(qty AS BIGINT) - 1) AS watts",
+    "(udi * 7 + p * 31) % 254 AS wear",
+]
+TORQUE = "floor(watts * 9.549296585513721D * 100 / rpm + 0.5) AS torque_c"
+FLAGS = [
+    "IF(wear >= 240 AND udi % 5 = 0, 1, 0) AS TWF",
+    "IF(gap_c < 860 AND rpm < 1380, 1, 0) AS HDF",
+    "IF(torque_c * rpm < 3342254 OR torque_c * rpm > 8594367, 1, 0) AS PWF",
+    "IF(torque_c * wear > CASE type_code WHEN 'L' THEN 1100000 WHEN 'M' THEN 1200000 ELSE 1300000 END, 1, 0) AS OSF",
+    "IF(udi % 521 = 0, 1, 0) AS RNF",
+]
+COLUMNS = [
+    "udi AS machine_id",
+    "concat(type_code, CAST(10000 + udi AS STRING)) AS product_id",
+    "type_code",
+    "air_c / 100 AS air_temperature_k",
+    "(air_c + gap_c) / 100 AS process_temperature_k",
+    "CAST(rpm AS INT) AS rotational_speed_rpm",
+    "torque_c / 100 AS torque_nm",
+    "CAST(wear AS INT) AS tool_wear_min",
+    "IF(TWF + HDF + PWF + OSF > 0 OR udi % 1009 = 0, 1, 0) AS machine_failure",
+    *MODES,
+    "p",
+]
 
 
 def _observe(lines: DataFrame, keep: list[str]) -> DataFrame:
     """Map rows of (udi, p, disc, tax, qty, cents) to observations with table column names."""
-    p, udi, cents = F.col("p"), F.col("udi"), F.col("cents")
-    settings = lines.select(
-        "udi", "p", *keep,
-        F.when(p % 10 < 6, "L").when(p % 10 < 9, "M").otherwise("H").alias("type_code"),
-        (29500 + F.col("disc") * 90 + F.when(udi % 211 == 0, 900).otherwise(0)).alias("air_c"),
-        (845 + F.col("tax") * 40 + cents % 40).alias("gap_c"),
-        (1160 + (cents % 42) * (p % 42)).alias("rpm"),
-        (3450 + 115 * (F.col("qty") - 1)).alias("watts"),
-        ((udi * 7 + p * 31) % 254).alias("wear"),
-    )
-    torque = settings.withColumn(
-        "torque_c", F.floor(F.col("watts") * RAD_PER_S_TO_RPM * 100 / F.col("rpm") + 0.5)
-    )
-    rpm, wear, torque_c = F.col("rpm"), F.col("wear"), F.col("torque_c")
-    limit = F.when(F.col("type_code") == "L", 1100000).when(F.col("type_code") == "M", 1200000).otherwise(1300000)
-    flagged = torque.select(
-        "*",
-        _flag((wear >= 240) & (udi % 5 == 0)).alias("TWF"),
-        _flag((F.col("gap_c") < 860) & (rpm < 1380)).alias("HDF"),
-        _flag((torque_c * rpm < 3342254) | (torque_c * rpm > 8594367)).alias("PWF"),
-        _flag(torque_c * wear > limit).alias("OSF"),
-        _flag(udi % 521 == 0).alias("RNF"),
-    )
-    failed = (F.col("TWF") + F.col("HDF") + F.col("PWF") + F.col("OSF") > 0) | (udi % 1009 == 0)
-    return flagged.select(
-        udi.alias("machine_id"),
-        F.concat("type_code", (10000 + udi).cast("string")).alias("product_id"),
-        "type_code",
-        (F.col("air_c") / 100).alias("air_temperature_k"),
-        ((F.col("air_c") + F.col("gap_c")) / 100).alias("process_temperature_k"),
-        rpm.cast("int").alias("rotational_speed_rpm"),
-        (torque_c / 100).alias("torque_nm"),
-        wear.cast("int").alias("tool_wear_min"),
-        _flag(failed).alias("machine_failure"),
-        *MODES,
-        "p", *keep,
-    )
+    settings = lines.selectExpr("udi", "p", *keep, *SETTINGS)
+    flagged = settings.selectExpr("*", TORQUE).selectExpr("*", *FLAGS)
+    return flagged.selectExpr(*COLUMNS, *keep)
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +66,8 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _grouped(spark: SparkSession, sf_dir: str, copies: bool) -> DataFrame:
     # Line numbers are single digits, so the observation id alone identifies (order, line). Grouping
     # by it leaves every derived table partitioned on its key: joins between them need no shuffle.
-    lines = _lineitem(spark, sf_dir).groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("udi")).agg(
-        F.min("l_partkey").alias("p"),
-        _cents(F.min("l_discount")).alias("disc"),
-        _cents(F.min("l_tax")).alias("tax"),
-        F.min("l_quantity").cast("long").alias("qty"),
-        _cents(F.min("l_extendedprice")).alias("cents"),
+    lines = _lineitem(spark, sf_dir).groupBy(F.expr("l_orderkey * 10 + l_linenumber").alias("udi")).agg(
+        *[F.min(column).alias(name) for name, column in LINE_VALUES.items()],
         *([F.count(F.lit(1)).alias("copies")] if copies else []),
     )
     return _observe(lines, ["copies"] if copies else [])
@@ -105,13 +96,8 @@ def delivered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_lines(lines: DataFrame) -> DataFrame:
     """Stateless per-line observations, for replaying rows as a stream."""
-    keyed = lines.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("udi"),
-        F.col("l_partkey").alias("p"),
-        _cents(F.col("l_discount")).alias("disc"),
-        _cents(F.col("l_tax")).alias("tax"),
-        F.col("l_quantity").cast("long").alias("qty"),
-        _cents(F.col("l_extendedprice")).alias("cents"),
+    keyed = lines.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS udi", *[f"{column} AS {name}" for name, column in LINE_VALUES.items()]
     )
     return _observe(keyed, []).drop("p")
 

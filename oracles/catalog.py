@@ -1,5 +1,7 @@
 """All statements by query name."""
 
-from oracles import exploration, features, fleet_queries, quality
+from oracles import exploration, features, fleet_queries, quality, scoring
 
-STATEMENTS: dict[str, str] = {**quality.SQL, **fleet_queries.SQL, **features.SQL, **exploration.SQL}
+STATEMENTS: dict[str, str] = {
+    **quality.SQL, **fleet_queries.SQL, **features.SQL, **exploration.SQL, **scoring.SQL,
+}

@@ -73,7 +73,7 @@ HIST = """
 , rng AS (SELECT {by}, CASE WHEN MIN(value) = MAX(value) THEN MIN(value) - 0.5 ELSE MIN(value) END AS lo,
     CASE WHEN MIN(value) = MAX(value) THEN MAX(value) + 0.5 ELSE MAX(value) END AS hi, COUNT(*) AS total FROM lng GROUP BY {by})
 , hit AS (SELECT {by}, CAST(LEAST(FLOOR((value - lo) * 40 / (hi - lo)), 39) AS INT) AS bin, COUNT(*) AS n FROM lng JOIN rng USING ({by}) GROUP BY ALL)
-SELECT {by}, CAST(b.i AS INT) AS bin, ROUND(lo + (hi - lo) * b.i / 40, 6) AS bin_low, ROUND(lo + (hi - lo) * (b.i + 1) / 40, 6) AS bin_high,
+SELECT {by}, CAST(b.i AS INT) AS bin, FLOOR((lo + (hi - lo) * b.i / 40) * 1000000 + 0.5E0) / 1000000 AS bin_low, FLOOR((lo + (hi - lo) * (b.i + 1) / 40) * 1000000 + 0.5E0) / 1000000 AS bin_high,
   COALESCE(hit.n, 0) AS n, ROUND(COALESCE(hit.n, 0) * 40 / (total * (hi - lo)), 9) AS density
 FROM rng CROSS JOIN (SELECT UNNEST(RANGE(40)) AS i) b LEFT JOIN (SELECT {by}, bin AS i, n FROM hit) hit USING ({by}, i)"""
 
