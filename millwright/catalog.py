@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from millwright.operators import evaluation as I
 from millwright.operators import exploration as E
 from millwright.operators import features as X
 from millwright.operators import fleet_queries as Q
+from millwright.operators import learning as G
 from millwright.operators import modelling as M
 from millwright.operators import quality as B
 from millwright.operators import retrieval as L
@@ -415,6 +417,117 @@ def _text_search(spark: SparkSession, folder: str) -> DataFrame:
     return L.top_k(queries, corpus)
 
 
+def _training(spark: SparkSession, folder: str):
+    return G.training_set(source.observations(spark, folder))
+
+
+MEASURES = ["threshold", "precision", "recall", "f1", "pr_auc", "pr_auc_trapezoid", "roc_auc", "false_negative_rate"]
+
+
+def _trained(name: str, make: Callable[[], object], weighted: bool = False, copies: bool = False) -> Query:
+    """Train on the training part, report the metrics row of the validation part."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        _, parts = _training(spark, folder)
+        train = G.with_weights(parts["train"]) if weighted else parts["train"]
+        train = G.oversample(train) if copies else train
+        _, row = G.train_and_evaluate(make(), train, parts["val"], name)
+        return _rounded(row, MEASURES, 9)
+    return run
+
+
+def _class_weights(spark: SparkSession, folder: str) -> DataFrame:
+    train = _split_rows(spark, folder).where("split = 'train'")
+    return _rounded(G.class_weights(train), ["balanced_weight", "positive_weight"], 9)
+
+
+# A run of the search that fits a laptop; the defaults of the operator are the full search.
+SMALL_SEARCH = {"numTrees": [10, 20], "maxDepth": [4, 6], "minInstancesPerNode": [1, 2], "featureSubsetStrategy": ["sqrt", "all"]}
+
+
+def _search(spark: SparkSession, folder: str) -> DataFrame:
+    _, parts = _training(spark, folder)
+    searched = G.random_search(parts["train"], SMALL_SEARCH, draws=3, k=3)
+    return G.search_results(spark, searched)
+
+
+def _mode_report(spark: SparkSession, folder: str) -> DataFrame:
+    parts = stage(X.split_by_mode(source.observations(spark, folder)), "modes")
+    train = G.spread(G.with_weights(parts.where("split = 'train'"), "failure_mode"))
+    model = G.mode_classifier().fit(train)
+    return _report(G.predicted_modes(model, parts.where("split = 'test'")))
+
+
+def _subspace(spark: SparkSession, folder: str, weights: list[float] | None = None):
+    _, parts = _training(spark, folder)
+    normal = parts["train"].where("machine_failure = 0")
+    return G.SubspaceModel.fit(normal, weights=weights), normal, parts
+
+
+def _anomaly_metrics(scored: DataFrame, name: str) -> DataFrame:
+    rows = scored.select(F.col("anomaly_score").alias("score"), F.col("machine_failure").alias("label"))
+    best = I.f1_threshold(I.threshold_points(rows)).first()["threshold"]  # one number
+    return _rounded(I.metrics_row(rows, name, "val", best), MEASURES, 9)
+
+
+def _reconstruction(spark: SparkSession, folder: str) -> DataFrame:
+    model, _, parts = _subspace(spark, folder, H.tail_weights(len(X.FEATURE_COLUMNS)))
+    return _anomaly_metrics(model.score(parts["val"]), "weighted reconstruction error")
+
+
+def _centre_distance(spark: SparkSession, folder: str) -> DataFrame:
+    model, normal, parts = _subspace(spark, folder)
+    return _anomaly_metrics(model.centre_distance(parts["val"], model.centre(normal)), "centre distance")
+
+
+def _importance(spark: SparkSession, folder: str) -> DataFrame:
+    _, parts = _training(spark, folder)
+    return G.feature_importance(spark, G.random_forest(50, 6).fit(parts["train"]))
+
+
+def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Saved, reloaded, and applied to the raw rows."""
+    parts = stage(_split_rows(spark, folder), "split")
+    train = parts.where("split = 'train'")
+    path = scratch_path(spark, "model")
+    G.save_model(Pipeline(stages=[*G.preparation(), G.decision_tree()]).fit(train), path)
+    scored, _ = H.score_raw(source.to_raw(source.observations(spark, folder)), G.load_model(path))
+    return scored.select("UDI", "failure_probability", "predicted_failure")
+
+
+def _comparison(spark: SparkSession, folder: str) -> DataFrame:
+    _, parts = _training(spark, folder)
+    candidates = [("logistic regression", G.logistic_baseline(100)), ("decision tree", G.decision_tree()),
+                  ("random forest", G.random_forest(50, 6))]
+    rows = [G.train_and_evaluate(m, parts["train"], parts["val"], name)[1] for name, m in candidates]
+    return _rounded(I.compare_models(rows), MEASURES, 9)
+
+
+def _mean_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Weighted squared error against the training mean, which standardised columns have at zero."""
+    matrix = X.feature_matrix(source.observations(spark, folder)).withColumn("_zero", F.lit(0.0))
+    weights = H.tail_weights(len(X.FEATURE_COLUMNS))
+    error = H.squared_errors(X.FEATURE_COLUMNS, ["_zero"] * len(X.FEATURE_COLUMNS), weights)
+    return _rounded(matrix.select("machine_id", error.alias("anomaly_score")), ["anomaly_score"])
+
+
+TRAINING_QUERIES: dict[str, Query] = {
+    "g01_logistic_baseline": _trained("logistic regression", G.logistic_baseline),
+    "g02_decision_tree": _trained("decision tree", G.decision_tree),
+    "g03_random_forest": _trained("random forest", G.random_forest),
+    "g04_boosted_trees": _trained("boosted trees", lambda: G.boosted_trees(rounds=40)),
+    "g05_class_weights": _class_weights,
+    "g05_weighted_forest": _trained("weighted forest", lambda: G.random_forest(weight="weight"), weighted=True),
+    "g07_search_results": _search,
+    "g08_mode_report": _mode_report,
+    "g09_perceptron": _trained("perceptron", lambda: G.perceptron(max_iter=60), copies=True),
+    "g10_reconstruction_error": _reconstruction,
+    "g11_centre_distance": _centre_distance,
+    "g12_feature_importance": _importance,
+    "h03_model_scores": _model_scores,
+    "h04_anomaly_score": _mean_errors,
+    "i16_model_comparison": _comparison,
+}
+
 SINK_QUERIES: dict[str, Query] = {
     "a02_flat_sink": _flat_sink,
     "a03_feature_sink": _feature_sink,
@@ -489,4 +602,5 @@ RETRIEVAL_QUERIES: dict[str, Query] = {
 QUERIES: dict[str, Query] = {
     **SINK_QUERIES, **QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES, **FEATURE_QUERIES, **EXPLORATION_QUERIES,
     **SCORING_QUERIES, **EVALUATION_QUERIES, **DRIFT_QUERIES, **STREAMING_QUERIES, **RETRIEVAL_QUERIES,
+    **TRAINING_QUERIES,
 }

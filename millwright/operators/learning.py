@@ -9,6 +9,7 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import (
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 from millwright import constants as K
 from millwright.functions import columns as C
 from millwright.operators import evaluation as I
-from millwright.operators.features import FEATURE_COLUMNS
+from millwright.operators.features import FEATURE_COLUMNS, split_fleet
 from millwright.operators.transformers import GroupedZScorer, PopulationScaler, SensorFeatures
 from millwright.plans.split import folds
+from millwright.session import stage
 
 LABEL = "machine_failure"
 
@@ -50,6 +52,25 @@ def feature_pipeline(train: DataFrame) -> PipelineModel:
     return Pipeline(stages=preparation()).fit(train)
 
 
+def training_set(clean: DataFrame, seed: int = K.SEED) -> tuple[PipelineModel, dict[str, DataFrame]]:
+    """Split, fit the preparation on the training part, and stage each part's vectors.
+
+    Iterative learners read the staged files once per pass; parts of few files are spread over the
+    session's tasks.
+    """
+    parts = stage(split_fleet(clean, seed), "split")
+    fitted = feature_pipeline(parts.where("split = 'train'"))
+    keep = ["machine_id", "split", "features", LABEL, *FEATURE_COLUMNS]
+    ready = stage(fitted.transform(parts).select(*keep), "vectors")
+    return fitted, {name: spread(ready.where(F.col("split") == name)) for name in ("train", "val", "test")}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions to use every core; large inputs already have them and are left alone."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def logistic_baseline(max_iter: int = 1000) -> LogisticRegression:
     return LogisticRegression(labelCol=LABEL, maxIter=max_iter)
 
@@ -59,7 +80,8 @@ def decision_tree(depth: int = 5) -> DecisionTreeClassifier:
 
 
 def random_forest(trees: int = 300, depth: int = 8, weight: str | None = None) -> RandomForestClassifier:
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=K.SEED)
+    # More node statistics per pass mean fewer passes over the data.
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=K.SEED, maxMemoryInMB=1024)
     return forest.setWeightCol(weight) if weight else forest
 
 
@@ -70,13 +92,14 @@ def boosted_trees(rounds: int = 300, depth: int = 5, rate: float = 0.1, weight:
 
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Per class: rows, balanced weight n / (k * n_c), and the negative-to-positive ratio."""
+    name = F.col(label).cast("string")
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     whole = counts.agg(F.struct(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
-        F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("neg"), F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("pos"),
+        F.sum(F.when(name == "0", F.col("n"))).alias("neg"), F.sum(F.when(name == "1", F.col("n"))).alias("pos"),
     )).scalar()
     held = counts.withColumn("_w", whole)
-    positive = F.when(F.col(label) == 1, F.try_divide(F.col("_w.neg"), F.col("_w.pos"))).otherwise(F.lit(1.0))
+    positive = F.when(name == "1", F.try_divide(F.col("_w.neg"), F.col("_w.pos"))).otherwise(F.lit(1.0))
     return held.select(label, "n", (F.col("_w.n") / (F.col("_w.k") * F.col("n"))).alias("balanced_weight"),
                        positive.alias("positive_weight"))
 
@@ -172,7 +195,7 @@ def mode_classifier(trees: int = 200, depth: int = 12) -> Pipeline:
         StringIndexer(inputCol="failure_mode", outputCol="mode_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=K.SENSORS, outputCol="sensor_vector"),
         RandomForestClassifier(labelCol="mode_index", featuresCol="sensor_vector", numTrees=trees, maxDepth=depth,
-                               weightCol="weight", seed=K.SEED),
+                               weightCol="weight", seed=K.SEED, maxMemoryInMB=1024),
     ])
 
 
@@ -193,72 +216,64 @@ def feature_importance(spark: SparkSession, model: Model, names: Sequence[str] =
 class SubspaceModel:
     """Normal behaviour as a linear subspace fitted on normal rows; the distance to it is the anomaly score.
 
-    The feature weights travel with the model, so the threshold and the score it was tuned on agree.
+    Scores are arithmetic on the feature columns. The feature weights travel with the model, so the
+    threshold and the score it was tuned on agree.
     """
 
-    def __init__(self, pca, weights: Sequence[float]):
-        self.components = pca.pc.toArray()  # features x k
+    def __init__(self, components: np.ndarray, weights: Sequence[float], columns: Sequence[str] = FEATURE_COLUMNS):
+        self.components = components  # features x k, orthonormal columns
         self.weights = list(weights)
+        self.columns = list(columns)
 
     @classmethod
-    def fit(cls, normal: DataFrame, k: int = 2, weights: Sequence[float] | None = None) -> SubspaceModel:
-        """``normal`` has a standardised ``features`` vector."""
-        model = PCA(k=k, inputCol="features", outputCol="latent").fit(normal.select("features"))
-        return cls(model, weights or [1.0] * model.pc.numRows)
-
-    def _values(self) -> Column:
-        return vector_to_array("features")
-
-    def latents(self) -> Column:
-        """Coordinates in the subspace, as column arithmetic."""
-        return F.array(*[
-            F.aggregate(F.zip_with(self._values(), F.array(*[F.lit(float(w)) for w in axis]), lambda a, b: a * b),
-                        F.lit(0.0), lambda acc, v: acc + v)
-            for axis in self.components.T
-        ])
+    def fit(cls, normal: DataFrame, k: int = 2, weights: Sequence[float] | None = None,
+            columns: Sequence[str] = FEATURE_COLUMNS) -> SubspaceModel:
+        """``normal`` has standardised feature columns and the vector of them."""
+        fitted = PCA(k=k, inputCol="features", outputCol="latent").fit(normal.select("features"))
+        return cls(fitted.pc.toArray(), weights or [1.0] * len(columns), columns)
+
+    def _latent(self, j: int) -> Column:
+        total = F.lit(0.0)
+        for column, loading in zip(self.columns, self.components[:, j]):
+            total = total + F.col(column) * float(loading)
+        return total
+
+    def _with_latents(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({f"_z{j}": self._latent(j) for j in range(self.components.shape[1])})
 
     def score(self, df: DataFrame, name: str = "anomaly_score") -> DataFrame:
         """Mean weighted squared reconstruction error."""
-        held = df.withColumn("_x", self._values()).withColumn("_z", self.latents())
+        k = self.components.shape[1]
         total = F.lit(0.0)
-        for i, (row, weight) in enumerate(zip(self.components, self.weights)):
-            rebuilt = F.lit(0.0)
-            for j, w in enumerate(row):
-                rebuilt = rebuilt + F.get("_z", F.lit(j)) * float(w)
-            gap = F.get("_x", F.lit(i)) - rebuilt
-            total = total + gap * gap * weight
-        return held.withColumn(name, total / len(self.weights)).drop("_x", "_z")
+        for column, row, weight in zip(self.columns, self.components, self.weights):
+            gap = F.col(column)
+            for j in range(k):
+                gap = gap - F.col(f"_z{j}") * float(row[j])
+            total = total + F.pow(gap, F.lit(2)) * float(weight)
+        return self._with_latents(df).withColumn(name, total / len(self.columns)).drop(*[f"_z{j}" for j in range(k)])
 
     def centre(self, normal: DataFrame, floor: float = 0.1) -> list[float]:
         """Mean latent of the normal rows, coordinates nearer to zero than ``floor`` set to it."""
-        held = normal.select(self.latents().alias("_z"))
-        k = self.components.shape[1]
-        row = held.agg(*[F.avg(F.get("_z", F.lit(i))).alias(f"z{i}") for i in range(k)]).first()  # k numbers
-        return [floor if abs(v) < floor else v for v in row]
+        row = normal.agg(*[F.avg(self._latent(j)).alias(f"z{j}") for j in range(self.components.shape[1])]).first()
+        return [floor if abs(v) < floor else v for v in row]  # k numbers
 
     def centre_distance(self, df: DataFrame, centre: Sequence[float], name: str = "anomaly_score") -> DataFrame:
         """Squared distance of the latent to the centre."""
-        held = df.withColumn("_z", self.latents())
         total = F.lit(0.0)
-        for i, c in enumerate(centre):
-            total = total + (F.get("_z", F.lit(i)) - c) * (F.get("_z", F.lit(i)) - c)
-        return held.withColumn(name, total).drop("_z")
+        for j, c in enumerate(centre):
+            total = total + F.pow(F.col(f"_z{j}") - float(c), F.lit(2))
+        return self._with_latents(df).withColumn(name, total).drop(*[f"_z{j}" for j in range(len(centre))])
 
     def save(self, spark: SparkSession, path: str) -> None:
-        rows = [(i, [float(w) for w in row], float(weight))
-                for i, (row, weight) in enumerate(zip(self.components, self.weights))]
-        frame = spark.createDataFrame(rows, "feature int, loadings array<double>, weight double")
+        rows = [(i, column, [float(w) for w in row], float(weight))
+                for i, (column, row, weight) in enumerate(zip(self.columns, self.components, self.weights))]
+        frame = spark.createDataFrame(rows, "place int, column_name string, loadings array<double>, weight double")
         frame.coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SubspaceModel:
-        import numpy as np
-
-        rows = spark.read.parquet(path).orderBy("feature").collect()  # one row per feature
-        model = cls.__new__(cls)
-        model.components = np.array([r["loadings"] for r in rows])
-        model.weights = [r["weight"] for r in rows]
-        return model
+        rows = spark.read.parquet(path).orderBy("place").collect()  # one row per feature
+        return cls(np.array([r["loadings"] for r in rows]), [r["weight"] for r in rows], [r["column_name"] for r in rows])
 
 
 def stored_vector(matrix: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:

@@ -114,7 +114,17 @@ PROTO = """, pr AS (SELECT label, i, AVG(CAST(embedding[i] AS DOUBLE)) AS m FROM
 LINE_SCORES = f"""SELECT machine_id, type_code, torque_nm, tool_wear_min, score AS failure_probability,
   CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted_failure, {BAND.format(r='score')} AS status FROM eng"""
 
+ERRORS = ENC + ", st AS (SELECT " + ", ".join(
+    f"AVG({c}) AS m{i}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END AS d{i}"
+    for i, c in enumerate(FEATURE_COLUMNS)) + " FROM enc WHERE split = 'train') SELECT machine_id, ROUND((" + " + ".join(
+    [f"POWER(({c} - m{i}) / d{i}, 2)" for i, c in enumerate(FEATURE_COLUMNS)] + ["type_H", "4 * type_L", "4 * type_M", "4 * tool_wear_ordinal * tool_wear_ordinal"]
+) + ") / 14, 6) AS anomaly_score FROM enc CROSS JOIN st"
+
 SQL = {
+    "g05_class_weights": splits("""SELECT machine_failure, COUNT(*) AS n, ROUND((SELECT COUNT(*) FROM parts WHERE split = 'train') / (2 * COUNT(*)), 9) AS balanced_weight,
+        CASE WHEN machine_failure = 1 THEN ROUND((SELECT COUNT(*) FROM parts WHERE split = 'train' AND machine_failure = 0) / COUNT(*), 9) ELSE 1.0 END AS positive_weight
+        FROM parts WHERE split = 'train' GROUP BY 1"""),
+    "h04_anomaly_score": splits(ERRORS),
     "a06_text_documents": "SELECT doc_id, lang, source, LENGTH(text) AS n_characters, md5(text) AS digest FROM documents",
     "a02_flat_sink": fleet("SELECT machine_id, product_id, type_code, air_temperature_k, process_temperature_k, rotational_speed_rpm, torque_nm, tool_wear_min, machine_failure FROM obs"),
     "a03_feature_sink": splits("SELECT split, machine_failure, COUNT(*) AS n, 14 AS n_features FROM parts GROUP BY 1, 2"),
