@@ -35,6 +35,7 @@ from millwright.plans.split import folds
 from millwright.session import stage
 
 LABEL = "machine_failure"
+TREE_MEMORY_MB = 64  # split statistics held per task; with one task per core this must fit the heap several times
 
 
 def preparation() -> list:
@@ -79,9 +80,10 @@ def decision_tree(depth: int = 5) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol=LABEL, maxDepth=depth, seed=K.SEED)
 
 
-def random_forest(trees: int = 300, depth: int = 8, weight: str | None = None) -> RandomForestClassifier:
-    # More node statistics per pass mean fewer passes over the data.
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=K.SEED, maxMemoryInMB=1024)
+def random_forest(trees: int = 300, depth: int = 8, weight: str | None = None,
+                  memory_mb: int = TREE_MEMORY_MB) -> RandomForestClassifier:
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=K.SEED,
+                                    maxMemoryInMB=memory_mb)
     return forest.setWeightCol(weight) if weight else forest
 
 
@@ -173,7 +175,7 @@ def draw_parameters(space: Mapping[str, Sequence], draws: int = 40, seed: int =
 def random_search(train: DataFrame, space: Mapping[str, Sequence] = SEARCH_SPACE, draws: int = 40, k: int = 5,
                   parallelism: int = 4, seed: int = K.SEED) -> CrossValidatorModel:
     """Random search of the forest by cross-validated average precision on the training rows."""
-    forest = RandomForestClassifier(labelCol=LABEL, seed=seed)
+    forest = RandomForestClassifier(labelCol=LABEL, seed=seed, maxMemoryInMB=TREE_MEMORY_MB)
     maps = [{forest.getParam(name): value for name, value in d.items()} for d in draw_parameters(space, draws, seed)]
     search = CrossValidator(estimator=forest, estimatorParamMaps=maps, evaluator=AveragePrecision(), numFolds=k,
                             foldCol="fold", parallelism=parallelism)
@@ -195,7 +197,7 @@ def mode_classifier(trees: int = 200, depth: int = 12) -> Pipeline:
         StringIndexer(inputCol="failure_mode", outputCol="mode_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=K.SENSORS, outputCol="sensor_vector"),
         RandomForestClassifier(labelCol="mode_index", featuresCol="sensor_vector", numTrees=trees, maxDepth=depth,
-                               weightCol="weight", seed=K.SEED, maxMemoryInMB=1024),
+                               weightCol="weight", seed=K.SEED, maxMemoryInMB=TREE_MEMORY_MB),
     ])
 
 

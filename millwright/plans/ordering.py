@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 18
-VALUE_CUTS = 16  # quantile cuts per level; two levels give VALUE_CUTS**2 blocks
+VALUE_BITS = 8  # distinct values are cut into 2**VALUE_BITS blocks
 HALO_BITS = 14
 
 
@@ -122,22 +122,19 @@ def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str],
     if bounded:
         ordered = Window.partitionBy(*by).orderBy(value)
         return df.withColumns({c: F.sum(s).over(ordered) for c, s in zip(running, sums)})
-    n = VALUE_CUTS * VALUE_CUTS
-    cuts = df.groupBy(*by).agg(
-        F.percentile_approx(value, [i / n for i in range(1, n)], F.lit(20000)).alias("_cuts")
-    )
-    coarse = F.filter(F.col("_cuts"), lambda _, i: i % VALUE_CUTS == VALUE_CUTS - 1)
-    cuts = cuts.withColumn("_coarse", coarse)
+    n = 1 << VALUE_BITS
+    shares = ", ".join(f"{i / n}D" for i in range(1, n))
+    cuts = df.groupBy(*by).agg(F.expr(f"percentile_approx(`{value}`, array({shares}), {8 * n})").alias("_cuts"))
     if by:
         located = df.join(F.broadcast(cuts), by)  # one row per group: a handful of features
     else:
-        both = cuts.select(F.struct("_cuts", "_coarse")).scalar()
-        located = df.withColumn("_both", both).select("*", "_both._cuts", "_both._coarse").drop("_both")
-    first = F.size(F.filter(F.col("_coarse"), lambda c: c < F.col(value)))
-    located = located.withColumn("_first", first)
-    second = F.size(F.filter(F.slice("_cuts", F.col("_first") * VALUE_CUTS + 1, VALUE_CUTS - 1),
-                             lambda c: c < F.col(value)))
-    located = located.withColumn("_block", F.col("_first") * VALUE_CUTS + second).drop("_cuts", "_coarse", "_first")
+        located = df.withColumn("_cuts", cuts.scalar())
+    located = located.withColumn("_block", F.lit(0))
+    for bit in reversed(range(VALUE_BITS)):  # binary search: how many cuts lie below the value
+        step = 1 << bit
+        located = located.withColumn(
+            "_block", F.expr(f"_block + IF(get(_cuts, _block + {step - 1}) < `{value}`, {step}, 0)"))
+    located = located.drop("_cuts")
     totals = located.groupBy(*by, "_block").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     across = Window.partitionBy(*by).orderBy("_block")
     starts = totals.select(*by, "_block", *[_running_before(f"_t_{s}", across).alias(f"_s_{s}") for s in sums])
