@@ -453,7 +453,7 @@ def _search(spark: SparkSession, folder: str) -> DataFrame:
 def _mode_report(spark: SparkSession, folder: str) -> DataFrame:
     parts = stage(X.split_by_mode(source.observations(spark, folder)), "modes")
     train = G.spread(G.with_weights(parts.where("split = 'train'"), "failure_mode"))
-    model = G.mode_classifier().fit(train)
+    model = G.mode_classifier(trees=30, depth=8).fit(train)
     return _report(G.predicted_modes(model, parts.where("split = 'test'")))
 
 
@@ -513,10 +513,11 @@ def _mean_errors(spark: SparkSession, folder: str) -> DataFrame:
 TRAINING_QUERIES: dict[str, Query] = {
     "g01_logistic_baseline": _trained("logistic regression", G.logistic_baseline),
     "g02_decision_tree": _trained("decision tree", G.decision_tree),
-    "g03_random_forest": _trained("random forest", G.random_forest),
+    # Tree counts here suit a laptop; the operators' defaults are the full sizes.
+    "g03_random_forest": _trained("random forest", lambda: G.random_forest(trees=100)),
     "g04_boosted_trees": _trained("boosted trees", lambda: G.boosted_trees(rounds=40)),
     "g05_class_weights": _class_weights,
-    "g05_weighted_forest": _trained("weighted forest", lambda: G.random_forest(weight="weight"), weighted=True),
+    "g05_weighted_forest": _trained("weighted forest", lambda: G.random_forest(trees=60, weight="weight"), weighted=True),
     "g07_search_results": _search,
     "g08_mode_report": _mode_report,
     "g09_perceptron": _trained("perceptron", lambda: G.perceptron(max_iter=60), copies=True),
