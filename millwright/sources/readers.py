@@ -37,8 +37,8 @@ def bad_lines(raw: DataFrame) -> DataFrame:
 
 def read_text_folder(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
     """Every matching file below ``folder`` as one row: its path and whole text."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return files.text(folder).select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    return files.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,6 @@
 """Sources, sinks, streaming, learning, retrieval and plan shapes."""
 
 import json
-import os
 
 import pytest
 from pyspark.ml import Pipeline
@@ -288,13 +287,25 @@ def test_top_lists_do_not_sort_the_fleet(spark, small):
         assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan.split("TakeOrderedAndProject")[-1], name
 
 
-def test_shared_folder_is_the_configured_one(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch_path(spark, "x").startswith(str(tmp_path))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert os.path.isabs(scratch_path(spark, "x"))
+class StubSession:
+    """A session as far as the shared folder is concerned."""
+
+    def __init__(self, configured, master):
+        self.conf = self
+        self.sparkContext = self
+        self.configured, self.master = configured, master
+
+    def get(self, key, default):
+        return self.configured if key == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder_is_the_configured_one():
+    assert scratch_path(StubSession("/shared/place/", "spark://x"), "job").startswith("/shared/place/millwright/job-")
+    with pytest.raises(RuntimeError):
+        scratch_path(StubSession(None, "spark://x"), "job")
 
 
 def test_metrics_row_names_its_split(spark):
