@@ -23,6 +23,7 @@ from millwright.operators import modelling as M
 from millwright.operators import quality as B
 from millwright.operators import retrieval as L
 from millwright.operators import scoring as H
+from millwright.operators.etl import refresh_fleet
 from millwright.operators.modelling import FleetTables
 from millwright.sources import lineitem_fleet as source
 from millwright.session import scratch_path, stage
@@ -104,6 +105,11 @@ def _source_keys(spark: SparkSession, folder: str) -> DataFrame:
     return B.foreign_key_report(tables, SOURCE_KEYS)
 
 
+def _stored_tables(spark: SparkSession, folder: str) -> FleetTables:
+    """The six tables written by the refresh and read back."""
+    return refresh_fleet(source.repeated_observations(spark, folder), scratch_path(spark, "tables"))
+
+
 def _wide(df: DataFrame) -> DataFrame:
     return df.drop("reading_id")
 
@@ -131,7 +137,7 @@ QUALITY_QUERIES: dict[str, Query] = {
     "b05_label_rules": _table("labels", B.rule_report, LABEL_RULES),
     "b06_range_rules": _feed(B.rule_report, S.RANGE_RULES),
     "b06_event_rules": _table("events", B.rule_report, EVENT_RULES),
-    "b07_foreign_keys": _tables(lambda t: B.foreign_key_report(t.named(), S.FOREIGN_KEYS), repeated=True),
+    "b07_foreign_keys": lambda s, d: B.foreign_key_report(_stored_tables(s, d).named(), S.FOREIGN_KEYS),
     "b07_source_keys": _source_keys,
     "b09_label_consistency": _fleet(B.label_consistency),
     "b09_inconsistent_rows": _fleet(B.inconsistent_rows),
@@ -292,9 +298,7 @@ def _feature_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _table_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    place = scratch_path(spark, "tables")
-    writers.write_tables(FleetTables.from_observations(source.repeated_observations(spark, folder)).named(), place)
-    stored = FleetTables.load(spark, place).named()
+    stored = _stored_tables(spark, folder).named()
     counts = [t.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name, t in stored.items()]
     return reduce(DataFrame.unionByName, counts)
 
@@ -369,7 +373,7 @@ def _document_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _drift(spark: SparkSession, folder: str) -> DataFrame:
-    ready = stage(X.prepared(source.observations(spark, folder)), "prepared")
+    ready = X.prepared(source.observations(spark, folder))
     return _rounded(_rounded(J.ks_drift(ready, X.FEATURE_COLUMNS, "split", "train", "test"), ["statistic"], 9), ["p_value"])
 
 

@@ -144,17 +144,17 @@ def multi_mode_machines(t: FleetTables) -> DataFrame:
     Events are counted per (machine, mode) first, so a machine with any number of events lists at
     most five entries; the list repeats a mode as often as it occurred.
     """
-    events = t.melted.where(F.col("failure_mode_code") != K.UNSPECIFIED)
-    per_mode = events.groupBy("machine_id", "failure_mode_code").agg(F.count(F.lit(1)).alias("_n"))
-    per_machine = per_mode.groupBy("machine_id").agg(
+    events = t.event_facts.where(F.col("failure_mode_code") != K.UNSPECIFIED)
+    machine = ["machine_id", "product_id", "type_code"]
+    per_mode = events.groupBy(*machine, "failure_mode_code").agg(F.count(F.lit(1)).alias("_n"))
+    per_machine = per_mode.groupBy(*machine).agg(
         F.sum("_n").alias("distinct_modes_triggered"),
         F.count(F.lit(1)).alias("distinct_modes"),
         F.array_sort(F.collect_list(F.struct("failure_mode_code", "_n"))).alias("_modes"),
     ).where(F.col("distinct_modes_triggered") > 1)
     listed = F.array_join(F.flatten(F.transform(
         "_modes", lambda m: F.array_repeat(m["failure_mode_code"], m["_n"].cast("int")))), ",")
-    named = t.typed(per_machine.join(t.machines, "machine_id"), "type_name")
-    return named.select(
+    return t.typed(per_machine, "type_name").select(
         "machine_id", "product_id", "type_name", "distinct_modes_triggered", "distinct_modes", listed.alias("modes")
     ).orderBy(F.col("distinct_modes_triggered").desc(), "machine_id")
 
@@ -221,10 +221,8 @@ def high_torque(t: FleetTables, floor: float = 0.90) -> DataFrame:
 
 def failure_cost(t: FleetTables, cost_per_failure: int = K.DOWNTIME_COST) -> DataFrame:
     """Events and placeholder cost per type and mode, with the mode's share of its type."""
-    events = t.melted.where(F.col("failure_mode_code") != K.UNSPECIFIED)
-    per_machine = events.groupBy("machine_id", "failure_mode_code").agg(F.count(F.lit(1)).alias("_n"))
-    counts = per_machine.join(t.machines.select("machine_id", "type_code"), "machine_id").groupBy(
-        "type_code", "failure_mode_code").agg(F.sum("_n").alias("failure_count"))
+    events = t.event_facts.where(F.col("failure_mode_code") != K.UNSPECIFIED)
+    counts = events.groupBy("type_code", "failure_mode_code").agg(F.count(F.lit(1)).alias("failure_count"))
     in_type = F.sum("failure_count").over(Window.partitionBy("type_name"))  # five rows per type
     return t.typed(counts, "type_name").select(
         "type_name", "failure_mode_code", "failure_count",

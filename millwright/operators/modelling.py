@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 from functools import cached_property
 
@@ -37,7 +38,7 @@ def sensor_readings(clean: DataFrame) -> DataFrame:
     return clean.select(F.col(reading).alias("reading_id"), "machine_id", *K.SENSORS)
 
 
-def melt_failures(clean: DataFrame) -> DataFrame:
+def melt_failures(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per set flag, plus UNSPECIFIED for a failure without any; ``mode_order`` keeps melt order."""
     reading = "reading_id" if "reading_id" in clean.columns else "machine_id"
     no_flag = F.lit(True)
@@ -53,10 +54,10 @@ def melt_failures(clean: DataFrame) -> DataFrame:
     spread = relevant.select(
         F.col(reading).alias("reading_id"), "machine_id",
         F.explode(F.array_compact(F.array(*entries))).alias("_event"),
-        F.col("machine_failure").alias("is_overall_failure"),
+        F.col("machine_failure").alias("is_overall_failure"), *keep,
     )
     return spread.select("reading_id", "machine_id", "_event.failure_mode_code", "is_overall_failure",
-                         "_event.mode_order")
+                         "_event.mode_order", *keep)
 
 
 def failure_events(clean: DataFrame) -> DataFrame:
@@ -123,8 +124,8 @@ class FleetTables:
                    maintenance_events(events, readings), clean)
 
     @classmethod
-    def load(cls, spark: SparkSession, folder: str) -> FleetTables:
-        return cls(**{name: spark.read.schema(schema).parquet(f"{folder}/{name}")
+    def load(cls, spark: SparkSession, folder: str, but: Sequence[str] = ()) -> FleetTables:
+        return cls(**{name: None if name in but else spark.read.schema(schema).parquet(f"{folder}/{name}")
                       for name, schema in S.TABLES.items()})
 
     def named(self) -> dict[str, DataFrame]:
@@ -152,6 +153,13 @@ class FleetTables:
             return melt_failures(self.source).drop("mode_order")
         return self.failure_events.drop("event_id")
 
+    @cached_property
+    def event_facts(self) -> DataFrame:
+        """Events with their machine's product and type: kept while melting, or joined from the stored tables."""
+        if self.source is not None:
+            return melt_failures(self.source, ["product_id", "type_code"]).drop("mode_order")
+        return self.failure_events.drop("event_id").join(self.machines, "machine_id")
+
     def typed(self, df: DataFrame, *names: str) -> DataFrame:
         """Attach type columns. The dimension is three literal rows (three stored rows when loaded)."""
         return df.join(F.broadcast(self.machine_type.select("type_code", *names)), "type_code")

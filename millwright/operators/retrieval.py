@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millwright import constants as K
 from millwright.operators.evaluation import ranked_within
+from millwright.plans.sizes import few_rows
 
 CHUNK_SIZE, CHUNK_OVERLAP = 500, 50
 NOT_FOUND = "No relevant maintenance documentation found."
@@ -125,10 +126,9 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "qu
           vector: str = "embedding") -> DataFrame:
     """The ``k`` most cosine-similar corpus rows per query, exactly; ties by id.
 
-    The query matrix is checked for size and sent to the tasks. Each Arrow batch of the corpus
-    returns its own ``k`` best per query, so what is shuffled does not grow with the corpus rows but
-    with its batches, and each task passes on only its ``k`` best again. Larger query sets are to be
-    searched in parts.
+    The query matrix is checked for size and sent to the tasks. A task keeps its ``k`` best per query
+    over its Arrow batches and returns those alone, so what is shuffled grows with the number of
+    tasks and not of corpus rows. Larger query sets are to be searched in parts.
     """
     held = queries.select(query_id, F.col(vector).cast("array<double>").alias("_v")).limit(MAX_QUERIES + 1).collect()
     if len(held) > MAX_QUERIES:
@@ -145,6 +145,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "qu
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, q = everywhere.value
+        kept = [(np.empty(0), np.empty(0, "int64"))] * len(names)
         for batch in batches:
             if not len(batch):
                 continue
@@ -152,18 +153,19 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "qu
             lengths = np.linalg.norm(rows, axis=1, keepdims=True)
             scores = np.round((rows / np.where(lengths == 0, 1.0, lengths)) @ q.T, SCORE_DIGITS)
             keys = batch[uid].to_numpy()
-            found = []
-            for j in range(len(names)):
+            for j, (old_scores, old_keys) in enumerate(kept):
                 column = scores[:, j]
-                if len(column) > k:
-                    near = np.flatnonzero(column >= np.partition(column, len(column) - k)[len(column) - k])
+                if len(column) > k:  # everything at or above the k-th best, ties included
+                    near = column >= np.partition(column, len(column) - k)[len(column) - k]
+                    column, found = column[near], keys[near]
                 else:
-                    near = np.arange(len(column))
-                chosen = near[np.lexsort((keys[near], -column[near]))][:k]
-                found.append((np.full(len(chosen), j), keys[chosen], column[chosen]))
-            which = np.concatenate([f[0] for f in found])
-            yield pd.DataFrame({query_id: names[which], uid: np.concatenate([f[1] for f in found]),
-                                "score": np.concatenate([f[2] for f in found])})
+                    found = keys
+                column, found = np.concatenate([old_scores, column]), np.concatenate([old_keys, found])
+                chosen = np.lexsort((found, -column))[:k]
+                kept[j] = (column[chosen], found[chosen])
+        counts = [len(column) for column, _ in kept]
+        yield pd.DataFrame({query_id: np.repeat(names, counts), uid: np.concatenate([keys for _, keys in kept]),
+                            "score": np.concatenate([column for column, _ in kept])})
 
     candidates = corpus.select(uid, vector).mapInPandas(best, schema)
     return ranked_within(candidates, [query_id], [F.col("score").desc(), F.col(uid)], k)
@@ -175,8 +177,7 @@ def context(hits: DataFrame, texts: DataFrame, queries: DataFrame, query_id: str
 
     ``hits`` holds at most ``k`` rows per query.
     """
-    # The hit list is k rows for each of at most MAX_QUERIES queries.
-    named = texts.join(F.broadcast(hits), uid)
+    named = texts.join(few_rows(hits, "hits", 100 * MAX_QUERIES), uid)
     joined = named.groupBy(query_id).agg(F.array_sort(F.collect_list(F.struct("rank", text))).alias("_found"))
     told = joined.select(query_id, F.array_join(F.transform("_found", lambda f: f[text]), CONTEXT_SEPARATOR).alias("context"))
     return queries.select(query_id).join(told, query_id, "left").withColumn(

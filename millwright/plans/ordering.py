@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millwright.plans.sizes import few_rows
+
 BLOCK_BITS = 18
 VALUE_BITS = 8  # distinct values are cut into 2**VALUE_BITS blocks
 HALO_BITS = 14
@@ -126,15 +128,16 @@ def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str],
     shares = ", ".join(f"{i / n}D" for i in range(1, n))
     cuts = df.groupBy(*by).agg(F.expr(f"percentile_approx(`{value}`, array({shares}), {8 * n})").alias("_cuts"))
     if by:
-        located = df.join(F.broadcast(cuts), by)  # one row per group: a handful of features
+        located = df.join(few_rows(cuts, "groups"), by)
     else:
         located = df.withColumn("_cuts", cuts.scalar())
-    located = located.withColumn("_block", F.lit(0))
-    for bit in reversed(range(VALUE_BITS)):  # binary search: how many cuts lie below the value
-        step = 1 << bit
-        located = located.withColumn(
-            "_block", F.expr(f"_block + IF(get(_cuts, _block + {step - 1}) < `{value}`, {step}, 0)"))
-    located = located.drop("_cuts")
+    # Binary search for the number of cuts below the value, one bit per step, in one projection.
+    steps, found = [], "0"
+    for bit in reversed(range(VALUE_BITS)):
+        step, name = 1 << bit, f"_b{bit}" if bit else "_block"
+        steps.append(f"{found} + IF(get(_cuts, {found} + {step - 1}) < `{value}`, {step}, 0) AS {name}")
+        found = name
+    located = located.selectExpr("*", *steps).drop("_cuts", *[f"_b{bit}" for bit in range(1, VALUE_BITS)])
     totals = located.groupBy(*by, "_block").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     across = Window.partitionBy(*by).orderBy("_block")
     starts = totals.select(*by, "_block", *[_running_before(f"_t_{s}", across).alias(f"_s_{s}") for s in sums])

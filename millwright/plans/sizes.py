@@ -1,0 +1,19 @@
+"""Broadcasting behind a size check that is part of the plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+FEW = 10_000
+
+
+def few_rows(df: DataFrame, what: str, limit: int = FEW) -> DataFrame:
+    """``df`` marked for broadcasting; the job stops if it holds more than ``limit`` rows.
+
+    Meant for one row per group of a small domain (features, classes, strata). The count runs with
+    the rows themselves, so nothing is computed twice and nothing oversized is ever sent out.
+    """
+    counted = df.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
+    checked = counted.where(F.expr(f"IF(_rows <= {limit}, true, CAST(raise_error('more than {limit} {what}') AS BOOLEAN))"))
+    return F.broadcast(checked.drop("_rows"))

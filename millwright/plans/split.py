@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.functions.columns import int_div
+from millwright.plans.sizes import few_rows
 
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets
 
@@ -19,19 +19,17 @@ def row_hash(uid: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(uid).cast("string"), F.lit(f"|{seed}")))
 
 
-def _largest_remainder(count: str, wanted: Column, stratum: str, name: str, sizes: DataFrame) -> DataFrame:
-    """Share ``wanted`` rows among strata in proportion to ``count``; leftovers by largest remainder."""
-    everything = Window.partitionBy()  # one row per stratum
-    sized = sizes.withColumn("_all", F.sum(count).over(everything)).withColumn("_want", wanted)
-    sized = sized.withColumns({
-        "_base": int_div(F.col("_want") * F.col(count), F.col("_all")),
-        "_rest": (F.col("_want") * F.col(count)) % F.col("_all"),
-    })
-    sized = sized.withColumn("_left", F.col("_want") - F.sum("_base").over(everything))
-    order = F.row_number().over(Window.orderBy(F.col("_rest").desc(), F.col(stratum)))
-    return sized.withColumn(name, F.col("_base") + F.when(order <= F.col("_left"), 1).otherwise(0)).drop(
-        "_all", "_want", "_base", "_rest", "_left"
-    )
+def _deal(sizes: DataFrame, stratum: str, count: str, held_pct: int, name: str) -> DataFrame:
+    """Share all rows but the rounded-up ``held_pct`` among strata in proportion to ``count``.
+
+    Leftover rows go to the largest remainders. There is one input row per stratum.
+    """
+    totals = sizes.selectExpr("*", f"sum({count}) OVER () AS _all")
+    wanted = totals.selectExpr("*", f"_all - CAST(ceil(_all * {held_pct} / 100) AS BIGINT) AS _want")
+    shares = wanted.selectExpr("*", f"(_want * {count}) div _all AS _base", f"(_want * {count}) % _all AS _rest")
+    ranked = shares.selectExpr(
+        "*", "_want - sum(_base) OVER () AS _left", f"row_number() OVER (ORDER BY _rest DESC, `{stratum}`) AS _place")
+    return ranked.selectExpr(*sizes.columns, f"_base + IF(_place <= _left, 1, 0) AS {name}")
 
 
 def stratum_cuts(sizes: DataFrame, stratum: str, held_out_pct: int, second_pct: int) -> DataFrame:
@@ -40,13 +38,9 @@ def stratum_cuts(sizes: DataFrame, stratum: str, held_out_pct: int, second_pct:
     The held-out share is rounded up over all rows and dealt to strata in proportion; its second
     part is rounded up likewise.
     """
-    everyone = F.col("_all")
-    first = everyone - F.ceil(everyone * held_out_pct / 100)
-    dealt = _largest_remainder("n", first, stratum, "first_cut", sizes)
-    dealt = dealt.withColumn("_held", F.col("n") - F.col("first_cut"))
-    middle = everyone - F.ceil(everyone * second_pct / 100)
-    dealt = _largest_remainder("_held", middle, stratum, "_middle", dealt)
-    return dealt.select(stratum, "n", "first_cut", (F.col("first_cut") + F.col("_middle")).alias("second_cut"))
+    first = _deal(sizes, stratum, "n", held_out_pct, "first_cut").selectExpr("*", "n - first_cut AS _held")
+    both = _deal(first, stratum, "_held", second_pct, "_middle")
+    return both.selectExpr(f"`{stratum}`", "n", "first_cut", "first_cut + _middle AS second_cut")
 
 
 def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_pct: int = 30,
@@ -67,18 +61,17 @@ def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_
 
     ordered = Window.partitionBy(stratum).orderBy("_bucket")  # at most 65,536 rows per stratum
     spans = counts.withColumn("_end", F.sum("_n").over(ordered)).withColumn("_start", F.col("_end") - F.col("_n"))
-    hit = spans.join(F.broadcast(wanted), stratum).where(
+    hit = spans.join(few_rows(wanted, "strata"), stratum).where(
         (F.col("rows") > F.col("_start")) & (F.col("rows") <= F.col("_end"))
     ).select(stratum, "_bucket", "which", (F.col("rows") - F.col("_start")).alias("_nth"))
 
-    # Two buckets per stratum: the rows that share a bucket with a cut.
-    near = bucketed.join(F.broadcast(hit), [stratum, "_bucket"])
+    # The rows that share a bucket with a cut: two buckets per stratum.
+    near = bucketed.join(few_rows(hit, "cuts"), [stratum, "_bucket"])
     rank = F.row_number().over(Window.partitionBy(stratum, "which").orderBy("_hash", "_uid"))
     points = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_nth")).groupBy(stratum).agg(
         *[F.max(F.when(F.col("which") == w, F.struct("_hash", "_uid"))).alias(f"_cut{w}") for w in (1, 2)]
     )
-    # One row per stratum.
-    located = df.join(F.broadcast(points), stratum, "left")
+    located = df.join(few_rows(points, "strata"), stratum, "left")
     me = F.struct(row_hash(uid, seed).alias("_hash"), F.col(uid).cast("long").alias("_uid"))
     split = F.when(me <= F.col("_cut1"), names[0]).when(me <= F.col("_cut2"), names[1]).otherwise(names[2])
     return located.withColumn("split", split).drop("_cut1", "_cut2")

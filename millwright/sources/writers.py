@@ -22,19 +22,24 @@ def write_flat(clean: DataFrame, path: str, fmt: str = "parquet") -> None:
     (writer.option("header", True).csv if fmt == "csv" else writer.format(fmt).save)(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Full refresh, dimensions before facts, in the declared types.
+def write_table(name: str, df: DataFrame, folder: str) -> None:
+    """One table in its declared types.
 
     Rows are sorted by machine inside each file, so a lookup by machine skips row groups. No
     repartitioning: the tables arrive partitioned by their key.
     """
-    for name, schema in TABLES.items():
-        typed = tables[name].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        if name in SMALL:
-            typed = typed.coalesce(1)
-        elif name in FILE_SORT:
-            typed = typed.sortWithinPartitions(FILE_SORT[name])
-        typed.write.mode("overwrite").parquet(f"{folder}/{name}")
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
+    if name in SMALL:
+        typed = typed.coalesce(1)
+    elif name in FILE_SORT:
+        typed = typed.sortWithinPartitions(FILE_SORT[name])
+    typed.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Full refresh, dimensions before facts."""
+    for name in TABLES:
+        write_table(name, tables[name], folder)
 
 
 def save_bucketed(tables: Mapping[str, DataFrame], database: str, buckets: int) -> None:
@@ -68,8 +73,11 @@ def as_vector(df: DataFrame, column: str = "features") -> DataFrame:
 
 
 def write_scores(scored: DataFrame, rejected: DataFrame, path: str) -> None:
-    """Scored rows by descending risk as CSV, rejected rows with their reasons beside them."""
-    ordered = scored.orderBy(F.col("failure_probability").desc())
+    """Scored rows by descending risk as CSV, rejected rows with their reasons beside them.
+
+    Rows of equal risk are ordered by a hash, so that however many there are, several tasks share them.
+    """
+    ordered = scored.orderBy(F.col("failure_probability").desc(), F.xxhash64(*[f"`{c}`" for c in scored.columns]))
     ordered.write.mode("overwrite").option("header", True).csv(f"{path}/scored")
     told = rejected.withColumn("broken_rules", F.array_join("broken_rules", "; "))
     told.write.mode("overwrite").option("header", True).csv(f"{path}/rejected")

@@ -77,6 +77,25 @@ def test_table_refresh_is_repeatable(spark, clean, tmp_path):
         assert query(stored).collect() == query(tables).collect()
 
 
+def test_etl_from_csv(spark, clean, tmp_path):
+    from millwright.operators.etl import run_etl
+
+    writers.write_flat(source.to_raw(clean), str(tmp_path / "raw"), "csv")
+    loaded = run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "tables"))
+    tables = FleetTables.from_observations(clean)
+    assert loaded.machines.count() == clean.count()
+    assert loaded.failure_events.exceptAll(tables.failure_events).count() == 0
+    assert loaded.maintenance_events.count() == tables.failure_events.count()
+
+
+def test_oversized_broadcast_stops(spark):
+    from millwright.plans.sizes import few_rows
+
+    assert few_rows(spark.range(5), "rows", 5).count() == 5
+    with pytest.raises(Exception, match="more than 4 rows"):
+        few_rows(spark.range(5), "rows", 4).collect()
+
+
 def test_comparison_export(spark, tmp_path):
     rows = spark.createDataFrame([("a", 0.5), ("b", 0.9)], "model string, pr_auc double")
     writers.write_comparison(rows, str(tmp_path / "cmp"))
