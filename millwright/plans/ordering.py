@@ -122,7 +122,7 @@ def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str],
     by = list(by)
     running = [f"cum_{s}" for s in sums]
     if bounded:
-        ordered = Window.partitionBy(*by).orderBy(value)
+        ordered = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.sum(s).over(ordered) for c, s in zip(running, sums)})
     n = 1 << VALUE_BITS
     shares = ", ".join(f"{i / n}D" for i in range(1, n))
@@ -141,7 +141,7 @@ def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str],
     totals = located.groupBy(*by, "_block").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     across = Window.partitionBy(*by).orderBy("_block")
     starts = totals.select(*by, "_block", *[_running_before(f"_t_{s}", across).alias(f"_s_{s}") for s in sums])
-    inside = Window.partitionBy(*by, "_block").orderBy(value)
+    inside = Window.partitionBy(*by, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = located.withColumns({f"_c_{s}": F.sum(s).over(inside) for s in sums})
     return local.join(starts, [*by, "_block"]).withColumns(
         {c: F.col(f"_s_{s}") + F.col(f"_c_{s}") for c, s in zip(running, sums)}
