@@ -4,11 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import decontamination, line_dedup, simhash
+from millwright.llm import decontamination, line_dedup, packing, rans, simhash
 from millwright.llm.common import table
+from millwright.session import scratch_path
+
+
+def vocabulary() -> str:
+    return tokenizer_path("word_bpe_49k.json")
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = rans.encode_corpus(table(spark, sf_dir, "documents"), vocabulary(), scratch_path(spark, "token-files"))
+    pieces = rans.decode_corpus(spark, folder).select("part", "ordinal", "piece", "doc_id", "start", F.length("ids").cast("long").alias("bytes"), F.crc32("ids").alias("crc"))
+    join_crc = F.udf(lambda rows: rans.joined_crc32([(r["crc"], r["bytes"]) for r in rows]), "long")
+    whole = pieces.groupBy("part", "ordinal").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("bytes").alias("bytes"), F.min("crc").alias("crc"),
+        F.sort_array(F.collect_list(F.struct("piece", "crc", "bytes"))).alias("pieces"),
+    )
+    one = whole.where(F.size("pieces") == 1).select("doc_id", "start", (F.col("bytes") / 4).cast("long").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+    more = whole.where(F.size("pieces") > 1).select("doc_id", "start", (F.col("bytes") / 4).cast("long").alias("n_tokens"), join_crc("pieces").alias("ids_crc32"))
+    return one.union(more)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +45,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def packed_digest(docs: DataFrame) -> DataFrame:
+    pieces = packing.cut_documents(docs, vocabulary()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    placed = packing.pack(pieces)
+    return placed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup)
+    f.__name__: f for f in (op1_token_files, op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing)
 }
