@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontamination, line_dedup, simhash
-from millwright.llm.common import stored, table
+from pyspark.sql import functions as F
+
+from millwright.llm import decontamination, line_crf, line_dedup, simhash
+from millwright.llm.common import stored, table, unpacked
+from millwright.llm.queries import packed_digest
+
+
+def low_quality_goes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labels of documents given here."""
+    model = line_crf.fit(docs, table(spark, sf_dir, "labels"))
+    good = line_crf.scored(docs, model).where(F.col("score") >= line_crf.THRESHOLD)
+    return unpacked(good, docs.columns)
 
 
 def shared_lines_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +33,17 @@ def benchmark_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontamination.without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
+def sequences_filled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in packed sequences."""
+    return packed_digest(docs)
+
+
 STAGES = [
+    ("quality_classifier", low_quality_goes),
     ("line_dedup", shared_lines_go),
     ("simhash_near_dedup", near_copies_go),
     ("benchmark_decontamination", benchmark_passages_go),
+    ("best_fit_packing", sequences_filled),
 ]
 
 #: Fingerprints, the classifier and the tokenizer have no SQL form; tests/llm holds the brute force.

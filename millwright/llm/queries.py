@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import decontamination, line_dedup, packing, rans, simhash
+from millwright.llm import decontamination, line_crf, line_dedup, packing, rans, simhash
 from millwright.llm.common import table
 from millwright.session import scratch_path
 
@@ -30,6 +30,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.union(more)
 
 
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = line_crf.scored(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", line_crf.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= line_crf.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -56,5 +62,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing)
+    f.__name__: f for f in (op1_token_files, op5_quality_crf, op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing)
 }
