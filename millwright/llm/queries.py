@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import decontamination, line_crf, line_dedup, packing, rans, simhash
+from millwright.llm import decontamination, line_crf, line_dedup, packing, rans, sharding, simhash
 from millwright.llm.common import table
 from millwright.session import scratch_path
 
@@ -30,6 +30,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.union(more)
 
 
+def op2_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign_shards(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = line_crf.scored(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
@@ -62,5 +67,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op5_quality_crf, op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing)
+    f.__name__: f for f in (op1_token_files, op2_label_propagation_shards, op5_quality_crf, op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing)
 }
