@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import decontamination, line_crf, line_dedup, packing, rans, sharding, simhash
+from millwright.llm import decontamination, html_text, line_crf, line_dedup, line_rules, packing, rans, secrets, sharding, simhash
 from millwright.llm.common import table
 from millwright.session import scratch_path
 
@@ -35,6 +35,21 @@ def op2_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    live = F.transform("live", lambda s: F.struct(F.lit(secrets.KINDS.index("live")).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_list(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_list(F.concat("spans", live)).alias("spans"), F.size("live").cast("long").alias("n_live"), "n_copied",
+    )
+
+
+def op4_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_rules.judge_documents(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines", "lost_chars")
+
+
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = line_crf.scored(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
@@ -66,6 +81,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_label_propagation_shards, op5_quality_crf, op6_simhash_near_dedup, op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing)
+    f.__name__: f for f in (
+        op1_token_files, op2_label_propagation_shards, op3_secret_ownership, op4_line_first_rules, op5_quality_crf, op6_simhash_near_dedup,
+        op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing, op10_html_blocks,
+    )
 }
