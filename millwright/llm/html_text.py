@@ -7,7 +7,7 @@ main element, where a page has one, prose needs no stop words, since the element
 is. Short blocks without links are left open. In the second pass an open block takes the label of the
 nearest decided blocks before and after it; where those differ, or on a tie, a heading follows the
 block after it and any other block the one before it. Open blocks look no further than their article
-element; an article of open blocks alone is text.
+element and pass over menus and the like; where that leaves no decided block, open ones are text.
 
 Scripts, styles, comments of the markup and the head are dropped, character references are decoded,
 white space inside a block becomes one space, blocks are joined by a line end.
@@ -123,8 +123,9 @@ def blocks(page: str) -> list[Block]:
             add(page[at:start])
             breaks = 0 if page[at:start].strip() else breaks
         if not m:
-            stop = page.find("-->", start + 4) + 2 if page.startswith("<!--", start) else page.find(">", start)
-            at = stop + 1 if stop > start else len(page)
+            end = "-->" if page.startswith("<!--", start) else ">"
+            stop = page.find(end, start + len(end) + 1 if end == "-->" else start)
+            at = stop + len(end) if stop >= 0 else len(page)
             continue
         whole = ATTRIBUTES.match(page, m.end()) if quoted else None
         if whole:
@@ -211,18 +212,18 @@ def second_pass(found: list[Block]) -> None:
     last: list[tuple[int, str] | None] = []
     for i, block in enumerate(found):
         last.append(before.get(block.article))
-        if decided[i] != OPEN and not (block.article and block.outside):
+        if decided[i] != OPEN and not block.outside:
             before[block.article] = (i, decided[i])
     after: dict[int, tuple[int, str]] = {}
     for i in range(len(found) - 1, -1, -1):
         block = found[i]
         if decided[i] != OPEN:
-            if not (block.article and block.outside):
+            if not block.outside:
                 after[block.article] = (i, decided[i])
             continue
         sides = [s for s in (last[i], after.get(block.article)) if s]
         if not sides:
-            block.label = GOOD if block.article else BAD
+            block.label = GOOD
         elif len(sides) == 1 or sides[0][1] == sides[1][1]:
             block.label = sides[0][1]
         elif i - sides[0][0] != sides[1][0] - i:

@@ -1,9 +1,9 @@
 """Balanced label propagation: equal texts move to one shard under byte quotas; DataFrame functions only.
 
 Documents with equal texts are linked. Linked documents start in shards drawn by a hash; in each
-round every group counts its documents by shard, and those outside the group's leading shard that
-still has room move there. Sizes stay within the quota, an even share of all bytes: where the moves
-into a shard exceed its room, small parts of groups go first and the first part class that does not
+round every group counts its documents by shard, and those outside the group's leading shard move there.
+Sizes stay within the quota, an even share of all bytes and ``SLACK``: where the moves into a shard
+exceed its room and what leaves it, small parts of groups go first and the first part class that does not
 fit goes by a share of its rows. A group larger than a shard thus fills whole shards one after the
 other. Rounds end when nothing moves. Documents without links then fill every shard up to its even
 share, in the order of a hash, so sizes differ from even by less than one document.
@@ -26,6 +26,8 @@ from millwright.llm.common import discard, stored, two_hashes, whole_text
 
 SHARDS = 8
 ROUNDS = 16
+#: Linked documents may fill a shard up to this share beyond even.
+SLACK = 0.01
 BLOCK_ROWS = 50_000
 ROW = ["row", "doc_id", "size", "text_crc32", "h1", "h2"]
 
@@ -51,31 +53,61 @@ def _pick(values: list, column: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(column) + 1)
 
 
+def _accepted(wanted: list, loads: list[int], quota: float) -> tuple[list[int], list[float], float]:
+    """(last class, share of it, bytes) to accept into each shard of the moves (from, to, class, bytes).
+
+    Starts from all moves and takes back what would exceed the quota, given what leaves each shard by
+    the moves still accepted; taking back only ever shrinks, so this ends within the quota.
+    """
+    shards = len(loads)
+    last, share = [64] * shards, [1.0] * shards
+    part = lambda to, size_class: 1.0 if size_class < last[to] else share[to] if size_class == last[to] else 0.0
+    for _ in range(100):
+        leaving = [sum(b * part(to, c) for source, to, c, b in wanted if source == s) for s in range(shards)]
+        before = (list(last), list(share))
+        for to in range(shards):
+            room = max(0.0, quota - loads[to] + leaving[to])
+            for size_class in range(65):  # small parts first
+                size = sum(b for _, t, c, b in wanted if t == to and c == size_class) if size_class < 64 else 0
+                if size > room:
+                    last[to], share[to] = min((last[to], share[to]), (size_class, room / size))
+                    break
+                room -= size
+        if (last, share) == before:
+            break
+    return last, share, sum(b * part(to, c) for _, to, c, b in wanted)
+
+
 def propagate(linked: DataFrame, quota: float, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """``linked`` with shards after label propagation; each round is written to the shared folder."""
-    now, path = linked, None
+    """``linked`` with shards after label propagation; each round is written to the shared folder.
+
+    Every other round looks at shards with room alone, so groups whose leading shard is full gather
+    in the next best.
+    """
+    now, path, idle = linked, None, 0
     for turn in range(rounds):
         parts = now.groupBy("h1", "h2", "shard").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
-        room = [max(0.0, quota - load) for load in _by_shard(parts, shards)]
+        loads = _by_shard(parts, shards)
         rank = F.struct("n", F.pmod(F.xxhash64("h1", "shard"), F.lit(1 << 20)).alias("draw"), "shard")
         ranked = parts.select("*", rank.alias("rank"), F.floor(F.log2("bytes")).cast("int").alias("class"))
-        lead = ranked.where(_pick([r > 0 for r in room], "shard")).groupBy("h1", "h2").agg(F.max("rank").alias("lead"))
+        leading = ranked if turn % 2 == 0 else ranked.where(_pick([load < quota for load in loads], "shard"))
+        lead = leading.groupBy("h1", "h2").agg(F.max("rank").alias("lead"))
         moves = (
             ranked.join(lead, ["h1", "h2"]).where((F.col("shard") != F.col("lead.shard")) & (F.col("rank") < F.col("lead")))
             .select("h1", "h2", "shard", "bytes", "class", F.col("lead.shard").alias("to"))
         )
-        wanted = moves.groupBy("to", "class").agg(F.sum("bytes").alias("bytes")).orderBy("to", "class").collect()  # at most 64 classes a shard
-        if not wanted:
+        wanted = moves.groupBy("shard", "to", "class").agg(F.sum("bytes").alias("bytes")).collect()  # at most 64 classes for each pair of shards
+        last, share, gained = _accepted([tuple(r) for r in wanted], loads, quota)
+        idle = idle + 1 if gained < 1 else 0
+        if not wanted and turn % 2 == 0 or idle == 2:
             break
-        last, share, left = [-1] * shards, [0.0] * shards, list(room)
-        for to, size_class, size in wanted:  # ascending: small parts first
-            if share[to] < 1 and last[to] >= 0:
-                continue
-            last[to], share[to] = size_class, min(1.0, left[to] / size)
-            left[to] -= size * share[to]
-        draw = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
+        if gained < 1:
+            continue
+        # a part goes whole but for those too large to matter little
+        drawn = F.when(F.col("bytes") > quota / 100, F.xxhash64("row", F.lit(turn))).otherwise(F.xxhash64("h1", "h2", F.lit(turn)))
+        draw = F.pmod(drawn, F.lit(1 << 30)) / float(1 << 30)
         goes = (F.col("class") < _pick(last, "to")) | ((F.col("class") == _pick(last, "to")) & (draw < _pick(share, "to")))
-        moved = now.join(moves.drop("bytes"), ["h1", "h2", "shard"], "left")
+        moved = now.join(moves, ["h1", "h2", "shard"], "left")
         then, then_path = stored(moved.select(*ROW, F.when(goes, F.col("to")).otherwise(F.col("shard")).alias("shard")), "shards")
         if path:
             discard(now.sparkSession, path)
@@ -125,14 +157,14 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     quota = total / shards
     groups = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
-    moved = propagate(stored(rows.join(groups, ["h1", "h2"], "left_semi").select(*ROW, "shard"), "linked")[0], quota, shards)
+    moved = propagate(stored(rows.join(groups, ["h1", "h2"], "left_semi").select(*ROW, "shard"), "linked")[0], (1 + SLACK) * quota, shards)
     loads = _by_shard(moved, shards, value="size")
-    over = [s for s in range(shards) if loads[s] > quota]
+    over = [s for s in range(shards) if loads[s] > (1 + SLACK) * quota]
     pool = rows.join(groups, ["h1", "h2"], "left_anti").select(*ROW)
     if over:  # what a share of rows put beyond the quota joins the documents that may go anywhere
         full = _running(moved.where(F.col("shard").isin(over)), ["shard"], F.col("size"), "sum", count)
-        pool = pool.union(full.where(F.col("sum") > quota).select(*ROW))
-        moved = moved.where(~F.col("shard").isin(over)).union(full.where(F.col("sum") <= quota).select(*ROW, "shard"))
+        pool = pool.union(full.where(F.col("sum") > (1 + SLACK) * quota).select(*ROW))
+        moved = moved.where(~F.col("shard").isin(over)).union(full.where(F.col("sum") <= (1 + SLACK) * quota).select(*ROW, "shard"))
         loads = _by_shard(moved, shards, value="size")
     classes = pool.groupBy(F.floor(F.log2("size")).alias("class")).agg(F.sum("size").alias("bytes"), F.max("size").alias("most")).orderBy("class").collect()  # at most 64
     largest = max([r["most"] for r in classes], default=0)
