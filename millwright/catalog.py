@@ -70,11 +70,6 @@ def _fleet(make: Callable[..., DataFrame], read=source.observations, **options)
     return lambda spark, folder: make(read(spark, folder), **options)
 
 
-def _feed(make: Callable[..., DataFrame], *args) -> Query:
-    """A query over the feed as delivered, copies included."""
-    return lambda spark, folder: make(source.delivered_feed(spark, folder), *args)
-
-
 def _table(name: str, make: Callable[..., DataFrame], *args) -> Query:
     """A query over one delivered table."""
     return lambda spark, folder: make(spark.read.parquet(f"{folder}/{name}.parquet"), *args)
@@ -127,15 +122,18 @@ def _with_events(t: FleetTables) -> DataFrame:
 
 QUALITY_QUERIES: dict[str, Query] = {
     "a01_raw_scan": _fleet(source.to_raw),
-    "b01_drop_copies": lambda s, d: B.drop_copies(source.delivered_feed(s, d)),
-    "b01_copy_report": _feed(B.copy_report),
+    "b01_drop_copies": _table("documents", lambda t: B.drop_copies(t.drop("doc_id")).select(
+        "lang", "source", "n_chars", F.md5("text").alias("digest"))),
+    "b01_copy_report": _table("documents", B.copy_report, ["doc_id"]),
     "b02_rename": lambda s, d: M.rename_raw(source.to_raw(source.observations(s, d))),
     "b03_coercion": lambda s, d: B.coercion_report(
         _text_fields(source.observations(s, d)), dict.fromkeys([*K.SENSORS, "product_id"], "double")),
-    "b04_key_violations": _feed(B.key_violations, B.ID_COLUMNS),
-    "b05_domain_rules": _feed(B.rule_report, S.DOMAIN_RULES),
+    "b04_key_violations": _table("documents", lambda t: B.key_violations(
+        t.select("doc_id", F.md5("text").alias("digest")), ["doc_id", "digest"])),
+    "b04_key_violations_repeated": _fleet(B.key_violations, read=source.repeated_observations, keys=["reading_id", "machine_id"]),
+    "b05_domain_rules": _fleet(B.rule_report, rules=S.DOMAIN_RULES),
     "b05_label_rules": _table("labels", B.rule_report, LABEL_RULES),
-    "b06_range_rules": _feed(B.rule_report, S.RANGE_RULES),
+    "b06_range_rules": _fleet(B.rule_report, rules=S.RANGE_RULES),
     "b06_event_rules": _table("events", B.rule_report, EVENT_RULES),
     "b07_foreign_keys": lambda s, d: B.foreign_key_report(_stored_tables(s, d).named(), S.FOREIGN_KEYS),
     "b07_source_keys": _source_keys,
@@ -143,9 +141,10 @@ QUALITY_QUERIES: dict[str, Query] = {
     "b09_inconsistent_rows": _fleet(B.inconsistent_rows),
     "b10_missing_profile": _table("events", B.missing_profile),
     "b10_missing_profile_fleet": lambda s, d: B.missing_profile(_wide(source.observations(s, d))),
-    "b11_duplicate_profile": _feed(B.duplicate_profile),
+    "b11_duplicate_profile": _table("documents", B.duplicate_profile, ["doc_id"]),
+    "b11_duplicate_profile_fleet": _fleet(B.duplicate_profile),
     "b12_id_profile": _table("events", B.id_profile, ["event_id", "user_id"]),
-    "b12_id_profile_fleet": _feed(B.id_profile),
+    "b12_id_profile_fleet": _fleet(B.id_profile),
     "b13_prefix_agreement": _fleet(B.prefix_agreement),
     "b14_binary_values": _fleet(B.binary_values),
     "b15_leakage_agreement": _fleet(B.leakage_agreement),

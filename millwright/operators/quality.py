@@ -52,9 +52,9 @@ def copy_report(df: DataFrame, without: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def duplicate_profile(clean: DataFrame) -> DataFrame:
+def duplicate_profile(clean: DataFrame, ids: Sequence[str] = ID_COLUMNS) -> DataFrame:
     """Surplus copies of whole rows and of rows without their ids, from one grouping of the rows."""
-    profile = [name for name in clean.columns if name not in [*ID_COLUMNS, "reading_id"]]
+    profile = [name for name in clean.columns if name not in [*ids, "reading_id"]]
     whole = [name for name in clean.columns if name != "reading_id"]
     rows = clean.groupBy(*whole).agg(F.count(F.lit(1)).alias("_n"))
     outcomes = rows.groupBy(*profile).agg(

@@ -4,23 +4,25 @@ A window partitioned by machine type keeps three tasks busy however large the cl
 over all rows keeps one. The shapes here cut an ordering into blocks whose size is bounded by
 construction, order the rows inside each block, and carry the block totals:
 
-* blocks of a unique integer id hold at most ``2**BLOCK_BITS`` ids, whatever the group sizes;
-* blocks of distinct values come from approximate quantiles of those distinct values.
+* blocks of a unique id, and of distinct values, lie between approximate quantiles of these, so
+  sparse and hashed ids make blocks as even as dense ones;
+* their number follows the count of rows, about ``BLOCK_ROWS`` rows a block up to ``2**CUT_BITS`` blocks.
 
 Only block totals meet in one task. The results equal the plain window's.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.plans.sizes import few_rows
-
-BLOCK_BITS = 18
-VALUE_BITS = 8  # distinct values are cut into 2**VALUE_BITS blocks
+BLOCK_ROWS = 200_000
+CUT_BITS = 11  # values are cut into at most 2**CUT_BITS blocks
 HALO_BITS = 14
 
 
@@ -29,16 +31,41 @@ def _running_before(value: str, window) -> Column:
     return F.sum(value).over(window) - F.col(value)
 
 
-def id_block(uid: str, bits: int = BLOCK_BITS) -> Column:
-    return F.shiftright(F.col(uid).cast("long"), bits)
-
+def _blocked(df: DataFrame, value: str, rows: int, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with ``_block``, ascending in ``value`` inside ``by``.
 
-def dense_index(df: DataFrame, uid: str, order: Sequence[str], name: str, bits: int = BLOCK_BITS) -> DataFrame:
+    One aggregate brings the count and the values at even shares of the rows to the driver: fewer
+    than ``2**CUT_BITS`` numbers for each of the few ``by``. Values are placed as doubles; where two
+    fall together they share a block, so blocks never go against the order.
+    """
+    n = 1 << CUT_BITS
+    at = F.percentile_approx(value, [i / n for i in range(1, n)], 8 * n)
+    found = df.groupBy(*by).agg(F.count(value).alias("_n"), at.alias("_at")).collect()
+    placed, own = df.withColumn("_value", F.col(value).cast("double")), []
+    for i, row in enumerate(found):
+        blocks = min(n, max(1, row["_n"] // rows))
+        cuts = sorted({float(row["_at"][-(-k * n // blocks) - 1]) for k in range(1, blocks)}) if blocks > 1 else []
+        if not cuts:
+            continue
+        splits = [-math.inf, *cuts, math.inf]
+        placed = Bucketizer(splits=splits, inputCol="_value", outputCol=f"_in{i}", handleInvalid="keep").transform(placed)
+        here = reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in by], F.lit(True))
+        own.append(F.when(here, F.col(f"_in{i}").cast("int")))
+    block = F.coalesce(*own, F.lit(0))
+    return placed.withColumn("_block", block).drop("_value", *[f"_in{i}" for i in range(len(found))])
+
+
+def id_blocks(df: DataFrame, uid: str, rows: int = BLOCK_ROWS) -> DataFrame:
+    """``df`` with ``_block``: ranges of ids of about ``rows`` rows each, ascending."""
+    return _blocked(df, uid, rows)
+
+
+def dense_index(df: DataFrame, uid: str, order: Sequence[str], name: str, rows: int = BLOCK_ROWS) -> DataFrame:
     """Number the rows 1..n in the order of ``(uid, *order)``; that combination must be unique.
 
-    The one-task step sums block totals: one row per ``2**bits`` ids.
+    The one-task step sums block totals: at most ``2**CUT_BITS`` rows.
     """
-    blocked = df.withColumn("_block", id_block(uid, bits))
+    blocked = id_blocks(df, uid, rows)
     totals = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     starts = totals.select("_block", _running_before("_n", Window.orderBy("_block")).alias("_start"))
     inside = Window.partitionBy("_block").orderBy(uid, *order)
@@ -49,14 +76,14 @@ def dense_index(df: DataFrame, uid: str, order: Sequence[str], name: str, bits:
 
 
 def positions(df: DataFrame, by: Sequence[str], key: str, uid: str, position: str = "_pos",
-              total: str = "_total", bits: int = BLOCK_BITS) -> DataFrame:
+              total: str = "_total", rows: int = BLOCK_ROWS) -> DataFrame:
     """Row number of every row inside ``by`` in the order ``(key, uid)``, and the group's row count.
 
     ``key`` must have a bounded domain (wear minutes, a two-decimal sensor): the widest window holds
     one row per distinct key of a group, the next one row per id block of a (group, key).
     """
     by = list(by)
-    blocked = df.withColumn("_block", id_block(uid, bits))
+    blocked = id_blocks(df, uid, rows)
     sizes = blocked.groupBy(*by, key, "_block").agg(F.count(F.lit(1)).alias("_n"))
     in_key = Window.partitionBy(*by, key)
     sizes = sizes.select(
@@ -112,32 +139,20 @@ def percent_rank(before: Column, total: Column) -> Column:
     return F.when(total > 1, before / (total - 1)).otherwise(F.lit(0.0))
 
 
-def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], bounded: bool = False) -> DataFrame:
+def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], bounded: bool = False,
+             rows: int = BLOCK_ROWS) -> DataFrame:
     """Running totals ``cum_<s>`` of ``sums`` in ascending ``value`` inside ``by``.
 
     ``df`` holds one row per distinct ``(by, value)`` and few distinct ``by``. With ``bounded`` the
     caller states that a group's distinct values are few and a plain window is used; otherwise a
-    group is cut at approximate quantiles of its values, so hundreds of tasks share it.
+    group is cut at approximate quantiles of its values into blocks of about ``rows`` of them.
     """
     by = list(by)
     running = [f"cum_{s}" for s in sums]
     if bounded:
         ordered = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.sum(s).over(ordered) for c, s in zip(running, sums)})
-    n = 1 << VALUE_BITS
-    shares = ", ".join(f"{i / n}D" for i in range(1, n))
-    cuts = df.groupBy(*by).agg(F.expr(f"percentile_approx(`{value}`, array({shares}), {8 * n})").alias("_cuts"))
-    if by:
-        located = df.join(few_rows(cuts, "groups"), by)
-    else:
-        located = df.withColumn("_cuts", cuts.scalar())
-    # Binary search for the number of cuts below the value, one bit per step, in one projection.
-    steps, found = [], "0"
-    for bit in reversed(range(VALUE_BITS)):
-        step, name = 1 << bit, f"_b{bit}" if bit else "_block"
-        steps.append(f"{found} + IF(get(_cuts, {found} + {step - 1}) < `{value}`, {step}, 0) AS {name}")
-        found = name
-    located = located.selectExpr("*", *steps).drop("_cuts", *[f"_b{bit}" for bit in range(1, VALUE_BITS)])
+    located = _blocked(df, value, rows, by)
     totals = located.groupBy(*by, "_block").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     across = Window.partitionBy(*by).orderBy("_block")
     starts = totals.select(*by, "_block", *[_running_before(f"_t_{s}", across).alias(f"_s_{s}") for s in sums])
@@ -170,13 +185,13 @@ def trailing_frames(df: DataFrame, by: Sequence[str], position: str, preceding:
 
 
 def sequence_by_key(df: DataFrame, key: str, uid: str, carried: str, number: str, previous: str,
-                    bits: int = BLOCK_BITS) -> DataFrame:
+                    rows: int = BLOCK_ROWS) -> DataFrame:
     """``ROW_NUMBER`` and ``LAG(carried)`` per ``key`` in ``uid`` order, for keys of any size.
 
     Each key is cut into id blocks. A block that is not its key's first takes the number of rows and
     the last carried value from the blocks before it; all other blocks need nothing.
     """
-    blocked = df.withColumn("_block", id_block(uid, bits))
+    blocked = id_blocks(df, uid, rows)
     inside = Window.partitionBy(key, "_block").orderBy(uid)
     local = blocked.withColumns({
         "_row": F.row_number().over(inside),

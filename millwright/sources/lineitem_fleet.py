@@ -1,16 +1,24 @@
 """Machine observations derived from the delivered ``lineitem`` table.
 
-One observation per ``(l_orderkey, l_linenumber)``. The rule constants below define the derived
-data set; integers until the last step keep every engine's result bit-equal.
+One observation per delivered line, and no other. The rule constants below define the derived data
+set; integers until the last step keep every engine's result bit-equal.
+
+An observation's id is its order's key and its place among the order's lines, in the order of the
+whole line; ``(l_orderkey, l_linenumber)`` is not unique in the delivered tables. Only lines equal in
+every column could swap places, which changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millwright.constants import CLEAN_TO_RAW, MODES
 
+#: Ids leave room for this many lines in an order.
+LINES_PER_ORDER = 1_000_000
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate"]
 LINE_VALUES = {
     "p": "l_partkey",
     "disc": "l_discount",
@@ -52,56 +60,37 @@ COLUMNS = [
 ]
 
 
-def _observe(lines: DataFrame, keep: list[str]) -> DataFrame:
-    """Map rows of (udi, p, disc, tax, qty, cents) to observations with table column names."""
-    settings = lines.selectExpr("udi", "p", *keep, *SETTINGS)
-    flagged = settings.selectExpr("*", TORQUE).selectExpr("*", *FLAGS)
-    return flagged.selectExpr(*COLUMNS, *keep)
+def number_lines(lines: DataFrame) -> DataFrame:
+    """(udi, p, disc, tax, qty, cents) of every line, numbered inside its order."""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)) - 1
+    udi = F.col("l_orderkey") * LINES_PER_ORDER + place
+    return lines.select(udi.alias("udi"), *[F.col(column).alias(name) for name, column in LINE_VALUES.items()])
 
 
-def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+def observe(numbered: DataFrame) -> DataFrame:
+    """Map numbered lines to observations with table column names and the part ``p``; stateless."""
+    settings = numbered.selectExpr("udi", "p", *SETTINGS)
+    return settings.selectExpr("*", TORQUE).selectExpr("*", *FLAGS).selectExpr(*COLUMNS)
 
 
-def _grouped(spark: SparkSession, sf_dir: str, copies: bool) -> DataFrame:
-    # Line numbers are single digits, so the observation id alone identifies (order, line). Grouping
-    # by it leaves every derived table partitioned on its key: joins between them need no shuffle.
-    lines = _lineitem(spark, sf_dir).groupBy(F.expr("l_orderkey * 10 + l_linenumber").alias("udi")).agg(
-        *[F.min(column).alias(name) for name, column in LINE_VALUES.items()],
-        *([F.count(F.lit(1)).alias("copies")] if copies else []),
-    )
-    return _observe(lines, ["copies"] if copies else [])
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per machine under table column names, with ``reading_id`` = ``machine_id``."""
-    return _grouped(spark, sf_dir, False).drop("p").withColumn("reading_id", F.col("machine_id"))
+    return observe(number_lines(_lines(spark, sf_dir))).drop("p").withColumn("reading_id", F.col("machine_id"))
 
 
 def repeated_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several readings per machine: the part is the machine, the observation is the reading."""
-    rows = _grouped(spark, sf_dir, False)
-    return rows.withColumns({
+    return observe(number_lines(_lines(spark, sf_dir))).withColumns({
         "reading_id": F.col("machine_id"),
         "machine_id": F.col("p"),
         "product_id": F.concat("type_code", (10000 + F.col("p")).cast("string")),
     }).drop("p")
 
 
-def delivered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed before cleaning: an observation appears once per delivered line, so copies are exact."""
-    rows = _grouped(spark, sf_dir, True).drop("p")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies")
-
-
-def replay_lines(lines: DataFrame) -> DataFrame:
-    """Stateless per-line observations, for replaying rows as a stream."""
-    keyed = lines.selectExpr(
-        "l_orderkey * 10 + l_linenumber AS udi", *[f"{column} AS {name}" for name, column in LINE_VALUES.items()]
-    )
-    return _observe(keyed, []).drop("p")
-
-
 def to_raw(df: DataFrame) -> DataFrame:
     """The same rows under the raw file's header."""
     return df.select(*[F.col(clean).alias(raw) for clean, raw in CLEAN_TO_RAW.items()], *MODES)

@@ -14,7 +14,7 @@ from millwright import constants as K
 from millwright.functions.columns import at_least, status_band
 from millwright.operators.scoring import rule_probability
 from millwright.session import scratch_path
-from millwright.sources.lineitem_fleet import replay_lines
+from millwright.sources.lineitem_fleet import number_lines, observe
 
 LABEL = "replayed rows"
 
@@ -56,8 +56,10 @@ def run_status_counts(stream: DataFrame, output: str, checkpoint: str) -> None:
 
 
 def _replayed(spark: SparkSession, folder: str, run: Callable[[DataFrame, str, str], None]) -> DataFrame:
+    # the feed numbers its rows once, so a replayed row has the id of the batch
     place = scratch_path(spark, "replay")
-    stream = replay_lines(replay_source(spark, folder, "lineitem.parquet"))
+    number_lines(spark.read.parquet(f"{folder}/lineitem.parquet")).write.parquet(f"{place}/in")
+    stream = observe(replay_source(spark, f"{place}/in", "*.parquet", files_per_trigger=32)).drop("p")
     run(stream, f"{place}/out", f"{place}/checkpoint")
     return spark.read.parquet(f"{place}/out")
 

@@ -2,31 +2,20 @@
 
 OBSERVATIONS = """
 k AS (
-  SELECT l_orderkey * 10 + l_linenumber AS udi,
-         MIN(l_partkey) AS p,
-         CAST(ROUND(MIN(l_discount) * 100) AS INT) AS disc,
-         CAST(ROUND(MIN(l_tax) * 100) AS INT) AS tax,
-         CAST(MIN(l_quantity) AS INT) AS qty,
-         CAST(ROUND(MIN(l_extendedprice) * 100) AS BIGINT) AS cents,
-         COUNT(*) AS copies
-  FROM lineitem GROUP BY l_orderkey, l_linenumber
-)"""
-
-LINES = """
-k AS (
-  SELECT l_orderkey * 10 + l_linenumber AS udi,
+  SELECT l_orderkey * 1000000 - 1 + ROW_NUMBER() OVER (
+           PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                                            l_returnflag, l_linestatus, l_shipdate) AS udi,
          l_partkey AS p,
          CAST(ROUND(l_discount * 100) AS INT) AS disc,
          CAST(ROUND(l_tax * 100) AS INT) AS tax,
          CAST(l_quantity AS INT) AS qty,
-         CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS cents,
-         1 AS copies
+         CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS cents
   FROM lineitem
 )"""
 
 SENSE = """
 , s AS (
-  SELECT udi, p, copies,
+  SELECT udi, p,
          CASE WHEN p % 10 < 6 THEN 'L' WHEN p % 10 < 9 THEN 'M' ELSE 'H' END AS type,
          29500 + disc * 90 + CASE WHEN udi % 211 = 0 THEN 900 ELSE 0 END AS air_c,
          845 + tax * 40 + CAST(cents % 40 AS INT) AS gap_c,
@@ -35,7 +24,7 @@ SENSE = """
          CAST((udi * 7 + p * 31) % 254 AS INT) AS wear
   FROM k
 ), v AS (
-  SELECT udi, p, copies, type, air_c, air_c + gap_c AS proc_c, rpm, wear,
+  SELECT udi, p, type, air_c, air_c + gap_c AS proc_c, rpm, wear,
          CAST(ROUND(watts * 9.549296585513721E0 * 100 / rpm) AS INT) AS torque_c
   FROM s
 ), f AS (
@@ -52,7 +41,7 @@ SENSE = """
          CAST(air_c AS DOUBLE) / 100 AS air_temperature_k, CAST(proc_c AS DOUBLE) / 100 AS process_temperature_k,
          rpm AS rotational_speed_rpm, CAST(torque_c AS DOUBLE) / 100 AS torque_nm, wear AS tool_wear_min, torque_c,
          CASE WHEN twf + hdf + pwf + osf > 0 OR udi % 1009 = 0 THEN 1 ELSE 0 END AS machine_failure,
-         twf, hdf, pwf, osf, rnf, copies
+         twf, hdf, pwf, osf, rnf
   FROM f
 )"""
 
@@ -136,14 +125,14 @@ SPLIT = """
 )"""
 
 
-def fleet(sql: str, machine: str = "udi", lines: bool = False) -> str:
+def fleet(sql: str, machine: str = "udi") -> str:
     """``sql`` over obs and the six tables."""
-    return f"WITH {LINES if lines else OBSERVATIONS}{SENSE.format(machine=machine)}{DIMENSIONS} {sql}"
+    return f"WITH {OBSERVATIONS}{SENSE.format(machine=machine)}{DIMENSIONS} {sql}"
 
 
-def features(sql: str, lines: bool = False) -> str:
+def features(sql: str) -> str:
     """``sql`` over obs and eng."""
-    return f"WITH {LINES if lines else OBSERVATIONS}{SENSE.format(machine='udi')}{FEATURES} {sql}"
+    return f"WITH {OBSERVATIONS}{SENSE.format(machine='udi')}{FEATURES} {sql}"
 
 
 def splits(sql: str) -> str:

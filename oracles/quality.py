@@ -7,7 +7,7 @@ RAW_COLUMNS = ("machine_id, product_id, type_code, air_temperature_k, process_te
                "osf AS \"OSF\", rnf AS \"RNF\"")
 PROFILE = ("type_code, air_temperature_k, process_temperature_k, rotational_speed_rpm, torque_nm, tool_wear_min, "
            "machine_failure, twf, hdf, pwf, osf, rnf")
-FEED = f", feed AS (SELECT {RAW_COLUMNS}, reading_id FROM obs, LATERAL (SELECT UNNEST(RANGE(copies))) )"
+FEED = f", feed AS (SELECT {RAW_COLUMNS} FROM obs)"
 SENSORS = ["air_temperature_k", "process_temperature_k", "rotational_speed_rpm", "torque_nm", "tool_wear_min"]
 FLAGS = ["TWF", "HDF", "PWF", "OSF", "RNF", "machine_failure"]
 
@@ -57,18 +57,19 @@ SQL = {
         air_temperature_k AS "Air temperature [K]", process_temperature_k AS "Process temperature [K]",
         rotational_speed_rpm AS "Rotational speed [rpm]", torque_nm AS "Torque [Nm]", tool_wear_min AS "Tool wear [min]",
         machine_failure AS "Machine failure", twf AS "TWF", hdf AS "HDF", pwf AS "PWF", osf AS "OSF", rnf AS "RNF" FROM obs"""),
-    "b01_drop_copies": fleet(FEED + f" SELECT DISTINCT {RAW_COLUMNS.replace('twf AS ', '').replace('hdf AS ', '').replace('pwf AS ', '').replace('osf AS ', '').replace('rnf AS ', '')} FROM feed"),
-    "b01_copy_report": fleet(FEED + """, d AS (SELECT DISTINCT * FROM feed)
-        SELECT (SELECT COUNT(*) FROM feed) AS n_rows, (SELECT COUNT(*) FROM d) AS n_distinct,
-               (SELECT COUNT(*) FROM feed) - (SELECT COUNT(*) FROM d) AS n_duplicates"""),
+    "b01_drop_copies": "SELECT lang, source, n_chars, md5(text) AS digest FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)",
+    "b01_copy_report": """SELECT COUNT(*) AS n_rows, (SELECT COUNT(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS n_distinct,
+        COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS n_duplicates FROM documents""",
     "b02_rename": fleet(f"SELECT {RAW_COLUMNS} FROM obs"),
     "b03_coercion": fleet(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT({c}) AS n_values, "
         f"COUNT(*) FILTER (TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) AS n_rejected FROM obs"
         for c in [*SENSORS, "product_id"])),
-    "b04_key_violations": fleet(FEED + """
-        SELECT 'machine_id' AS key_column, CAST(machine_id AS VARCHAR) AS key_value, COUNT(*) AS n FROM feed GROUP BY machine_id HAVING COUNT(*) > 1
-        UNION ALL SELECT 'product_id', product_id, COUNT(*) FROM feed GROUP BY product_id HAVING COUNT(*) > 1"""),
+    "b04_key_violations": """SELECT 'digest' AS key_column, md5(text) AS key_value, COUNT(*) AS n FROM documents GROUP BY 2 HAVING COUNT(*) > 1
+        UNION ALL SELECT 'doc_id', CAST(doc_id AS VARCHAR), COUNT(*) FROM documents GROUP BY 2 HAVING COUNT(*) > 1""",
+    "b04_key_violations_repeated": fleet("""
+        SELECT 'machine_id' AS key_column, CAST(machine_id AS VARCHAR) AS key_value, COUNT(*) AS n FROM obs GROUP BY machine_id HAVING COUNT(*) > 1
+        UNION ALL SELECT 'reading_id', CAST(reading_id AS VARCHAR), COUNT(*) FROM obs GROUP BY reading_id HAVING COUNT(*) > 1""", machine="p"),
     "b05_domain_rules": fleet(FEED + _violations(DOMAIN)),
     "b06_range_rules": fleet(FEED + _violations(RANGE)),
     "b06_event_rules": _rules_on("events", EVENT_RULES),
@@ -89,7 +90,10 @@ SQL = {
     "b10_missing_profile_fleet": fleet(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS missing_count, {pct(f'(COUNT(*) - COUNT({c}))', 'COUNT(*)', 3)} AS missing_pct FROM obs"
         for c in ["machine_id", "product_id", "type_code", *SENSORS, *FLAGS])),
-    "b11_duplicate_profile": fleet(FEED + f""" SELECT COUNT(*) AS n_rows,
+    "b11_duplicate_profile": """SELECT COUNT(*) AS n_rows,
+        COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM documents)) AS duplicated_rows,
+        COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS duplicated_without_ids FROM documents""",
+    "b11_duplicate_profile_fleet": fleet(FEED + f""" SELECT COUNT(*) AS n_rows,
         COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT machine_id, product_id, {PROFILE} FROM feed)) AS duplicated_rows,
         COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {PROFILE} FROM feed)) AS duplicated_without_ids FROM feed"""),
     "b12_id_profile": " UNION ALL ".join(

@@ -181,8 +181,8 @@ SQL = {
     "j03_attributions": splits(ATTR + " SELECT machine_id, rank::INT AS rank, feature, contribution FROM rk"),
     "j04_global_attribution": splits(ATTR + """ SELECT feature, ROUND(AVG(ABS(contribution)), 9) AS mean_abs_contribution FROM rk
         WHERE machine_id IN (SELECT machine_id FROM eng ORDER BY md5(CONCAT(CAST(machine_id AS VARCHAR), '|42')), machine_id LIMIT 100) GROUP BY 1"""),
-    "k01_replay_scores": features(LINE_SCORES, lines=True),
-    "k02_replay_status": features(f", s2 AS ({LINE_SCORES}) SELECT status, COUNT(*) AS n FROM s2 GROUP BY 1", lines=True),
+    "k01_replay_scores": features(LINE_SCORES),
+    "k02_replay_status": features(f", s2 AS ({LINE_SCORES}) SELECT status, COUNT(*) AS n FROM s2 GROUP BY 1"),
     "l01_chunk_fixed": """SELECT doc_id, CAST(i AS INT) AS chunk_id, SUBSTR(text, i * 450 + 1, 500) AS chunk
         FROM (SELECT doc_id, text, UNNEST(RANGE(0, CAST(CEIL(GREATEST(LENGTH(text) - 50, 1) / 450.0) AS BIGINT))) AS i FROM documents WHERE LENGTH(text) > 0)""",
     "l03_similarity_search": "WITH dummy AS (SELECT 1)" + PROTO + " SELECT query_id, vec_id, score, rank FROM top",

@@ -107,15 +107,31 @@ def test_clean_csv_sink(spark, clean, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "flat")).count() == clean.count()
 
 
+def test_one_observation_per_line(spark, small):
+    """Every delivered line gives one reading with a unique id whose values come from that line alone."""
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    numbered = source.number_lines(lines)
+    assert numbered.select("udi").distinct().count() == lines.count() == source.observations(spark, small).count()
+    values = numbered.drop("udi")
+    delivered = lines.select(*[F.col(column).alias(name) for name, column in source.LINE_VALUES.items()])
+    assert values.exceptAll(delivered).count() == 0 and delivered.exceptAll(values).count() == 0
+
+
+def test_many_lines_in_an_order(spark):
+    row = "1L l_orderkey, CAST(id % 300 AS INT) l_linenumber, id l_partkey, 0L l_suppkey, 1D l_quantity, 2D l_extendedprice, 0D l_discount"
+    lines = spark.sql(f"SELECT {row}, 0D l_tax, 'A' l_returnflag, 'F' l_linestatus, DATE'2020-01-01' l_shipdate FROM range(1200)")
+    assert source.number_lines(lines).select("udi").distinct().count() == 1200
+
+
 # ---- streaming
 
 def test_replay_equals_batch_and_restarts(spark, small, tmp_path):
-    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    lines = source.number_lines(spark.read.parquet(f"{small}/lineitem.parquet"))
     folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     lines.repartition(3).write.parquet(folder)
     for _ in range(2):  # the second run finds nothing new
-        replay.run_replay(source.replay_lines(replay.replay_source(spark, folder, "*.parquet")), out, check)
-    batch = replay.score_rows(source.replay_lines(lines))
+        replay.run_replay(source.observe(replay.replay_source(spark, folder, "*.parquet")), out, check)
+    batch = replay.score_rows(source.observations(spark, small))
     stored = spark.read.parquet(out)
     assert stored.count() == lines.count()
     assert stored.exceptAll(batch).count() == 0 and batch.exceptAll(stored).count() == 0
@@ -123,8 +139,7 @@ def test_replay_equals_batch_and_restarts(spark, small, tmp_path):
 
 def test_status_counts_equal_batch(spark, small):
     got = {r["status"]: r["n"] for r in replay.replay_status(spark, small).collect()}
-    lines = spark.read.parquet(f"{small}/lineitem.parquet")
-    want = replay.score_rows(source.replay_lines(lines)).groupBy("status").count().collect()
+    want = replay.score_rows(source.observations(spark, small)).groupBy("status").count().collect()
     assert got == {r["status"]: r["count"] for r in want}
 
 
