@@ -244,7 +244,9 @@ EXPLORATION_QUERIES: dict[str, Query] = {
     "e08_five_numbers_features": lambda s, d: E.five_numbers(
         _described(s, d), [*K.ENGINEERED, K.GROUPED_Z], ["machine_failure"]),
     "e08_bucket_by_class": lambda s, d: E.bucket_by_class(_engineered(s, d)),
-    "e09_mann_whitney": lambda s, d: _rounded(E.mann_whitney(source.observations(s, d), K.SENSORS), ["p_value"], 9),
+    "e09_mann_whitney": lambda s, d: _rounded(
+        E.mann_whitney(source.observations(s, d), K.SENSORS), ["median_normal", "median_failure"]).withColumn(
+        "p_value", F.round("p_value", 9)),
     "e09_mann_whitney_features": lambda s, d: _rounded(
         E.mann_whitney(_described(s, d), E.CANDIDATES), ["median_normal", "median_failure"]).withColumn(
         "p_value", F.round("p_value", 9)),
@@ -347,7 +349,16 @@ def _telemetry_high_risk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _diagnoses(spark: SparkSession, folder: str) -> DataFrame:
-    return H.diagnose(_engineered(spark, folder))
+    """Diagnoses with their rule's protocol: the document whose id is the rule's number."""
+    protocols = _documents(spark, folder).select(F.col("doc_id").cast("int").alias("rule_order"), F.col("text").alias("protocol"))
+    rules = protocols.where(F.col("rule_order") < len(H.diagnosis_rules()))
+    return H.with_protocols(H.diagnose(_engineered(spark, folder)), rules)
+
+
+def _retrieved_protocols(spark: SparkSession, folder: str) -> DataFrame:
+    """For high-risk machines the documents retrieved for each of their diagnoses: the rule's number names the search vector."""
+    found = _context(spark, folder).select(F.col("query_id").alias("rule_order"), F.col("context").alias("protocol"))
+    return L.risk_protocols(_status(spark, folder), H.with_protocols(H.diagnose(_engineered(spark, folder)), found))
 
 
 def _rule_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -411,13 +422,14 @@ def _chunk_embedding(spark: SparkSession, folder: str) -> DataFrame:
 
 def _text_search(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark texts as questions over the chunks of all documents."""
-    chunks = L.chunk_fixed(_documents(spark, folder)).withColumn(
-        "vec_id", F.col("doc_id") * 1000000 + F.col("chunk_id"))
+    chunks = L.chunk_fixed(_documents(spark, folder))
     model = L.embedder().fit(chunks)
-    corpus = stage(L.embed(model, chunks).select("vec_id", "chunk", "embedding"), "chunks")
+    embedded = L.embed(model, chunks).select(F.monotonically_increasing_id().alias("vec_id"), "doc_id", "chunk_id", "embedding")
+    corpus = stage(embedded, "chunks")  # a chunk's number is fixed once written
     questions = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", F.col("text").alias("chunk"))
     queries = L.embed(model, questions).select(F.col("item_id").alias("query_id"), "embedding")
-    return L.top_k(queries, corpus)
+    found = L.top_k(queries, corpus.select("vec_id", "embedding"))
+    return found.join(corpus.select("vec_id", "doc_id", "chunk_id"), "vec_id").drop("vec_id")
 
 
 def _training(spark: SparkSession, folder: str):
@@ -456,7 +468,7 @@ def _search(spark: SparkSession, folder: str) -> DataFrame:
 def _mode_report(spark: SparkSession, folder: str) -> DataFrame:
     parts = stage(X.split_by_mode(source.observations(spark, folder)), "modes")
     train = G.spread(G.with_weights(parts.where("split = 'train'"), "failure_mode"))
-    model = G.mode_classifier(trees=30, depth=8).fit(train)
+    model = G.mode_classifier().fit(train)
     return _report(G.predicted_modes(model, parts.where("split = 'test'")))
 
 
@@ -484,7 +496,7 @@ def _centre_distance(spark: SparkSession, folder: str) -> DataFrame:
 
 def _importance(spark: SparkSession, folder: str) -> DataFrame:
     _, parts = _training(spark, folder)
-    return G.feature_importance(spark, G.random_forest(50, 6).fit(parts["train"]))
+    return G.feature_importance(spark, G.random_forest().fit(parts["train"]))
 
 
 def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -499,8 +511,8 @@ def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def _comparison(spark: SparkSession, folder: str) -> DataFrame:
     _, parts = _training(spark, folder)
-    candidates = [("logistic regression", G.logistic_baseline(100)), ("decision tree", G.decision_tree()),
-                  ("random forest", G.random_forest(50, 6))]
+    candidates = [("logistic regression", G.logistic_baseline()), ("decision tree", G.decision_tree()),
+                  ("random forest", G.random_forest())]
     rows = [G.train_and_evaluate(m, parts["train"], parts["val"], name)[1] for name, m in candidates]
     return _rounded(I.compare_models(rows), MEASURES, 9)
 
@@ -516,14 +528,13 @@ def _mean_errors(spark: SparkSession, folder: str) -> DataFrame:
 TRAINING_QUERIES: dict[str, Query] = {
     "g01_logistic_baseline": _trained("logistic regression", G.logistic_baseline),
     "g02_decision_tree": _trained("decision tree", G.decision_tree),
-    # Tree counts here suit a laptop; the operators' defaults are the full sizes.
-    "g03_random_forest": _trained("random forest", lambda: G.random_forest(trees=100)),
+    "g03_random_forest": _trained("random forest", G.random_forest),
     "g04_boosted_trees": _trained("boosted trees", lambda: G.boosted_trees(rounds=40)),
     "g05_class_weights": _class_weights,
-    "g05_weighted_forest": _trained("weighted forest", lambda: G.random_forest(trees=60, weight="weight"), weighted=True),
+    "g05_weighted_forest": _trained("weighted forest", lambda: G.random_forest(weight="weight"), weighted=True),
     "g07_search_results": _search,
     "g08_mode_report": _mode_report,
-    "g09_perceptron": _trained("perceptron", lambda: G.perceptron(max_iter=60), copies=True),
+    "g09_perceptron": _trained("perceptron", G.perceptron, copies=True),
     "g10_reconstruction_error": _reconstruction,
     "g11_centre_distance": _centre_distance,
     "g12_feature_importance": _importance,
@@ -595,12 +606,12 @@ STREAMING_QUERIES: dict[str, Query] = {
 
 RETRIEVAL_QUERIES: dict[str, Query] = {
     "l01_chunk_fixed": lambda s, d: L.chunk_fixed(_documents(s, d)),
-    "l01_chunk_by_separators": lambda s, d: L.chunk_by_separators(_documents(s, d)),
+    "l01_chunk_lines": lambda s, d: L.chunk_lines(_documents(s, d)),
     "l02_chunk_embedding": _chunk_embedding,
     "l03_similarity_search": _similarity_search,
     "l03_text_search": _text_search,
     "l04_context": _context,
-    "l05_risk_protocols": lambda s, d: L.risk_protocols(_status(s, d), _diagnoses(s, d)),
+    "l05_risk_protocols": _retrieved_protocols,
 }
 
 QUERIES: dict[str, Query] = {

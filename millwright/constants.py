@@ -85,3 +85,7 @@ FEATURE_NAMES = [
 LEAKAGE_COLUMNS = ["machine_id", "product_id", "TWF", "HDF", "PWF", "OSF", "RNF"]
 
 SEED = 42
+
+# messages
+TELEMETRY_MISSING = "No telemetry record found for Machine ID / UDI "
+NOT_FOUND = "No relevant maintenance documentation found."

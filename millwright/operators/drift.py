@@ -13,7 +13,6 @@ from millwright.functions.columns import rule_score
 from millwright.functions.significance import kolmogorov_tail
 from millwright.plans.ordering import cumulate
 from millwright.plans.quantiles import long_values
-from millwright.plans.sizes import few_rows
 
 Scorer = Callable[[Mapping[str, Column]], Column]
 
@@ -28,7 +27,7 @@ def ks_drift(df: DataFrame, features: Sequence[str], period: str, old: str, new:
     counts = rows.groupBy("feature", "value").agg(
         F.count(F.when(F.col(period) == old, 1)).alias("old"), F.count(F.when(F.col(period) == new, 1)).alias("new"))
     totals = counts.groupBy("feature").agg(F.sum("old").alias("n_old"), F.sum("new").alias("n_new"))
-    running = cumulate(counts, ["feature"], "value", ["old", "new"]).join(few_rows(totals, "features"), "feature")
+    running = cumulate(counts, ["feature"], "value", ["old", "new"]).join(totals, "feature")
     def wide(name):
         return F.col(name).cast("decimal(19,0)")
     gap = F.abs(wide("cum_old") * wide("n_new") - wide("cum_new") * wide("n_old"))

@@ -14,7 +14,6 @@ from millwright.functions.significance import chi_square_tail, two_sided_normal
 from millwright.operators.features import grouped_z
 from millwright.plans.ordering import cumulate
 from millwright.plans.quantiles import long_values, quantiles, value_counts
-from millwright.plans.sizes import few_rows
 
 TARGET = "machine_failure"
 CANDIDATES = [*K.SENSORS, *K.ENGINEERED, K.GROUPED_Z]
@@ -52,7 +51,7 @@ def describe(df: DataFrame, features: Sequence[str]) -> DataFrame:
         F.min(F.col(f).cast("double")).alias("min"), F.max(F.col(f).cast("double")).alias("max"),
     ) for f in features])
     middle = quantiles(value_counts(df, features), ["feature"], QUARTILES, _all_sensors(features))
-    return moments.join(few_rows(middle, "features"), "feature").select(
+    return moments.join(middle, "feature").select(
         "feature", "count", _r("mean").alias("mean"), _r("std").alias("std"), _r("min").alias("min"),
         *[_r(q).alias(q) for q in QUARTILES], _r("max").alias("max"))
 
@@ -73,7 +72,7 @@ def iqr_outliers(df: DataFrame, features: Sequence[str] = K.SENSORS) -> DataFram
         (F.col("q25") - 1.5 * (F.col("q75") - F.col("q25"))).alias("_lo"),
         (F.col("q75") + 1.5 * (F.col("q75") - F.col("q25"))).alias("_hi"))
     outside = (F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi"))
-    return counts.join(few_rows(bounds, "features"), "feature").groupBy("feature").agg(
+    return counts.join(bounds, "feature").groupBy("feature").agg(
         _half_up(F.first("_lo")).alias("lower_bound"), _half_up(F.first("_hi")).alias("upper_bound"),
         F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("n_outliers_iqr"), F.first("_total").alias("_total"),
     ).withColumn("pct_outliers", percent("n_outliers_iqr", "_total")).drop("_total")
@@ -91,7 +90,7 @@ def histogram(counts: DataFrame, by: Sequence[str], bins: int = 40) -> DataFrame
         F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     index = F.least(F.floor((F.col("value") - F.col("_lo")) * bins / width), F.lit(bins - 1)).cast("int")
-    filled = counts.join(few_rows(ranges, "groups"), by).groupBy(*by, index.alias("bin")).agg(F.sum("n").alias("_n"))
+    filled = counts.join(ranges, by).groupBy(*by, index.alias("bin")).agg(F.sum("n").alias("_n"))
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     rows = grid.join(filled, [*by, "bin"], "left").withColumn("n", F.coalesce("_n", F.lit(0)))
     return rows.select(
@@ -172,7 +171,7 @@ def mann_whitney(df: DataFrame, features: Sequence[str], label: str = TARGET) ->
         F.count(F.when(normal, 1)).alias("n0"), F.count(F.when(failed, 1)).alias("n1"))
     totals = counts.groupBy("feature").agg(F.sum("n0").alias("all0"), F.sum("n1").alias("all1"))
     running = cumulate(counts, ["feature"], "value", ["n0", "n1"], _all_sensors(features))
-    running = running.join(few_rows(totals, "features"), "feature")
+    running = running.join(totals, "feature")
     tied = _exact(F.col("n0") + F.col("n1"))
     before = _exact(F.col("cum_n0") + F.col("cum_n1")) - tied
 
@@ -264,7 +263,7 @@ def cohens_d(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def rank_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Features by absolute effect size, with their test result."""
     tests = mann_whitney(df, features).select("feature", "p_value", "significant_at_005")
-    return cohens_d(df, features).join(few_rows(tests, "features"), "feature").select(
+    return cohens_d(df, features).join(tests, "feature").select(
         "feature", "p_value", "significant_at_005", "cohens_d", "abs_effect_size"
     ).orderBy(F.col("abs_effect_size").desc(), "feature")
 

@@ -22,16 +22,6 @@ def _rounded(column: Column) -> Column:
     return F.round(column, 2)
 
 
-def _values_side(values: DataFrame, key: str) -> DataFrame:
-    """Mark a per-(type, value) table for broadcasting where its schema bounds its size.
-
-    Types are the three of the dimension. A DECIMAL(6,2) sensor that must not be negative has at
-    most a million values, whatever the number of readings; an integer sensor has no such bound and
-    stays a shuffled join, where adaptive execution splits hot keys.
-    """
-    return F.broadcast(values) if key in ("torque_nm", "air_temperature_k", "process_temperature_k") else values
-
-
 def failure_rate_by_type(t: FleetTables) -> DataFrame:
     """Readings and failures per type, failure rate, share of all failures."""
     failed = t.melted.where(is_overall()).select("reading_id").distinct().withColumn("failed", F.lit(1))
@@ -60,7 +50,7 @@ def torque_rank(t: FleetTables, limit: int | None = 30) -> DataFrame:
     else:
         ranks = value_ranks(facts, ["type_code"], "torque_nm", descending=True).select(
             "type_code", "torque_nm", (F.col("rows_before") + 1).alias("torque_rank_in_type"))
-        ranked = facts.join(_values_side(ranks, "torque_nm"), ["type_code", "torque_nm"])
+        ranked = facts.join(ranks, ["type_code", "torque_nm"])
     return t.typed(ranked, "type_name").orderBy("type_code", "torque_rank_in_type", "reading_id").select(
         "machine_id", "product_id", "type_name", "torque_nm", "torque_rank_in_type"
     )
@@ -214,7 +204,7 @@ def high_torque(t: FleetTables, floor: float = 0.90) -> DataFrame:
     high = ranks.select(
         "type_code", "torque_nm", percent_rank(F.col("rows_before"), F.col("rows_total")).alias("pct_rank")
     ).where(F.col("pct_rank") >= floor)
-    return facts.join(_values_side(high, "torque_nm"), ["type_code", "torque_nm"]).orderBy(
+    return facts.join(high, ["type_code", "torque_nm"]).orderBy(
         "type_code", F.col("torque_nm").desc(), "reading_id"
     ).select("machine_id", "type_code", "torque_nm", "pct_rank")
 

@@ -31,7 +31,6 @@ from millwright.functions import columns as C
 from millwright.operators import evaluation as I
 from millwright.operators.features import FEATURE_COLUMNS, split_fleet
 from millwright.operators.transformers import GroupedZScorer, PopulationScaler, SensorFeatures
-from millwright.plans.sizes import few_rows
 from millwright.plans.split import folds
 from millwright.session import stage
 
@@ -110,7 +109,7 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 def with_weights(df: DataFrame, label: str = LABEL, column: str = "weight") -> DataFrame:
     """Balanced weights on every row."""
     weights = class_weights(df, label).select(label, F.col("balanced_weight").alias(column))
-    return df.join(few_rows(weights, "classes"), label)
+    return df.join(weights, label)
 
 
 def oversample(df: DataFrame, uid: str = "machine_id", label: str = LABEL) -> DataFrame:

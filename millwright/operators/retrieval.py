@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -10,25 +11,18 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright import constants as K
 from millwright.operators.evaluation import ranked_within
-from millwright.plans.sizes import few_rows
 
 CHUNK_SIZE, CHUNK_OVERLAP = 500, 50
-NOT_FOUND = "No relevant maintenance documentation found."
 CONTEXT_SEPARATOR = "\n\n"
-SEPARATORS = ["\n\n", "\n", " ", ""]
-MAX_QUERIES = 4096  # search texts held by every task at once: at 384 numbers each, 12 MB
+QUERY_BLOCK = 4096  # search texts held by every task at once: at 384 numbers each, 12 MB
 SCORE_DIGITS = 9
 
 
-class TooManyQueries(ValueError):
-    """The query side is too large to send to every task."""
-
-
 def chunk_fixed(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, uid: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """Windows of ``size`` characters, each starting ``size - overlap`` after the last; whole texts.
@@ -44,61 +38,18 @@ def chunk_fixed(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHU
     return spread.where(keep).drop("_chars")
 
 
-def _pack(pieces: Sequence[str], size: int, overlap: int) -> list[str]:
-    """Join pieces into chunks of at most ``size`` characters that repeat up to ``overlap`` of the last."""
-    chunks: list[str] = []
-    window: list[str] = []
-    length = 0
-    for piece in pieces:
-        if window and length + len(piece) > size:
-            chunks.append("".join(window).strip())
-            while window and (length > overlap or length + len(piece) > size):
-                length -= len(window.pop(0))
-        window.append(piece)
-        length += len(piece)
-    chunks.append("".join(window).strip())
-    return [chunk for chunk in chunks if chunk]
-
+def chunk_lines(documents: DataFrame, size: int = CHUNK_SIZE, uid: str = "doc_id", text: str = "text") -> DataFrame:
+    """Chunks of whole lines: the lines that start within the same ``size`` characters of a text.
 
-def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-               separators: Sequence[str] = SEPARATORS) -> list[str]:
-    """Cut at the coarsest separator present and pack the pieces; a piece that is too long is cut finer by itself.
-
-    A piece keeps the separator it starts with.
+    No line is cut, so a chunk is as long as its lines; ``chunk_id`` numbers the stretches of a text.
+    Lines keep their order; lines without characters belong to their stretch like any other.
     """
-    at = next(i for i, s in enumerate(separators) if s == "" or s in text)
-    separator, finer = separators[at], separators[at + 1:]
-    if separator:
-        head, *rest = text.split(separator)
-        pieces = [piece for piece in [head, *(separator + piece for piece in rest)] if piece]
-    else:
-        pieces = list(text)
-    chunks: list[str] = []
-    waiting: list[str] = []
-    for piece in pieces:
-        if len(piece) < size:
-            waiting.append(piece)
-            continue
-        chunks += _pack(waiting, size, overlap) + (split_text(piece, size, overlap, finer) if finer else [piece])
-        waiting = []
-    return chunks + _pack(waiting, size, overlap)
-
-
-def chunk_by_separators(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                        uid: str = "doc_id", text: str = "text") -> DataFrame:
-    """Separator-aware chunks, one document at a time inside Arrow batches."""
-    schema = f"{uid} {documents.schema[uid].dataType.simpleString()}, chunk_id int, chunk string"
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            chunks = [split_text(value, size, overlap) for value in batch[text]]
-            yield pd.DataFrame({
-                uid: np.repeat(batch[uid].to_numpy(), [len(c) for c in chunks]),
-                "chunk_id": np.concatenate([np.arange(len(c), dtype="int32") for c in chunks] or [np.array([], "int32")]),
-                "chunk": [c for found in chunks for c in found],
-            })
-
-    return documents.select(uid, text).where(F.length(text) > 0).mapInPandas(cut, schema)
+    lines = documents.where(F.length(text) > 0).select(uid, F.posexplode(F.split(text, "\n", -1)).alias("_place", "_line"))
+    before = Window.partitionBy(uid).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("_line") + 1).over(before), F.lit(0))
+    placed = lines.withColumn("chunk_id", F.floor(start / size).cast("int"))
+    gathered = placed.groupBy(uid, "chunk_id").agg(F.array_sort(F.collect_list(F.struct("_place", "_line"))).alias("_lines"))
+    return gathered.select(uid, "chunk_id", F.array_join(F.col("_lines")["_line"], "\n").alias("chunk"))
 
 
 def embedder(dimensions: int = 384, text: str = "chunk") -> Pipeline:
@@ -126,17 +77,25 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "qu
           vector: str = "embedding") -> DataFrame:
     """The ``k`` most cosine-similar corpus rows per query, exactly; ties by id.
 
-    The query matrix is checked for size and sent to the tasks. A task keeps its ``k`` best per query
-    over its Arrow batches and returns those alone, so what is shuffled grows with the number of
-    tasks and not of corpus rows. Larger query sets are to be searched in parts.
+    Queries are sent to the tasks in blocks of about ``QUERY_BLOCK``, one search per block. A task
+    keeps its ``k`` best per query over its Arrow batches and returns those alone, so what is
+    shuffled grows with the number of tasks and not of corpus rows.
     """
-    held = queries.select(query_id, F.col(vector).cast("array<double>").alias("_v")).limit(MAX_QUERIES + 1).collect()
-    if len(held) > MAX_QUERIES:
-        raise TooManyQueries(f"more than {MAX_QUERIES} queries; search them in parts")
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    found = []
+    for block in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block)
+        found.append(_best(part, corpus, k, query_id, uid, vector))
+    return ranked_within(reduce(DataFrame.union, found), [query_id], [F.col("score").desc(), F.col(uid)], k)
+
+
+def _best(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, uid: str, vector: str) -> DataFrame:
+    """Each task's ``k`` best rows of the corpus for each query of one block."""
+    held = queries.select(query_id, F.col(vector).cast("array<double>").alias("_v")).collect()  # one block
     id_type = queries.schema[query_id].dataType.simpleString()
     schema = f"{query_id} {id_type}, {uid} long, score double"
     if not held:
-        return corpus.sparkSession.createDataFrame([], schema + ", rank int")
+        return corpus.sparkSession.createDataFrame([], schema)
     ids = np.array([row[0] for row in held], dtype=object)
     matrix = np.array([row[1] for row in held], dtype="float64")
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -167,8 +126,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 3, query_id: str = "qu
         yield pd.DataFrame({query_id: np.repeat(names, counts), uid: np.concatenate([keys for _, keys in kept]),
                             "score": np.concatenate([column for column, _ in kept])})
 
-    candidates = corpus.select(uid, vector).mapInPandas(best, schema)
-    return ranked_within(candidates, [query_id], [F.col("score").desc(), F.col(uid)], k)
+    return corpus.select(uid, vector).mapInPandas(best, schema)
 
 
 def context(hits: DataFrame, texts: DataFrame, queries: DataFrame, query_id: str = "query_id", uid: str = "vec_id",
@@ -177,18 +135,21 @@ def context(hits: DataFrame, texts: DataFrame, queries: DataFrame, query_id: str
 
     ``hits`` holds at most ``k`` rows per query.
     """
-    named = texts.join(few_rows(hits, "hits", 100 * MAX_QUERIES), uid)
+    named = texts.join(hits, uid)
     joined = named.groupBy(query_id).agg(F.array_sort(F.collect_list(F.struct("rank", text))).alias("_found"))
     told = joined.select(query_id, F.array_join(F.transform("_found", lambda f: f[text]), CONTEXT_SEPARATOR).alias("context"))
     return queries.select(query_id).join(told, query_id, "left").withColumn(
-        "context", F.coalesce("context", F.lit(NOT_FOUND)))
+        "context", F.coalesce("context", F.lit(K.NOT_FOUND)))
 
 
 def risk_protocols(status: DataFrame, diagnoses: DataFrame) -> DataFrame:
-    """For every high-risk machine the protocols of its diagnoses, in rule order, as one text."""
+    """For every high-risk machine the protocols of its diagnoses, in rule order, as one text.
+
+    ``diagnoses`` carry the protocol of their rule, which may be a text retrieved for it.
+    """
     wanted = status.where(F.col("status") == K.HIGH_RISK).select("machine_id", "failure_risk")
     per_machine = diagnoses.groupBy("machine_id").agg(
-        F.array_sort(F.collect_list(F.struct("rule_order", "protocol"))).alias("_p"))  # at most one row per rule
-    told = per_machine.select("machine_id", F.array_join(
+        F.array_sort(F.collect_list(F.when(F.col("protocol").isNotNull(), F.struct("rule_order", "protocol")))).alias("_p"))  # at most one row per rule
+    told = per_machine.where(F.size("_p") > 0).select("machine_id", F.array_join(
         F.array_distinct(F.transform("_p", lambda p: p["protocol"])), CONTEXT_SEPARATOR).alias("context"))
-    return wanted.join(told, "machine_id", "left").withColumn("context", F.coalesce("context", F.lit(NOT_FOUND)))
+    return wanted.join(told, "machine_id", "left").withColumn("context", F.coalesce("context", F.lit(K.NOT_FOUND)))

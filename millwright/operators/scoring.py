@@ -13,8 +13,6 @@ from millwright.functions import columns as C
 from millwright.operators.quality import require_columns, split_rejects
 from millwright.sources.schemas import DOMAIN_RULES, RANGE_RULES, Rule
 
-TELEMETRY_MISSING = "No telemetry record found for Machine ID / UDI "
-
 # Physical limits a sensor cannot leave; scoring sends such rows to the reject output.
 PLAUSIBLE_RULES = [
     Rule("air temperature plausible", "air_temperature_k BETWEEN 200 AND 500"),
@@ -119,17 +117,16 @@ def telemetry(status: DataFrame) -> DataFrame:
 def lookup_telemetry(status: DataFrame, wanted: DataFrame) -> DataFrame:
     """JSON per wanted machine id, with a message for unknown ids."""
     found = wanted.select("machine_id").join(telemetry(status), "machine_id", "left")
-    missing = F.concat(F.lit(TELEMETRY_MISSING), F.col("machine_id").cast("string"), F.lit("."))
+    missing = F.concat(F.lit(K.TELEMETRY_MISSING), F.col("machine_id").cast("string"), F.lit("."))
     return found.withColumn("telemetry", F.coalesce("telemetry", missing))
 
 
 @dataclass(frozen=True)
 class DiagnosisRule:
-    """A condition on the feature columns and the protocol that answers it."""
+    """A condition on the feature columns."""
 
     code: str
     condition: str
-    protocol: str
 
 
 @dataclass(frozen=True)
@@ -146,22 +143,15 @@ class DiagnosisLimits:
     wear_warning: int = 200
 
 
-COOLING = "Check fan filters and coolant circulation, renew thermal grease, lower the spindle load."
-DRIVE = "Check electrical drives and voltage regulation, recalibrate the torque limits."
-ALIGNMENT = "Align the drive shaft, check torque tolerances and belt tension."
-TOOLING = "Replace the tool head in the next planned downtime."
-
-
 def diagnosis_rules(limits: DiagnosisLimits = DiagnosisLimits()) -> list[DiagnosisRule]:
     strain = (f"CASE type_code WHEN 'L' THEN {limits.strain_low}D WHEN 'M' THEN {limits.strain_medium}D "
               f"ELSE {limits.strain_high}D END")
     return [
-        DiagnosisRule("HDF", f"temp_diff_K < {limits.heat_gap_k}D AND rotational_speed_rpm < {limits.heat_speed_rpm}",
-                      COOLING),
-        DiagnosisRule("PWF", f"power_W < {limits.power_low_w}D OR power_W > {limits.power_high_w}D", DRIVE),
-        DiagnosisRule("OSF", f"torque_x_toolwear > {strain}", ALIGNMENT),
-        DiagnosisRule("TWF", f"tool_wear_min BETWEEN {limits.wear_window_min} AND {limits.wear_window_max}", TOOLING),
-        DiagnosisRule("WEAR", f"tool_wear_min > {limits.wear_warning}", TOOLING),
+        DiagnosisRule("HDF", f"temp_diff_K < {limits.heat_gap_k}D AND rotational_speed_rpm < {limits.heat_speed_rpm}"),
+        DiagnosisRule("PWF", f"power_W < {limits.power_low_w}D OR power_W > {limits.power_high_w}D"),
+        DiagnosisRule("OSF", f"torque_x_toolwear > {strain}"),
+        DiagnosisRule("TWF", f"tool_wear_min BETWEEN {limits.wear_window_min} AND {limits.wear_window_max}"),
+        DiagnosisRule("WEAR", f"tool_wear_min > {limits.wear_warning}"),
     ]
 
 
@@ -169,10 +159,13 @@ def diagnose(engineered: DataFrame, rules: Sequence[DiagnosisRule] | None = None
     """One row per machine and rule it meets, found in one pass over the machines."""
     rules = diagnosis_rules() if rules is None else rules
     hits = F.array_compact(F.array(*[
-        F.when(F.expr(rule.condition), F.struct(
-            F.lit(i).alias("rule_order"), F.lit(rule.code).alias("diagnosis"), F.lit(rule.protocol).alias("protocol")))
+        F.when(F.expr(rule.condition), F.struct(F.lit(i).alias("rule_order"), F.lit(rule.code).alias("diagnosis")))
         for i, rule in enumerate(rules)
     ]))
     return engineered.select("machine_id", F.inline(hits))
 
 
+def with_protocols(diagnoses: DataFrame, protocols: DataFrame) -> DataFrame:
+    """Diagnoses with the text of their rule from the rows (rule_order, protocol) of a table; null where it has none."""
+    return diagnoses.join(protocols.select("rule_order", "protocol"), "rule_order", "left").select(
+        "machine_id", "rule_order", "diagnosis", "protocol")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright.plans.ordering import cumulate
-from millwright.plans.sizes import few_rows
 
 
 def long_values(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -39,7 +38,7 @@ def quantiles(counts: DataFrame, by: Sequence[str], fractions: dict[str, float],
     """Linearly interpolated quantiles per ``by`` from (by, value, n) rows."""
     by = list(by)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
-    running = cumulate(counts, by, "value", ["n"], bounded).join(few_rows(totals, "groups"), by)
+    running = cumulate(counts, by, "value", ["n"], bounded).join(totals, by)
     picks, finish = [], {}
     for name, fraction in fractions.items():
         at = (F.col("_total") - 1) * F.lit(float(fraction))

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.plans.sizes import few_rows
 
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets
 
@@ -61,17 +60,17 @@ def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_
 
     ordered = Window.partitionBy(stratum).orderBy("_bucket")  # at most 65,536 rows per stratum
     spans = counts.withColumn("_end", F.sum("_n").over(ordered)).withColumn("_start", F.col("_end") - F.col("_n"))
-    hit = spans.join(few_rows(wanted, "strata"), stratum).where(
+    hit = spans.join(wanted, stratum).where(
         (F.col("rows") > F.col("_start")) & (F.col("rows") <= F.col("_end"))
     ).select(stratum, "_bucket", "which", (F.col("rows") - F.col("_start")).alias("_nth"))
 
     # The rows that share a bucket with a cut: two buckets per stratum.
-    near = bucketed.join(few_rows(hit, "cuts"), [stratum, "_bucket"])
+    near = bucketed.join(hit, [stratum, "_bucket"])
     rank = F.row_number().over(Window.partitionBy(stratum, "which").orderBy("_hash", "_uid"))
     points = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_nth")).groupBy(stratum).agg(
         *[F.max(F.when(F.col("which") == w, F.struct("_hash", "_uid"))).alias(f"_cut{w}") for w in (1, 2)]
     )
-    located = df.join(few_rows(points, "strata"), stratum, "left")
+    located = df.join(points, stratum, "left")
     me = F.struct(row_hash(uid, seed).alias("_hash"), F.col(uid).cast("long").alias("_uid"))
     split = F.when(me <= F.col("_cut1"), names[0]).when(me <= F.col("_cut2"), names[1]).otherwise(names[2])
     return located.withColumn("split", split).drop("_cut1", "_cut2")

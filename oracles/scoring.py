@@ -52,14 +52,14 @@ def _report(label, prediction, table):
 
 
 RULES = [
-    ("HDF", "temp_diff_K < 8.6E0 AND rotational_speed_rpm < 1380", "Check fan filters and coolant circulation, renew thermal grease, lower the spindle load."),
-    ("PWF", "power_W < 3500 OR power_W > 9000", "Check electrical drives and voltage regulation, recalibrate the torque limits."),
-    ("OSF", "torque_x_toolwear > CASE type_code WHEN 'L' THEN 11000 WHEN 'M' THEN 12000 ELSE 13000 END", "Align the drive shaft, check torque tolerances and belt tension."),
-    ("TWF", "tool_wear_min BETWEEN 200 AND 240", "Replace the tool head in the next planned downtime."),
-    ("WEAR", "tool_wear_min > 200", "Replace the tool head in the next planned downtime."),
+    ("HDF", "temp_diff_K < 8.6E0 AND rotational_speed_rpm < 1380"),
+    ("PWF", "power_W < 3500 OR power_W > 9000"),
+    ("OSF", "torque_x_toolwear > CASE type_code WHEN 'L' THEN 11000 WHEN 'M' THEN 12000 ELSE 13000 END"),
+    ("TWF", "tool_wear_min BETWEEN 200 AND 240"),
+    ("WEAR", "tool_wear_min > 200"),
 ]
 DIAG = ", dg AS (" + " UNION ALL ".join(
-    f"SELECT machine_id, {i} AS rule_order, '{c}' AS diagnosis, '{p}' AS protocol FROM eng WHERE {w}" for i, (c, w, p) in enumerate(RULES)) + ")"
+    f"SELECT machine_id, {i} AS rule_order, '{c}' AS diagnosis FROM eng WHERE {w}" for i, (c, w) in enumerate(RULES)) + ")"
 BP = "CAST(FLOOR(failure_risk * 10000 + 0.5) AS BIGINT)"
 TELEMETRY = f"""to_json({{machine_id: machine_id, air_temperature_k: air_temperature_k, process_temperature_k: process_temperature_k,
   rotational_speed_rpm: rotational_speed_rpm, torque_nm: torque_nm, tool_wear_min: tool_wear_min,
@@ -144,7 +144,7 @@ SQL = {
     "h08_worklist": features(STATUS + " SELECT machine_id, failure_risk, status, air_temperature_k, process_temperature_k, rotational_speed_rpm, torque_nm, tool_wear_min FROM st"),
     "h08_worklist_top": features(STATUS + " SELECT machine_id, failure_risk, status FROM st ORDER BY failure_risk DESC, machine_id LIMIT 100"),
     "h09_telemetry_high_risk": features(STATUS + f" SELECT machine_id, {TELEMETRY} AS telemetry FROM st WHERE status = {HIGH}"),
-    "h10_diagnosis": features(DIAG + " SELECT * FROM dg"),
+    "h10_diagnosis": features(DIAG + " SELECT dg.*, d.text AS protocol FROM dg LEFT JOIN documents d ON d.doc_id = dg.rule_order"),
     "i01_confusion_matrix": features(CM + " SELECT * FROM cm"),
     "i02_point_metrics": features(MET + " SELECT ROUND(precision, 9) AS precision, ROUND(recall, 9) AS recall, ROUND(f1, 9) AS f1 FROM met"),
     "i03_false_negative_rate": features(MET + " SELECT ROUND(false_negative_rate, 9) AS false_negative_rate FROM met"),
@@ -188,8 +188,14 @@ SQL = {
     "l03_similarity_search": "WITH dummy AS (SELECT 1)" + PROTO + " SELECT query_id, vec_id, score, rank FROM top",
     "l04_context": "WITH dummy AS (SELECT 1)" + PROTO + """ SELECT q.query_id, COALESCE(STRING_AGG(d.text, CHR(10) || CHR(10) ORDER BY top.rank), 'No relevant maintenance documentation found.') AS context
         FROM q LEFT JOIN top USING (query_id) LEFT JOIN documents d ON d.doc_id = top.vec_id GROUP BY 1""",
-    "l05_risk_protocols": features(STATUS + DIAG + f""", one AS (SELECT machine_id, protocol, MIN(rule_order) AS o FROM dg GROUP BY 1, 2)
+    "l05_risk_protocols": features(STATUS + DIAG + PROTO + f""", found AS (SELECT q.query_id, COALESCE(STRING_AGG(d.text, CHR(10) || CHR(10) ORDER BY top.rank),
+            'No relevant maintenance documentation found.') AS protocol
+          FROM q LEFT JOIN top USING (query_id) LEFT JOIN documents d ON d.doc_id = top.vec_id GROUP BY 1)
+        , one AS (SELECT machine_id, protocol, MIN(rule_order) AS o FROM dg JOIN found ON query_id = rule_order GROUP BY 1, 2)
         , ctx AS (SELECT machine_id, STRING_AGG(protocol, CHR(10) || CHR(10) ORDER BY o) AS context FROM one GROUP BY 1)
         SELECT st.machine_id, failure_risk, COALESCE(context, 'No relevant maintenance documentation found.') AS context
         FROM st LEFT JOIN ctx USING (machine_id) WHERE status = {HIGH}"""),
+    "l01_chunk_lines": """WITH ln AS (SELECT doc_id, UNNEST(string_split(text, CHR(10))) AS line, UNNEST(RANGE(len(string_split(text, CHR(10))))) AS i FROM documents WHERE LENGTH(text) > 0)
+        , placed AS (SELECT *, COALESCE(SUM(LENGTH(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ln)
+        SELECT doc_id, CAST(s // 500 AS INT) AS chunk_id, STRING_AGG(line, CHR(10) ORDER BY i) AS chunk FROM placed GROUP BY 1, 2""",
 }

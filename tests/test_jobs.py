@@ -88,14 +88,6 @@ def test_etl_from_csv(spark, clean, tmp_path):
     assert loaded.maintenance_events.count() == tables.failure_events.count()
 
 
-def test_oversized_broadcast_stops(spark):
-    from millwright.plans.sizes import few_rows
-
-    assert few_rows(spark.range(5), "rows", 5).count() == 5
-    with pytest.raises(Exception, match="more than 4 rows"):
-        few_rows(spark.range(5), "rows", 4).collect()
-
-
 def test_comparison_export(spark, tmp_path):
     rows = spark.createDataFrame([("a", 0.5), ("b", 0.9)], "model string, pr_auc double")
     writers.write_comparison(rows, str(tmp_path / "cmp"))
@@ -248,17 +240,11 @@ def test_fixed_chunk_borders(spark):
         assert got[i] == [text[s:s + 500] for s in starts]
 
 
-def test_separator_chunks():
-    text = "\n\n".join(["word " * 30 + "end", "x" * 1200, "tail"])
-    chunks = L.split_text(text)
-    assert all(0 < len(c) <= 500 for c in chunks)
-    assert chunks[0].startswith("word") and chunks[0].endswith("end") and chunks[-1].endswith("tail")
-    assert L.split_text("short") == ["short"] and L.split_text("") == []
-    words = " ".join(f"w{i}" for i in range(400))
-    parts = L.split_text(words)
-    assert all(len(p) <= 500 for p in parts)
-    seen = [w for p in parts for w in p.split()]
-    assert set(seen) == set(words.split()) and len(seen) > 400  # whole text, with overlap
+def test_line_chunks(spark):
+    lines = ["", "a" * 10, "b" * 600, "", "c", "d" * 499]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, ""), (3, None), (4, "one")], "doc_id long, text string")
+    got = {(r["doc_id"], r["chunk_id"]): r["chunk"] for r in L.chunk_lines(df).collect()}
+    assert got == {(1, 0): "\n".join(lines[:3]), (1, 1): "\n".join(lines[3:]), (4, 0): "one"}
 
 
 def test_top_k_against_all_pairs(spark):
@@ -279,11 +265,12 @@ def test_top_k_against_all_pairs(spark):
     assert L.top_k(q.limit(0), c).count() == 0
 
 
-def test_too_many_queries(spark, monkeypatch):
-    monkeypatch.setattr(L, "MAX_QUERIES", 1)
-    q = spark.createDataFrame([(1, [1.0]), (2, [1.0])], "query_id int, embedding array<double>")
-    with pytest.raises(L.TooManyQueries):
-        L.top_k(q, spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>"))
+def test_queries_are_searched_in_blocks(spark, monkeypatch):
+    corpus = spark.range(50).selectExpr("id AS vec_id", "array(CAST(id AS DOUBLE), 1D) AS embedding")
+    queries = spark.range(20).selectExpr("id AS query_id", "array(1D, CAST(id AS DOUBLE)) AS embedding")
+    whole = sorted(map(tuple, L.top_k(queries, corpus).collect()))
+    monkeypatch.setattr(L, "QUERY_BLOCK", 3)
+    assert sorted(map(tuple, L.top_k(queries, corpus).collect())) == whole and len(whole) == 60
 
 
 def test_context_fallback(spark):
