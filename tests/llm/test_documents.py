@@ -443,7 +443,7 @@ def test_line_rules(docs, texts):
 
 
 def test_line_rules_verdict(empty):
-    clean = "\n".join(f"{PROSE}{n} was the number of the day and of the night too." for n in ("One", "Two", "Three"))
+    clean = "\n".join([PROSE.strip(), "Nobody knew how old the bridge was, or who had built it.", "In winter the water froze and children walked across."])
     assert line_rules.judge(clean)[6] and line_rules.judge(clean + "\nHome\nAll rights reserved.")[6:8] == (True, 2)
     assert not line_rules.judge("a### b*** c$$$ " * 3 + "d&&& e%%% f### g*** h$$$ i%%%")[6]
     assert line_rules.judge(clean + "\nHome\nAll rights reserved.")[9] == clean
