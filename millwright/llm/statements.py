@@ -26,4 +26,73 @@ SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_dropped,
 FROM kept GROUP BY doc_id
 """
 
-STATEMENTS = {"op8_line_dedup": OP8}
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _count(text: str, characters: str) -> str:
+    return f"(length({text}) - length(regexp_replace({text}, '{characters}', '', 'g')))"
+
+
+OP4 = LINES + f""",
+words AS (SELECT doc_id, UNNEST(w) AS word, UNNEST(range(len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS w FROM texts)),
+windows AS (
+  SELECT doc_id, i, concat_ws(' ', word, a, b, c, d) AS run FROM (
+    SELECT doc_id, i, word, LEAD(word, 1) OVER o AS a, LEAD(word, 2) OVER o AS b, LEAD(word, 3) OVER o AS c, LEAD(word, 4) OVER o AS d
+    FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE d IS NOT NULL
+), again AS (
+  SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM (SELECT *, COUNT(*) OVER (PARTITION BY doc_id, run) AS times FROM windows), range(5) r(k)
+  WHERE times > 1 GROUP BY doc_id
+), judged AS (
+  SELECT *, length(regexp_replace(line, '{BLANK}', '', 'g')) AS chars, len(regexp_extract_all(line, '{WORD}')) AS n,
+         ROW_NUMBER() OVER (PARTITION BY doc_id, line ORDER BY pos) AS nth FROM lines
+), ruled AS (
+  SELECT *, n > 0 AND (
+    10 * {_count("line", "[#*$%&|<>]")} > 3 * n OR 10 * {_count("line", "!")} > 3 * n
+    OR (n < 3 AND NOT regexp_matches(line, '[.!?:;,)"\'\'…]{BLANK}*$'))
+    OR regexp_matches(lower(line), 'all rights reserved|licensed under|released under|copyright|©|cookie|privacy policy|terms of use|terms of service|lorem ipsum|javascript|subscribe|sign up|log in|click here')
+  ) AS fails FROM judged
+), docs AS (
+  SELECT doc_id, SUM(n)::BIGINT AS n_words, SUM(chars)::BIGINT AS word_chars, SUM({_count("line", "[#*$%&|<>]")})::BIGINT AS n_symbols,
+         COUNT(*) FILTER (n > 0 AND nth > 1) AS n_dup_lines, COUNT(*) FILTER (fails) AS n_failed_lines,
+         COALESCE(SUM(chars) FILTER (fails), 0)::BIGINT AS lost_chars FROM ruled GROUP BY doc_id
+), based AS (
+  SELECT docs.*, COALESCE(again.n, 0) AS n_repeat_words FROM docs LEFT JOIN again ON docs.doc_id = again.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= 60 * word_chars AS kept, n_failed_lines, lost_chars
+FROM based
+"""
+
+_LEADS = ", ".join(f"LEAD(t, {k}) OVER o AS t{k}" for k in range(1, 11))
+_MASKS = ((0, 1, 3, 7, 9, 10), (0, 3, 5, 8, 9, 10), (0, 1, 2, 5, 6, 8))
+
+
+def _hits(mask: tuple, items: str = "") -> str:
+    same = " AND ".join(f"d.t{k} = b.t{k}" for k in mask)
+    return f"SELECT d.doc_id, d.pos, b.item_id, b.pos AS at, b.size FROM doc d JOIN item b ON {same} {items}"
+
+
+OP7 = f"""
+WITH doc_tokens AS (
+  SELECT doc_id, UNNEST(w) AS t, UNNEST(range(len(w))) AS pos FROM (
+    SELECT doc_id, regexp_split_to_array(lower(COALESCE(text, '')), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM documents)
+), item_tokens AS (
+  SELECT item_id, len(w) AS size, UNNEST(w) AS t, UNNEST(range(len(w))) AS pos FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(COALESCE(text, '')), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM benchmark)
+  WHERE len(w) >= 5
+), doc AS (SELECT doc_id, pos, t AS t0, {_LEADS} FROM doc_tokens WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+item AS (SELECT item_id, size, pos, t AS t0, {_LEADS} FROM item_tokens WINDOW o AS (PARTITION BY item_id ORDER BY pos)),
+hits AS (SELECT ROW_NUMBER() OVER () AS hit, * FROM (
+  {" UNION ALL ".join(_hits(mask) for mask in _MASKS)} UNION ALL {_hits(tuple(range(5)), "WHERE b.size < 9")})
+), pairs AS (
+  SELECT h.hit, h.doc_id, h.item_id, h.pos, d.t IS NOT NULL AS inside, COALESCE(d.t = i.t, FALSE) AS same
+  FROM hits h JOIN item_tokens i ON i.item_id = h.item_id AND i.pos >= GREATEST(0, h.at - 6) AND i.pos < h.at + 17
+  LEFT JOIN doc_tokens d ON d.doc_id = h.doc_id AND d.pos = h.pos - h.at + i.pos
+), checked AS (
+  SELECT hit, doc_id, item_id, pos FROM pairs GROUP BY ALL
+  HAVING COUNT(*) FILTER (inside) >= LEAST(13, COUNT(*)) AND 100 * COUNT(*) FILTER (same) >= 80 * COUNT(*) FILTER (inside)
+)
+SELECT doc_id, item_id, COUNT(*) AS n_windows, MIN(pos) AS first_token FROM checked GROUP BY ALL
+"""
+
+STATEMENTS = {"op4_line_first_rules": OP4, "op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8}
