@@ -388,12 +388,12 @@ def _drift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _attributions(spark: SparkSession, folder: str) -> DataFrame:
-    parts = stage(_split_rows(spark, folder), "split")
+    parts = _split_rows(spark, folder)
     return J.attributions(parts, J.reference_means(parts.where("split = 'train'")))
 
 
 def _global_attribution(spark: SparkSession, folder: str) -> DataFrame:
-    parts = stage(_split_rows(spark, folder), "split")
+    parts = _split_rows(spark, folder)
     local = J.attributions(X.seeded_sample(parts), J.reference_means(parts.where("split = 'train'")))
     return _rounded(J.global_attribution(local), ["mean_abs_contribution"], 9)
 

@@ -11,7 +11,6 @@ from millwright import constants as K
 from millwright.functions import columns as C
 from millwright.plans.quantiles import quantiles, value_counts
 from millwright.plans.split import sample_rows, stratified_split
-from millwright.session import stage
 
 FEATURE_COLUMNS = [*K.NUMERIC_FEATURES, "type_H", "type_L", "type_M", "tool_wear_ordinal"]
 TO_FEATURE_NAME = dict(zip(FEATURE_COLUMNS, K.FEATURE_NAMES))
@@ -109,9 +108,9 @@ def encode(df: DataFrame) -> DataFrame:
 def prepared(clean: DataFrame, seed: int = K.SEED) -> DataFrame:
     """Split, engineered, grouped z and encoded: the features before scaling, for every row.
 
-    The split rows are staged, as every fitted statistic is another pass over them.
+    Nothing is written: a fitted statistic is one aggregate over the few columns it needs.
     """
-    parts = engineer(stage(split_fleet(clean, seed), "split"))
+    parts = engineer(split_fleet(clean, seed))
     return encode(grouped_z(parts, parts.where("split = 'train'")))
 
 

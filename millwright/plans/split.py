@@ -2,7 +2,7 @@
 
 Rows are ordered by a hash of their id inside each stratum and cut at the wanted counts. Only the
 cut points are computed: hash-prefix counts locate the bucket a cut falls in, and the rows of those
-few buckets are ranked. Assigning a row is then a comparison with its stratum's cut points.
+few buckets are ranked. Assigning a row is then a comparison with literals.
 """
 
 from __future__ import annotations
@@ -70,10 +70,19 @@ def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_
     points = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_nth")).groupBy(stratum).agg(
         *[F.max(F.when(F.col("which") == w, F.struct("_hash", "_uid"))).alias(f"_cut{w}") for w in (1, 2)]
     )
-    located = df.join(points, stratum, "left")
-    me = F.struct(row_hash(uid, seed).alias("_hash"), F.col(uid).cast("long").alias("_uid"))
-    split = F.when(me <= F.col("_cut1"), names[0]).when(me <= F.col("_cut2"), names[1]).otherwise(names[2])
-    return located.withColumn("split", split).drop("_cut1", "_cut2")
+    mine = row_hash(uid, seed)
+
+    def before(cut) -> Column:
+        if cut is None:
+            return F.lit(False)
+        return (mine < cut["_hash"]) | (mine == cut["_hash"]) & (F.col(uid).cast("long") <= cut["_uid"])
+
+    # two cut points for each of the few strata come to the driver: from here on the split is a plain expression
+    split = F.lit(names[2])
+    for row in points.collect():
+        part = F.when(before(row["_cut1"]), names[0]).when(before(row["_cut2"]), names[1]).otherwise(names[2])
+        split = F.when(F.col(stratum) == F.lit(row[stratum]), part).otherwise(split)
+    return df.withColumn("split", split)
 
 
 def folds(df: DataFrame, uid: str, stratum: str, seed: int, k: int) -> DataFrame:
