@@ -105,6 +105,34 @@ def _stored_tables(spark: SparkSession, folder: str) -> FleetTables:
     return refresh_fleet(source.repeated_observations(spark, folder), scratch_path(spark, "tables"))
 
 
+def _stored(make: Callable[..., DataFrame], **options) -> Query:
+    """A query over the six stored tables, which join what the wide rows carry together."""
+    return lambda spark, folder: make(_stored_tables(spark, folder), **options)
+
+
+STORED_QUERIES: dict[str, Query] = {
+    "q01_failure_rate_stored": _stored(Q.failure_rate_by_type),
+    "q02_torque_rank_stored": _stored(Q.torque_rank),
+    "q03_torque_outliers_stored": _stored(Q.torque_outliers),
+    "q04_highest_stress_stored": _stored(Q.highest_stress),
+    "q05_mode_pareto_stored": _stored(Q.failure_mode_pareto),
+    "q06_wear_quartiles_stored": _stored(Q.wear_quartiles),
+    "q07_multi_mode_stored": _stored(Q.multi_mode_machines),
+    "q08_maintenance_sequence_stored": _stored(Q.maintenance_sequence),
+    "q09_torque_moving_average_stored": _stored(Q.torque_moving_average),
+    "q10_compound_anomalies_stored": _stored(Q.compound_anomalies),
+    "q11_high_torque_stored": _stored(Q.high_torque),
+    "q12_failure_cost_stored": _stored(Q.failure_cost),
+}
+
+
+def _raw_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows as a delivered CSV file, read under the declared schema."""
+    path = scratch_path(spark, "raw")
+    writers.write_flat(source.to_raw(source.observations(spark, folder)), path, "csv")
+    return readers.good_lines(readers.read_raw(spark, path))
+
+
 def _wide(df: DataFrame) -> DataFrame:
     return df.drop("reading_id")
 
@@ -121,7 +149,8 @@ def _with_events(t: FleetTables) -> DataFrame:
 
 
 QUALITY_QUERIES: dict[str, Query] = {
-    "a01_raw_scan": _fleet(source.to_raw),
+    "a01_raw_scan": _raw_scan,
+    "a05_unique_keys": lambda s, d: B.unique_key_report(_stored_tables(s, d).named(), S.UNIQUE_KEYS),
     "b01_drop_copies": _table("documents", lambda t: B.drop_copies(t.drop("doc_id")).select(
         "lang", "source", "n_chars", F.md5("text").alias("digest"))),
     "b01_copy_report": _table("documents", B.copy_report, ["doc_id"]),
@@ -525,6 +554,30 @@ def _mean_errors(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(matrix.select("machine_id", error.alias("anomaly_score")), ["anomaly_score"])
 
 
+def _run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Machines per status band as the metrics of one run, appended and read back."""
+    path = scratch_path(spark, "runs")
+    bands = _status(spark, folder).groupBy("status").count().collect()  # three bands
+    writers.log_run(spark, path, "status", {"threshold": K.DECISION_THRESHOLD}, [(r["status"], 0, r["count"]) for r in bands])
+    return readers.read_run_log(spark, path).where("kind = 'metric'").select("run_id", "key", "step", "value")
+
+
+def _metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule score's threshold at the wanted precision with the feature order, written and read back."""
+    path = scratch_path(spark, "metadata")
+    best = I.threshold_for_precision(I.threshold_points(_scored(spark, folder))).first()  # one row
+    writers.write_metadata(spark, path, "rule score", {}, best["threshold"], K.FEATURE_NAMES, {})
+    stored = readers.read_metadata(spark, path)
+    return stored.select("model_name", F.round("threshold", 9).alias("threshold"), F.size("feature_names").alias("n_features"))
+
+
+def _comparison_export(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "comparison")
+    writers.write_comparison(_rule_comparison(spark, folder), path)
+    stored = spark.read.option("header", True).csv(path)
+    return stored.select("model", "split", *[F.col(c).cast("long").alias(c) for c in ("tn", "fp", "fn", "tp")])
+
+
 TRAINING_QUERIES: dict[str, Query] = {
     "g01_logistic_baseline": _trained("logistic regression", G.logistic_baseline),
     "g02_decision_tree": _trained("decision tree", G.decision_tree),
@@ -550,6 +603,9 @@ SINK_QUERIES: dict[str, Query] = {
     "a06_text_documents": lambda s, d: _documents(s, d).select(
         "doc_id", "lang", "source", F.length("text").cast("long").alias("n_characters"), F.md5("text").alias("digest")),
     "a07_batch_scoring": _batch_scoring,
+    "a09_metadata": lambda s, d: _metadata(s, d),
+    "a10_run_log": lambda s, d: _run_log(s, d),
+    "a11_comparison_export": lambda s, d: _comparison_export(s, d),
     "a12_feature_table_load": _feature_table_load,
 }
 
@@ -615,7 +671,7 @@ RETRIEVAL_QUERIES: dict[str, Query] = {
 }
 
 QUERIES: dict[str, Query] = {
-    **SINK_QUERIES, **QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES, **FEATURE_QUERIES, **EXPLORATION_QUERIES,
+    **SINK_QUERIES, **QUALITY_QUERIES, **MODEL_QUERIES, **FLEET_QUERIES, **STORED_QUERIES, **FEATURE_QUERIES, **EXPLORATION_QUERIES,
     **SCORING_QUERIES, **EVALUATION_QUERIES, **DRIFT_QUERIES, **STREAMING_QUERIES, **RETRIEVAL_QUERIES,
     **TRAINING_QUERIES,
 }

@@ -172,6 +172,17 @@ def inconsistent_rows(clean: DataFrame) -> DataFrame:
         "machine_id", "type_code", "machine_failure", *K.MODES)
 
 
+def unique_key_report(tables: Mapping[str, DataFrame], keys: Sequence[tuple[str, str]]) -> DataFrame:
+    """Per declared unique key: rows, and rows beyond the first of their value."""
+    reports = []
+    for table, column in keys:
+        per_value = tables[table].groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        reports.append(per_value.agg(
+            F.lit(f"{table}.{column}").alias("unique_key"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_repeated")))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def missing_profile(df: DataFrame) -> DataFrame:
     """Missing values per column with their share in percent, three decimals."""
     counts = [F.struct(

@@ -46,6 +46,10 @@ SOURCE_KEYS = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem",
                ("customer", "c_nationkey", "nation", "n_nationkey"), ("labels", "doc_id", "documents", "doc_id")]
 
 
+UNIQUE = [("machine_type", "type_code"), ("machines", "machine_id"), ("machines", "product_id"), ("sensor_readings", "reading_id"),
+          ("failure_mode", "failure_mode_code"), ("failure_events", "event_id"), ("maintenance_events", "maintenance_id")]
+
+
 def _rules_on(table, rules):
     return " UNION ALL ".join(
         f"SELECT '{name}' AS rule, COUNT(*) AS n_rows, COUNT(*) FILTER (NOT COALESCE({test}, FALSE)) AS n_violations FROM {table}"
@@ -57,6 +61,8 @@ SQL = {
         air_temperature_k AS "Air temperature [K]", process_temperature_k AS "Process temperature [K]",
         rotational_speed_rpm AS "Rotational speed [rpm]", torque_nm AS "Torque [Nm]", tool_wear_min AS "Tool wear [min]",
         machine_failure AS "Machine failure", twf AS "TWF", hdf AS "HDF", pwf AS "PWF", osf AS "OSF", rnf AS "RNF" FROM obs"""),
+    "a05_unique_keys": fleet(", sensor_readings AS (SELECT reading_id FROM obs) " + " UNION ALL ".join(
+        f"SELECT '{t}.{c}' AS unique_key, COUNT(*) AS n_rows, COUNT(*) - COUNT(DISTINCT {c}) AS n_repeated FROM {t}" for t, c in UNIQUE), machine="p"),
     "b01_drop_copies": "SELECT lang, source, n_chars, md5(text) AS digest FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)",
     "b01_copy_report": """SELECT COUNT(*) AS n_rows, (SELECT COUNT(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS n_distinct,
         COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS n_duplicates FROM documents""",

@@ -199,3 +199,9 @@ SQL = {
         , placed AS (SELECT *, COALESCE(SUM(LENGTH(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ln)
         SELECT doc_id, CAST(s // 500 AS INT) AS chunk_id, STRING_AGG(line, CHR(10) ORDER BY i) AS chunk FROM placed GROUP BY 1, 2""",
 }
+SQL |= {
+    "a09_metadata": features(PTS + f""" SELECT 'rule score' AS model_name, ROUND(threshold, 9) AS threshold, 14 AS n_features
+        FROM pts WHERE tp / (tp + fp) >= 0.30 ORDER BY threshold LIMIT 1"""),
+    "a10_run_log": features(STATUS + " SELECT 'status' AS run_id, status AS key, 0 AS step, CAST(COUNT(*) AS DOUBLE) AS value FROM st GROUP BY status"),
+    "a11_comparison_export": f"SELECT model, split, tn, fp, fn, tp FROM ({SQL['i16_rule_comparison']})",
+}
