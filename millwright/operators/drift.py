@@ -12,6 +12,7 @@ from millwright import constants as K
 from millwright.functions.columns import rule_score
 from millwright.functions.significance import kolmogorov_tail
 from millwright.plans.ordering import cumulate
+from millwright.session import stage
 from millwright.plans.quantiles import long_values
 
 Scorer = Callable[[Mapping[str, Column]], Column]
@@ -24,8 +25,8 @@ def rule_scorer(inputs: Mapping[str, Column]) -> Column:
 def ks_drift(df: DataFrame, features: Sequence[str], period: str, old: str, new: str, alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per feature between two periods, exact, with limiting p-value."""
     rows = long_values(df.where(F.col(period).isin(old, new)), features, keep=[period])
-    counts = rows.groupBy("feature", "value").agg(
-        F.count(F.when(F.col(period) == old, 1)).alias("old"), F.count(F.when(F.col(period) == new, 1)).alias("new"))
+    counts = stage(rows.groupBy("feature", "value").agg(
+        F.count(F.when(F.col(period) == old, 1)).alias("old"), F.count(F.when(F.col(period) == new, 1)).alias("new")), "drift-counts")
     totals = counts.groupBy("feature").agg(F.sum("old").alias("n_old"), F.sum("new").alias("n_new"))
     running = cumulate(counts, ["feature"], "value", ["old", "new"]).join(totals, "feature")
     def wide(name):

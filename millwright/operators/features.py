@@ -64,13 +64,24 @@ def grouped_z(df: DataFrame, train: DataFrame, value: str = "air_temperature_k",
               domain: Sequence[str] | None = K.TYPES, name: str = K.GROUPED_Z) -> DataFrame:
     """Add the z-score of ``value`` within ``group``, fitted on ``train`` only.
 
-    With a ``domain`` the group statistics are as many rows as it has entries and are broadcast;
-    groups outside it count as unknown. Without one the join is left to adaptive execution.
+    With a ``domain`` the group statistics, as many rows as it has entries, come to the driver and
+    enter the plan as literals; groups outside it count as unknown. Without one the join is left to
+    adaptive execution.
     """
     stats = group_statistics(train, value, group)
-    per_group = stats.where("is_total = 0").select(group, F.col("mean").alias("_m"), F.col("std").alias("_s"))
     if domain is not None:
-        per_group = F.broadcast(per_group.where(F.col(group).isin(list(domain))))
+        few = stats.where((F.col("is_total") == 1) | F.col(group).isin(list(domain))).collect()
+        mean = std = F.lit(None).cast("double")
+        all_mean = all_std = mean
+        for row in few:
+            own_mean, own_std = (F.lit(row[c]).cast("double") for c in ("mean", "std"))
+            if row["is_total"] == 1:
+                all_mean, all_std = own_mean, own_std
+            else:
+                here = F.col(group) == F.lit(row[group])
+                mean, std = F.when(here, own_mean).otherwise(mean), F.when(here, own_std).otherwise(std)
+        return df.withColumn(name, z_from(F.col(value), mean, std, all_mean, all_std))
+    per_group = stats.where("is_total = 0").select(group, F.col("mean").alias("_m"), F.col("std").alias("_s"))
     overall = stats.where("is_total = 1").select(F.struct("mean", "std")).scalar()
     joined = df.join(per_group, group, "left").withColumn("_all", overall)
     z = z_from(F.col(value), F.col("_m"), F.col("_s"), F.col("_all.mean"), F.col("_all.std"))
@@ -89,12 +100,11 @@ def column_statistics(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def standardise(df: DataFrame, train: DataFrame, columns: Sequence[str] = K.NUMERIC_FEATURES) -> DataFrame:
-    """Scale columns by statistics of ``train``."""
-    stats = column_statistics(train, columns).select(F.struct(*columns)).scalar()
-    held = df.withColumn("_stats", stats)
-    return held.withColumns({
-        c: (F.col(c) - F.col(f"_stats.{c}.mean")) / F.col(f"_stats.{c}.std") for c in columns
-    }).drop("_stats")
+    """Scale columns by statistics of ``train``: one row, which enters the plan as literals."""
+    stats = column_statistics(train, columns).first()
+    return df.withColumns({
+        c: (F.col(c) - F.lit(stats[c]["mean"]).cast("double")) / F.lit(stats[c]["std"]).cast("double") for c in columns
+    })
 
 
 def encode(df: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millwright.session import stage
+
 
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets
 
@@ -50,7 +52,8 @@ def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_
     """
     hashed = df.select(F.col(stratum), F.col(uid).cast("long").alias("_uid"), row_hash(uid, seed).alias("_hash"))
     bucketed = hashed.withColumn("_bucket", F.substring("_hash", 1, PREFIX))
-    counts = bucketed.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # at most 65,536 rows per stratum, written once, as four steps read them
+    counts = stage(bucketed.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "split-counts")
     sizes = counts.groupBy(stratum).agg(F.sum("_n").alias("n"))
     cuts = stratum_cuts(sizes, stratum, held_out_pct, second_pct)
     wanted = cuts.select(stratum, F.explode(F.array(
@@ -65,7 +68,7 @@ def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_
     ).select(stratum, "_bucket", "which", (F.col("rows") - F.col("_start")).alias("_nth"))
 
     # The rows that share a bucket with a cut: two buckets per stratum.
-    near = bucketed.join(hit, [stratum, "_bucket"])
+    near = bucketed.join(F.broadcast(hit), [stratum, "_bucket"])  # two rows per stratum
     rank = F.row_number().over(Window.partitionBy(stratum, "which").orderBy("_hash", "_uid"))
     points = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_nth")).groupBy(stratum).agg(
         *[F.max(F.when(F.col("which") == w, F.struct("_hash", "_uid"))).alias(f"_cut{w}") for w in (1, 2)]
