@@ -278,7 +278,7 @@ def test_context_fallback(spark):
     texts = spark.createDataFrame([(7, "first"), (8, "second")], "vec_id long, text string")
     queries = spark.createDataFrame([(1,), (2,)], "query_id int")
     got = {r["query_id"]: r["context"] for r in L.context(hits, texts, queries).collect()}
-    assert got == {1: "first\n\nsecond", 2: L.NOT_FOUND}
+    assert got == {1: "first\n\nsecond", 2: K.NOT_FOUND}
 
 
 # ---- plans
