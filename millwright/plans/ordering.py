@@ -51,8 +51,10 @@ def _blocked(df: DataFrame, value: str, rows: int, by: Sequence[str] = ()) -> Da
         placed = Bucketizer(splits=splits, inputCol="_value", outputCol=f"_in{i}", handleInvalid="keep").transform(placed)
         here = reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in by], F.lit(True))
         own.append(F.when(here, F.col(f"_in{i}").cast("int")))
-    block = F.coalesce(*own, F.lit(0))
-    return placed.withColumn("_block", block).drop("_value", *[f"_in{i}" for i in range(len(found))])
+    if not own:  # few rows: two blocks, cut at zero, as a constant block would turn joins on it into cross joins
+        placed = Bucketizer(splits=[-math.inf, 0.0, math.inf], inputCol="_value", outputCol="_in0", handleInvalid="keep").transform(placed)
+        own.append(F.col("_in0").cast("int"))
+    return placed.withColumn("_block", F.coalesce(*own, F.lit(0))).drop("_value", *[f"_in{i}" for i in range(max(1, len(found)))])
 
 
 def id_blocks(df: DataFrame, uid: str, rows: int = BLOCK_ROWS) -> DataFrame:
