@@ -351,6 +351,37 @@ def test_decontamination(spark, monkeypatch):
     assert decontamination.matches(docs.limit(0), tests).count() == 0
 
 
+def brute_runs(doc, item):
+    """Whether 13 or more aligned tokens are four fifths equal; every alignment and every run is tried."""
+    for shift in range(-len(item), len(doc)):
+        sums = [0]
+        for k, word in enumerate(item):
+            if 0 <= shift + k < len(doc):
+                sums.append(sums[-1] + (1 if doc[shift + k] == word else -4))
+        if any(sums[b] >= sums[a] for a in range(len(sums)) for b in range(a + 13, len(sums))):
+            return True
+    return False
+
+
+def test_excerpts_from_the_middle_of_long_items(spark):
+    rng = random.Random(13)
+    item, other = [f"w{n}" for n in range(100)], [f"x{n}" for n in range(500)]
+    rows = []
+    for size in range(11, 23):
+        for start in (20, 37, 41, 60):
+            for swaps in (0, size // 8, size // 5 + 1):
+                part = item[start:start + size]
+                for place in rng.sample(range(1, size - 1), swaps):
+                    part[place] = "swapped"
+                rows.append((len(rows), " ".join(rng.sample(other, 30) + part + rng.sample(other, 30))))
+    held = {n for n, text in rows if brute_runs(text.split(), item)}
+    sure = {n for n in held if rows[n][1].count("swapped") <= 1}  # the masks meet these wherever the swap is
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"] for r in decontamination.matches(docs, tests).collect()}
+    assert sure <= got <= held and len(sure) > 40
+
+
 def test_masks_meet_three_substitutions_in_fifteen_tokens():
     windows = [{start + p for p in mask} for mask in decontamination.MASKS for start in range(15 - mask[-1])]
     assert all(any(not w & set(gone) for w in windows) for gone in itertools.combinations(range(15), 3))
