@@ -2,7 +2,9 @@
 
 A page is cut into blocks at block-level tags. In the first pass each block is decided by its
 length, its link density (characters inside links) and its stop-word density; blocks inside menus,
-footers, forms and the like, named by tag, role, class or id, are not text. Inside an article or
+footers, forms and the like, named by tag, role, class or id, are not text. A class or id is only a
+hint unless it names comments, related pages or advertisements: an article or main element inside
+such a wrapper is text, and so is a wrapper that holds most of the page's prose. Inside an article or
 main element, where a page has one, prose needs no stop words, since the element already says what it
 is. Short blocks without links are left open. In the second pass an open block takes the label of the
 nearest decided blocks before and after it; where those differ, or on a tie, a heading follows the
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,12 +48,22 @@ DROPPED_TAGS = frozenset("script style noscript template svg iframe object title
 OUTSIDE_TAGS = frozenset("nav footer aside form fieldset select textarea button menu dialog header".split())
 TEXT_TAGS = frozenset(["article", "main"])
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
-#: Parts of class names and ids that name what is not text.
+#: What class names and ids may end in, or be, that name what is not text.
 OUTSIDE_NAMES = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies footer form gdpr header login masthead menu "
     "modal nav navbar navigation newsletter notice pagination pager popup promo promoted related replies reply respond share sharing sidebar signup "
     "skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Those of them that hold text of others, so an article inside them is not the page's own.
+OTHERS_NAMES = frozenset(
+    "ad ads advert advertisement comment comments promo promoted related replies reply respond sponsor sponsored".split()
+)
+#: A name after one of these parts tells what stands beside the element.
+BESIDE_PARTS = frozenset("has have no not with without".split())
+#: Parts that say nothing, where a name ends in them.
+PLAIN_PARTS = frozenset(
+    "area bar block bottom box button buttons container group inner item items left link links list outer panel right section slot top wrap wrapper".split()
+)
 STOPS = frozenset(
     "a an and are as at be by for from has have he in is it not of on or that the this to was were what which with you "
     "au aux avec ce dans de des du elle en est et il la le les ne pas pour qui que sur un une "
@@ -72,34 +85,53 @@ class Block:
     outside: bool
     article: int  # number of the article or main element around it, 0 for none
     label: str = OPEN
+    wrappers: tuple[int, ...] = ()  # numbers of the elements around it whose names hint that it is outside
+
 
+def _names(value: str) -> set[str]:
+    """The names of ``OUTSIDE_NAMES`` that the tokens of a class or id end in."""
+    found = set()
+    for token in value.split():
+        parts = [part.lower() for part in NAME_PARTS.findall(token)]
+        while len(parts) > 1 and parts[-1] in PLAIN_PARTS:
+            parts.pop()
+        if parts and parts[-1] in OUTSIDE_NAMES and not BESIDE_PARTS.intersection(parts[:-1]):
+            found.add(parts[-1])
+    return found
 
-def _names_outside(attributes: str) -> bool:
+
+def _outside(attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether the attributes say that an element is not text, and whether its names hint so."""
+    hint = False
     for name, value in NAMED.findall(attributes):
         value, name = value.strip("\"'"), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if name == "role" and value.lower() in OUTSIDE_ROLES:
-            return True
-        if name in ("class", "id") and any(part.lower() in OUTSIDE_NAMES for part in NAME_PARTS.findall(value)):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id"):
+            names = _names(value) - ({"header"} if in_article else set())  # the header of an article holds its title
+            if names & OTHERS_NAMES:
+                return True, False
+            hint = hint or bool(names)
+    return False, hint
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; those without any text are left out."""
     out: list[Block] = []
-    nest: list[tuple[str, bool, int]] = []  # (tag, outside, article) of open elements
+    nest: list[tuple[str, bool, int, tuple[int, ...]]] = []  # (tag, outside, article, wrappers) of open elements
     pieces: list[str] = []
     linked: list[str] = []
-    tag, in_link, loose_outside, breaks, articles = "", False, False, 0, 0
+    tag, in_link, loose_outside, breaks, articles, hints = "", False, False, 0, 0, 0
 
     def close() -> None:
         nonlocal in_link
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            outside, article = (nest[-1][1], nest[-1][2]) if nest else (False, 0)
-            out.append(Block(text, len(" ".join(html.unescape(" ".join(linked)).split())), tag, outside or loose_outside, article))
+            _, outside, article, wrappers = nest[-1] if nest else ("", False, 0, ())
+            link_chars = len(" ".join(html.unescape(" ".join(linked)).split()))
+            out.append(Block(text, link_chars, tag, outside or loose_outside, article, wrappers=wrappers))
         pieces.clear()
         linked.clear()
 
@@ -156,7 +188,7 @@ def blocks(page: str) -> list[Block]:
         close()
         breaks, in_link = 0, False
         if name in LOOSE_TAGS:
-            tag, loose_outside = ("", False) if ends else (name, _names_outside(attributes))
+            tag, loose_outside = ("", False) if ends else (name, any(_outside(attributes, bool(nest and nest[-1][2]))))
             continue
         loose_outside = False
         if ends:
@@ -167,18 +199,42 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         tag = name
-        outside, article = (nest[-1][1], nest[-1][2]) if nest else (False, 0)
-        if name in TEXT_TAGS and not article:
-            articles += 1
-            article = articles
-        # the header of an article holds its title; that of a page does not
-        if name in OUTSIDE_TAGS and not (name == "header" and article) or _names_outside(attributes) and name not in TEXT_TAGS:
-            outside = True
-        nest.append((name, outside, article))
+        _, outside, article, wrappers = nest[-1] if nest else ("", False, 0, ())
+        if name in TEXT_TAGS:
+            wrappers = ()
+            if not article:
+                articles += 1
+                article = articles
+        else:
+            says, hint = _outside(attributes, bool(article))
+            # the header of an article holds its title; that of a page does not
+            outside = outside or says or name in OUTSIDE_TAGS and not (name == "header" and article)
+            if hint:
+                hints += 1
+                wrappers += (hints,)
+        nest.append((name, outside, article, wrappers))
     close()
+    _settle_wrappers(out)
     return out
 
 
+def _stop_density(text: str) -> float:
+    words = WORDS.findall(text.lower())
+    return sum(w in STOPS for w in words) / max(len(words), 1)
+
+
+def _settle_wrappers(found: list[Block]) -> None:
+    """Blocks inside a wrapper are outside, unless it holds most of the page's long prose."""
+    if not any(b.wrappers for b in found):
+        return
+    prose = [b for b in found if not b.outside and len(b.text) >= SHORT and b.link_chars <= MAX_LINKS * len(b.text)
+             and (b.article or _stop_density(b.text) >= SOME_STOPS)]
+    held = Counter(w for b in prose for w in b.wrappers)
+    for block in found:
+        if any(2 * held[w] <= len(prose) for w in block.wrappers):
+            block.outside = True
+
+
 def first_pass(found: list[Block]) -> None:
     """Decide each block by itself, or leave it open."""
     has_article = any(b.article and not b.outside for b in found)
@@ -195,8 +251,7 @@ def first_pass(found: list[Block]) -> None:
         if block.article:
             block.label = GOOD
             continue
-        words = WORDS.findall(text.lower())
-        stops = sum(w in STOPS for w in words) / max(len(words), 1)
+        stops = _stop_density(text)
         if has_article:
             block.label = BAD
         elif stops >= MANY_STOPS or stops >= SOME_STOPS and len(text) >= LONG:

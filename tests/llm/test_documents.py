@@ -552,3 +552,15 @@ def test_odd_pages(spark):
     assert got == dict(enumerate(cases.values()))
     assert html_text.extract(frame.limit(0)).count() == 0
     assert html_text.main_text("<a '" * 100_000) == ""
+
+
+@pytest.mark.parametrize("wrapper", ['class="layout has-sidebar"', 'class="content no-sidebar"', 'id="page" class="site with-banner"', 'class="hasSidebar"',
+                                     'class="page fixed-header"', 'class="skip"', 'id="modal"'])
+def test_wrappers_do_not_hide_the_article(wrapper):
+    entry = f'<div class="entry-header"><h1>A title of it</h1></div><p>{PROSE}</p><p>{PROSE * 2}</p>'
+    want = f"A title of it\n{PROSE.strip()}\n{(PROSE * 2).strip()}"
+    outside = f'<div class="sidebar"><p>{PROSE * 3}</p></div><div class="ad-slot">{PROSE}</div><div id="comments"><article class="comment"><p>{PROSE * 3}</p></article></div>'
+    for tag in ("article", "main"):
+        assert html_text.main_text(f"<body><div {wrapper}><{tag}>{entry}</{tag}>{outside}</div></body>") == want
+    # without an article element, a wrapper that holds most of the prose is text; the header of the page is not
+    assert html_text.main_text(f"<body><div {wrapper}><h1>A title of it</h1><p>{PROSE}</p><p>{PROSE * 2}</p>{outside}</div></body>") == want
