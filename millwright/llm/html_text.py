@@ -6,7 +6,8 @@ footers, forms and the like, named by tag, role, class or id, are not text. A cl
 hint unless it names comments, related pages or advertisements: an article or main element inside
 such a wrapper is text, and so is a wrapper that holds most of the page's prose. Inside an article or
 main element, where a page has one, prose needs no stop words, since the element already says what it
-is. Short blocks without links are left open. In the second pass an open block takes the label of the
+is; nor does it on a page whose long blocks have next to none, since its language is not known
+here. Short blocks of few links are left open, those with a copyright sign are not text. In the second pass an open block takes the label of the
 nearest decided blocks before and after it; where those differ, or on a tie, a heading follows the
 block after it and any other block the one before it. Open blocks look no further than their article
 element and pass over menus and the like; where that leaves no decided block, open ones are text.
@@ -35,7 +36,7 @@ from millwright.llm.common import whole_text
 
 MAX_LINKS = 0.33
 SHORT, LONG = 70, 200
-SOME_STOPS, MANY_STOPS = 0.15, 0.25
+FEW_STOPS, SOME_STOPS, MANY_STOPS = 0.05, 0.15, 0.25
 GOOD, BAD, OPEN = "good", "bad", "open"
 
 BLOCK_TAGS = frozenset(
@@ -227,26 +228,32 @@ def _settle_wrappers(found: list[Block]) -> None:
     """Blocks inside a wrapper are outside, unless it holds most of the page's long prose."""
     if not any(b.wrappers for b in found):
         return
-    prose = [b for b in found if not b.outside and len(b.text) >= SHORT and b.link_chars <= MAX_LINKS * len(b.text)
-             and (b.article or _stop_density(b.text) >= SOME_STOPS)]
+    long = [b for b in found if not b.outside and len(b.text) >= SHORT and b.link_chars <= MAX_LINKS * len(b.text)]
+    prose = [b for b in long if b.article or _stop_density(b.text) >= SOME_STOPS] or long
     held = Counter(w for b in prose for w in b.wrappers)
     for block in found:
         if any(2 * held[w] <= len(prose) for w in block.wrappers):
             block.outside = True
 
 
+def _unknown_language(found: list[Block]) -> bool:
+    """Whether the long blocks of few links have next to no known stop words."""
+    words = [w for b in found if not b.outside and len(b.text) >= SHORT and b.link_chars <= MAX_LINKS * len(b.text) for w in WORDS.findall(b.text.lower())]
+    return sum(w in STOPS for w in words) < FEW_STOPS * len(words)
+
+
 def first_pass(found: list[Block]) -> None:
     """Decide each block by itself, or leave it open."""
     has_article = any(b.article and not b.outside for b in found)
+    unknown = not has_article and _unknown_language(found)
     for block in found:
         text = block.text
-        if block.outside or "©" in text or block.link_chars > MAX_LINKS * len(text):
+        short = len(text) < SHORT
+        if block.outside or short and "©" in text or block.link_chars > MAX_LINKS * len(text):
             block.label = BAD
             continue
-        if len(text) < SHORT:
-            block.label = BAD if block.link_chars else OPEN
-            if has_article and not block.article:
-                block.label = BAD
+        if short:
+            block.label = BAD if has_article and not block.article else OPEN
             continue
         if block.article:
             block.label = GOOD
@@ -254,6 +261,8 @@ def first_pass(found: list[Block]) -> None:
         stops = _stop_density(text)
         if has_article:
             block.label = BAD
+        elif unknown:
+            block.label = GOOD if len(text) >= LONG else OPEN
         elif stops >= MANY_STOPS or stops >= SOME_STOPS and len(text) >= LONG:
             block.label = GOOD
         else:

@@ -564,3 +564,21 @@ def test_wrappers_do_not_hide_the_article(wrapper):
         assert html_text.main_text(f"<body><div {wrapper}><{tag}>{entry}</{tag}>{outside}</div></body>") == want
     # without an article element, a wrapper that holds most of the prose is text; the header of the page is not
     assert html_text.main_text(f"<body><div {wrapper}><h1>A title of it</h1><p>{PROSE}</p><p>{PROSE * 2}</p>{outside}</div></body>") == want
+
+
+def test_blocks_inside_an_article_are_not_dropped():
+    items = "<ul><li>First <a>step</a> of the way</li><li>The second step</li></ul>"
+    long = PROSE + "The notice © 1999 was printed on the first page of it. " + PROSE
+    page = f'<article><p>{PROSE}</p><p>See <a>the report</a> for many more details.</p><p>{PROSE}</p>{items}<p>{long}</p><p>© 2020 Example</p></article>'
+    want = [PROSE.strip(), "See the report for many more details.", PROSE.strip(), "First step of the way", "The second step", long.strip()]
+    assert html_text.main_text(page).split("\n") == want
+    assert html_text.main_text(f"<body>{page.replace('article>', 'div>')}</body>").split("\n") == want
+
+
+@pytest.mark.parametrize("prose", ["Kot siedział spokojnie przed domem, kiedy pies biegł przez pole ku rzece. ", "Кошка сидела на коврике, пока собака бежала через холм к реке. ",
+                                   "猫は敷物の上に座り、犬は丘を越えて川へ走った。"])
+def test_pages_of_unknown_language(prose):
+    long, menu = (prose * 10).strip(), "".join(f"<li><a href='{n}'>{prose}</a></li>" for n in range(9))
+    for wrapper in ("page", "page fixed-header"):
+        page = f"<body><div class='{wrapper}'><ul>{menu}</ul><h1>{prose[:20]}</h1><p>{long}</p><p>{long}</p><footer>{long}</footer></div></body>"
+        assert html_text.main_text(page).split("\n") == [prose[:20].strip(), long, long]
