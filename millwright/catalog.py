@@ -484,14 +484,9 @@ def _class_weights(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(G.class_weights(train), ["balanced_weight", "positive_weight"], 9)
 
 
-# A run of the search that fits a laptop; the defaults of the operator are the full search.
-SMALL_SEARCH = {"numTrees": [10, 20], "maxDepth": [4, 6], "minInstancesPerNode": [1, 2], "featureSubsetStrategy": ["sqrt", "all"]}
-
-
 def _search(spark: SparkSession, folder: str) -> DataFrame:
     _, parts = _training(spark, folder)
-    searched = G.random_search(parts["train"], SMALL_SEARCH, draws=3, k=3)
-    return G.search_results(spark, searched)
+    return G.search_results(spark, G.random_search(parts["train"]))
 
 
 def _mode_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -540,9 +535,18 @@ def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def _comparison(spark: SparkSession, folder: str) -> DataFrame:
     _, parts = _training(spark, folder)
-    candidates = [("logistic regression", G.logistic_baseline()), ("decision tree", G.decision_tree()),
-                  ("random forest", G.random_forest())]
-    rows = [G.train_and_evaluate(m, parts["train"], parts["val"], name)[1] for name, m in candidates]
+    train, val = parts["train"], parts["val"]
+    candidates = [("logistic regression", G.logistic_baseline(), train), ("decision tree", G.decision_tree(), train),
+                  ("random forest", G.random_forest(), train), ("boosted trees", G.boosted_trees(), train),
+                  ("perceptron", G.perceptron(), G.oversample(train))]
+    rows = [G.train_and_evaluate(m, part, val, name)[1] for name, m, part in candidates]
+    weighted, row = G.train_and_evaluate(G.random_forest(weight="weight"), G.with_weights(train), val, "weighted forest")
+    best = I.threshold_for_precision(I.threshold_points(G.probability(weighted.transform(val)))).first()  # one row, or none
+    rows.append(row)
+    if best:
+        rows.append(G.train_and_evaluate(weighted, train, val, "weighted forest, wanted precision", threshold=best["threshold"], already_fitted=True)[1])
+    tuned = G.random_search(train).bestModel
+    rows.append(G.train_and_evaluate(tuned, train, val, "tuned forest", already_fitted=True)[1])
     return _rounded(I.compare_models(rows), MEASURES, 9)
 
 
@@ -582,7 +586,7 @@ TRAINING_QUERIES: dict[str, Query] = {
     "g01_logistic_baseline": _trained("logistic regression", G.logistic_baseline),
     "g02_decision_tree": _trained("decision tree", G.decision_tree),
     "g03_random_forest": _trained("random forest", G.random_forest),
-    "g04_boosted_trees": _trained("boosted trees", lambda: G.boosted_trees(rounds=40)),
+    "g04_boosted_trees": _trained("boosted trees", G.boosted_trees),
     "g05_class_weights": _class_weights,
     "g05_weighted_forest": _trained("weighted forest", lambda: G.random_forest(weight="weight"), weighted=True),
     "g07_search_results": _search,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from millwright import catalog
 from millwright import constants as K
 from millwright.catalog import QUERIES
 from millwright.operators import evaluation as I
@@ -334,3 +335,37 @@ def test_metrics_row_names_its_split(spark):
     df = spark.createDataFrame([(0.9, 1), (0.2, 0)], "score double, label int")
     row = I.metrics_row(df, "m", "test").first()
     assert row["split"] == "test" and row["pr_auc"] == 1.0 and row["roc_auc"] == 1.0
+
+
+def test_training_queries_do_the_whole_job(spark, monkeypatch):
+    scored = spark.createDataFrame([(0.9, 1), (0.2, 0)], "score double, label int")
+    parts = {name: spark.createDataFrame([(n, n % 2) for n in range(4)], "machine_id long, machine_failure int") for name in ("train", "val")}
+    trained, searches = [], []
+
+    class Forest:
+        bestModel = G.random_forest(700)
+        avgMetrics, stdMetrics = [n / 40 for n in range(40)], [0.0] * 40
+
+        def getEstimatorParamMaps(self):
+            return [{}] * 40
+
+        def transform(self, df):
+            return df
+
+    def evaluate(model, train, held_out, name, split="val", threshold=0.5, already_fitted=False):
+        trained.append((name, model))
+        return Forest(), spark.createDataFrame([(name, split, float(threshold), *[0.5] * 7)], ["model", "split", *catalog.MEASURES])
+
+    monkeypatch.setattr(catalog, "_training", lambda *_: (None, parts))
+    monkeypatch.setattr(G, "train_and_evaluate", evaluate)
+    monkeypatch.setattr(G, "probability", lambda df: scored)
+    monkeypatch.setattr(G, "random_search", lambda *args, **more: searches.append((args[1:], more)) or Forest())
+    catalog.QUERIES["g04_boosted_trees"](spark, "")
+    assert trained[-1][1].getMaxIter() == 300
+    assert catalog.QUERIES["g07_search_results"](spark, "").count() == 10
+    found = {r["model"]: r["threshold"] for r in catalog.QUERIES["i16_model_comparison"](spark, "").collect()}
+    assert set(found) == {"logistic regression", "decision tree", "random forest", "boosted trees", "perceptron", "weighted forest",
+                          "weighted forest, wanted precision", "tuned forest"}
+    models = dict(trained)
+    assert models["boosted trees"].getMaxIter() == 300 and models["perceptron"].getMaxIter() == 120 and models["tuned forest"].getNumTrees() == 700
+    assert searches == [((), {})] * 2 and len(G.draw_parameters(G.SEARCH_SPACE)) == 40
