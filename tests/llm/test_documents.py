@@ -382,6 +382,21 @@ def test_excerpts_from_the_middle_of_long_items(spark):
     assert sure <= got <= held and len(sure) > 40
 
 
+def test_short_items_with_substitutions(spark):
+    rng, items, rows, want = random.Random(17), {}, [], set()
+    for size in range(5, 14):
+        items[size] = [f"w{size}x{k}" for k in range(size)]
+        places = list(itertools.combinations(range(size), size // 5))
+        for gone in places + rng.sample(list(itertools.combinations(range(size), size // 5 + 1)), 10):
+            if len(gone) == size // 5:
+                want.add((len(rows), size))
+            part = ["swapped" if k in gone else w for k, w in enumerate(items[size])]
+            rows.append((len(rows), " ".join([f"x{k}" for k in range(rng.randint(0, 9))] + part + ["y"] * rng.randint(0, 9))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(n, " ".join(words)) for n, words in items.items()], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.matches(docs, tests).collect()} == want
+
+
 def test_masks_meet_three_substitutions_in_fifteen_tokens():
     windows = [{start + p for p in mask} for mask in decontamination.MASKS for start in range(15 - mask[-1])]
     assert all(any(not w & set(gone) for w in windows) for gone in itertools.combinations(range(15), 3))
