@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import decontamination, html_text, line_crf, line_dedup, line_rules, packing, rans, secrets, sharding, simhash
+from millwright.llm import decontamination, html_text, langid, lexical, line_crf, line_dedup, line_rules, packing, rans, secrets, sharding, simhash, whitening
 from millwright.llm.common import table
 from millwright.session import scratch_path
 
@@ -86,9 +86,23 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_word_first_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predicted(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op12_block_matrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hybrid_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_files, op2_label_propagation_shards, op3_secret_ownership, op4_line_first_rules, op5_quality_crf, op6_simhash_near_dedup,
-        op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing, op10_html_blocks,
+        op7_benchmark_decontamination, op8_line_dedup, op9_best_fit_packing, op10_html_blocks, op11_word_first_backoff, op12_block_matrix_whitening, op13_hybrid_lexical_search,
     )
 }

@@ -95,4 +95,27 @@ hits AS (SELECT ROW_NUMBER() OVER () AS hit, * FROM (
 SELECT doc_id, item_id, COUNT(*) AS n_windows, MIN(pos) AS first_token FROM checked GROUP BY ALL
 """
 
-STATEMENTS = {"op4_line_first_rules": OP4, "op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = f"""
+WITH doc_terms AS (
+  SELECT row_id, doc_id, UNNEST(terms) AS term, len(terms) AS n FROM (
+    SELECT ROW_NUMBER() OVER () AS row_id, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}') AS terms FROM documents)
+), lists AS (SELECT row_id, doc_id, term, n, COUNT(*) AS tf FROM doc_terms GROUP BY ALL),
+docs AS (SELECT DISTINCT row_id, n FROM doc_terms),
+totals AS (SELECT COUNT(*) AS n_docs, SUM(n)::BIGINT AS n_terms FROM docs),
+weights AS (
+  SELECT term, CAST(FLOOR(1000 * LN((2 * n_docs + 2)::DOUBLE / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM lists, totals GROUP BY term, n_docs
+), asked AS (
+  SELECT item_id, UNNEST(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), scores AS (
+  SELECT a.item_id, l.doc_id, l.row_id, SUM(w.w * ((1000000000 * l.tf) // (1000 * l.tf + 8 * (25 + (75 * l.n * t.n_docs) // t.n_terms))))::BIGINT AS score
+  FROM asked a JOIN weights w ON a.term = w.term JOIN lists l ON l.term = a.term, totals t GROUP BY ALL
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0
+) WHERE place <= 10
+"""
+
+STATEMENTS = {"op4_line_first_rules": OP4, "op7_benchmark_decontamination": OP7, "op8_line_dedup": OP8, "op13_hybrid_lexical_search": OP13}
