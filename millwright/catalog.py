@@ -25,6 +25,8 @@ from millwright.operators import retrieval as L
 from millwright.operators import scoring as H
 from millwright.operators.etl import refresh_fleet
 from millwright.operators.modelling import FleetTables
+from millwright.operators.text_index import TextIndex, scan_search
+from millwright.operators.vector_index import PivotIndex
 from millwright.sources import lineitem_fleet as source
 from millwright.session import scratch_path, stage
 from millwright.sources import readers, writers
@@ -369,7 +371,7 @@ def _anomalies(spark: SparkSession, folder: str) -> DataFrame:
 
 def _anomaly_kpis(spark: SparkSession, folder: str) -> DataFrame:
     scored = _anomalies(spark, folder).withColumn("mlp_probability", F.col("anomaly_score"))
-    return _rounded(H.anomaly_kpis(scored), ["average_probability_pct"])
+    return H.anomaly_kpis(scored)
 
 
 def _telemetry_high_risk(spark: SparkSession, folder: str) -> DataFrame:
@@ -384,10 +386,36 @@ def _diagnoses(spark: SparkSession, folder: str) -> DataFrame:
     return H.with_protocols(H.diagnose(_engineered(spark, folder)), rules)
 
 
+def _text_index(spark: SparkSession, folder: str) -> TextIndex:
+    return TextIndex.build(L.chunk_fixed(_documents(spark, folder)))
+
+
+def _term_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark texts as questions over the chunks of all documents."""
+    questions = spark.read.parquet(f"{folder}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
+    return _text_index(spark, folder).search(questions)
+
+
+def _pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Every twentieth vector against all vectors."""
+    vectors = _embeddings(spark, folder)
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return PivotIndex.build(vectors).search(asked)
+
+
 def _retrieved_protocols(spark: SparkSession, folder: str) -> DataFrame:
-    """For high-risk machines the documents retrieved for each of their diagnoses: the rule's number names the search vector."""
-    found = _context(spark, folder).select(F.col("query_id").alias("rule_order"), F.col("context").alias("protocol"))
-    return L.risk_protocols(_status(spark, folder), H.with_protocols(H.diagnose(_engineered(spark, folder)), found))
+    """For high-risk machines the texts found for the question of each of their diagnoses."""
+    rules = H.diagnosis_rules()
+    questions = spark.createDataFrame([(i, rule.question) for i, rule in enumerate(rules)], "query_id int, text string")
+    chunks = L.chunk_fixed(_documents(spark, folder))
+    found = stage(scan_search(chunks, questions), "protocols")  # at most three rows per rule
+    texts = chunks.join(F.broadcast(found), ["doc_id", "chunk_id"])
+    told = texts.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk"))).alias("found"))
+    protocols = told.select(F.col("query_id").alias("rule_order"), F.array_join(F.col("found")["chunk"], L.CONTEXT_SEPARATOR).alias("protocol"))
+    engineered = _engineered(spark, folder)
+    risk = engineered.withColumn("failure_risk", H.rule_probability(engineered))
+    machines = risk.select("machine_id", "failure_risk", C.status_band("failure_risk").alias("status"), H.rules_met(rules).alias("rules"))
+    return L.risk_protocols(machines, protocols, len(rules))
 
 
 def _rule_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -424,7 +452,7 @@ def _attributions(spark: SparkSession, folder: str) -> DataFrame:
 def _global_attribution(spark: SparkSession, folder: str) -> DataFrame:
     parts = _split_rows(spark, folder)
     local = J.attributions(X.seeded_sample(parts), J.reference_means(parts.where("split = 'train'")))
-    return _rounded(J.global_attribution(local), ["mean_abs_contribution"], 9)
+    return J.global_attribution(local)
 
 
 def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
@@ -619,7 +647,7 @@ SCORING_QUERIES: dict[str, Query] = {
     "h03_batch_scores": _batch_scores,
     "h05_anomaly_flag": lambda s, d: _anomalies(s, d).select("machine_id", "anomaly_score", "is_anomaly"),
     "h06_status_bands": lambda s, d: _status(s, d).select("machine_id", "failure_risk", "status"),
-    "h07_fleet_kpis": lambda s, d: _rounded(H.fleet_kpis(_status(s, d)), ["average_risk_pct"]),
+    "h07_fleet_kpis": lambda s, d: H.fleet_kpis(_status(s, d)),
     "h07_anomaly_kpis": _anomaly_kpis,
     "h08_worklist": lambda s, d: H.worklist(_status(s, d), "failure_risk"),
     "h08_worklist_top": lambda s, d: H.worklist(_status(s, d), "failure_risk", 100).select(
@@ -654,7 +682,7 @@ EVALUATION_QUERIES: dict[str, Query] = {
 
 DRIFT_QUERIES: dict[str, Query] = {
     "j01_ks_drift": _drift,
-    "j02_degradation": lambda s, d: _rounded(J.degradation_risk(source.observations(s, d)), ["mean_risk"], 9),
+    "j02_degradation": lambda s, d: J.degradation_risk(source.observations(s, d)),
     "j03_attributions": _attributions,
     "j04_global_attribution": _global_attribution,
 }
@@ -667,9 +695,13 @@ STREAMING_QUERIES: dict[str, Query] = {
 RETRIEVAL_QUERIES: dict[str, Query] = {
     "l01_chunk_fixed": lambda s, d: L.chunk_fixed(_documents(s, d)),
     "l01_chunk_lines": lambda s, d: L.chunk_lines(_documents(s, d)),
+    "l01_chunk_separators": lambda s, d: L.chunk_separators(_documents(s, d)),
     "l02_chunk_embedding": _chunk_embedding,
+    "l02_term_index": lambda s, d: _text_index(s, d).terms,
     "l03_similarity_search": _similarity_search,
     "l03_text_search": _text_search,
+    "l03_term_search": _term_search,
+    "l03_pivot_search": _pivot_search,
     "l04_context": _context,
     "l05_risk_protocols": _retrieved_protocols,
 }

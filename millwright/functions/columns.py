@@ -116,6 +116,21 @@ def mode_count() -> Column:
     return total
 
 
+NANO = 10**9
+
+
+def exact_mean(value: Column | str, digits: int, factor: int = 1) -> Column:
+    """``factor`` times the mean of non-negative numbers, each taken to nine decimals, rounded half up.
+
+    An aggregate of integers, so neither the order of rows nor their partitioning can move a tie.
+    """
+    units = F.floor(_col(value) * NANO + 0.5).cast("decimal(20,0)")
+    total, n = F.sum(units).cast("decimal(38,0)"), F.count(units).cast("decimal(38,0)")
+    doubled = F.lit(2 * factor * 10**digits).cast("decimal(38,0)")
+    rounded = F.call_function("div", total * doubled + n * F.lit(NANO).cast("decimal(38,0)"), n * F.lit(2 * NANO).cast("decimal(38,0)"))
+    return F.when(F.count(units) > 0, rounded / 10**digits)
+
+
 def percent_text(risk: Column) -> Column:
     """A probability as text with two decimals and a percent sign."""
     points = F.floor(risk * 10000 + 0.5)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright import constants as K
+from millwright.functions import columns as C
 from millwright.functions.columns import rule_score
 from millwright.functions.significance import kolmogorov_tail
 from millwright.plans.ordering import cumulate
@@ -74,7 +75,7 @@ def degradation_risk(clean: DataFrame, steps: Sequence[int] = (0, 1, 2, 3, 4), s
             inputs["air_temperature_k"] = inputs["air_temperature_k"] + heat_per_step * step
             noise = hashed_normal("machine_id", step, seed) * (noise_per_step * step)
             inputs["torque_nm"] = inputs["torque_nm"] + noise
-        averages.append(F.struct(F.lit(step).alias("step"), F.avg(scorer(inputs)).alias("mean_risk")).alias(f"_{step}"))
+        averages.append(F.struct(F.lit(step).alias("step"), C.exact_mean(scorer(inputs), 9).alias("mean_risk")).alias(f"_{step}"))
     return clean.agg(*averages).select(F.inline(F.array(*[F.col(f"_{s}") for s in steps])))
 
 
@@ -136,5 +137,5 @@ def model_attributions(df: DataFrame, model, means: Mapping[str, float], top: in
 
 def global_attribution(local: DataFrame) -> DataFrame:
     """Mean absolute contribution per feature."""
-    return local.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution")).orderBy(
+    return local.groupBy("feature").agg(C.exact_mean(F.abs("contribution"), 9).alias("mean_abs_contribution")).orderBy(
         F.col("mean_abs_contribution").desc(), "feature")

@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from millwright import constants as K
 from millwright.operators.evaluation import ranked_within
+from millwright.operators.vector_index import QUERY_BLOCK, SCORE_DIGITS, best_rows, candidates, matrix, unit
 
 CHUNK_SIZE, CHUNK_OVERLAP = 500, 50
 CONTEXT_SEPARATOR = "\n\n"
-QUERY_BLOCK = 4096  # search texts held by every task at once: at 384 numbers each, 12 MB
-SCORE_DIGITS = 9
 
 
 def chunk_fixed(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, uid: str = "doc_id",
@@ -52,6 +51,23 @@ def chunk_lines(documents: DataFrame, size: int = CHUNK_SIZE, uid: str = "doc_id
     return gathered.select(uid, "chunk_id", F.array_join(F.col("_lines")["_line"], "\n").alias("chunk"))
 
 
+def chunk_separators(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, uid: str = "doc_id",
+                     text: str = "text") -> DataFrame:
+    """Chunks of at most ``size`` characters that end at separators, each led by the end of the piece before it.
+
+    A text is cut into pieces of at most ``size - overlap`` characters: what is left if it fits, else up to
+    the last empty line in the second half of that width, else the last line end there, else the last
+    blank there, else the whole width. One pass of one expression; every character is in exactly one piece.
+    """
+    width = size - overlap
+    half = width // 2
+    pattern = f"(?s).{{1,{width}}}\\z|.{{{half - 2},{width - 2}}}\n\n|.{{{half - 1},{width - 1}}}\n|.{{{half - 1},{width - 1}}} |.{{{width}}}"
+    pieces = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    held = documents.where(F.length(text) > 0).select(uid, pieces.alias("_pieces"))
+    led = F.transform("_pieces", lambda piece, i: F.concat(F.when(i > 0, F.right(F.get("_pieces", i - 1), F.lit(overlap))).otherwise(""), piece))
+    return held.select(uid, F.posexplode(led).alias("chunk_id", "chunk"))
+
+
 def embedder(dimensions: int = 384, text: str = "chunk") -> Pipeline:
     """Hashed term weights scaled by inverse document frequency, at unit length."""
     return Pipeline(stages=[
@@ -97,34 +113,18 @@ def _best(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, uid: str
     if not held:
         return corpus.sparkSession.createDataFrame([], schema)
     ids = np.array([row[0] for row in held], dtype=object)
-    matrix = np.array([row[1] for row in held], dtype="float64")
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    matrix = matrix / np.where(norms == 0, 1.0, norms)
-    everywhere = corpus.sparkSession.sparkContext.broadcast((ids, matrix))
+    everywhere = corpus.sparkSession.sparkContext.broadcast((ids, unit(np.array([row[1] for row in held], dtype="float64"))))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, q = everywhere.value
-        kept = [(np.empty(0), np.empty(0, "int64"))] * len(names)
+        kept = (np.zeros(0, "int64"), np.zeros(0), np.zeros(0, "int64"))
         for batch in batches:
-            if not len(batch):
-                continue
-            rows = np.stack(batch[vector].to_numpy()).astype("float64")
-            lengths = np.linalg.norm(rows, axis=1, keepdims=True)
-            scores = np.round((rows / np.where(lengths == 0, 1.0, lengths)) @ q.T, SCORE_DIGITS)
-            keys = batch[uid].to_numpy()
-            for j, (old_scores, old_keys) in enumerate(kept):
-                column = scores[:, j]
-                if len(column) > k:  # everything at or above the k-th best, ties included
-                    near = column >= np.partition(column, len(column) - k)[len(column) - k]
-                    column, found = column[near], keys[near]
-                else:
-                    found = keys
-                column, found = np.concatenate([old_scores, column]), np.concatenate([old_keys, found])
-                chosen = np.lexsort((found, -column))[:k]
-                kept[j] = (column[chosen], found[chosen])
-        counts = [len(column) for column, _ in kept]
-        yield pd.DataFrame({query_id: np.repeat(names, counts), uid: np.concatenate([keys for _, keys in kept]),
-                            "score": np.concatenate([column for column, _ in kept])})
+            if len(batch):
+                scores = np.round(unit(matrix(batch[vector])) @ q.T, SCORE_DIGITS)
+                row, query = candidates(scores, k)
+                whole = [np.concatenate(c) for c in zip(kept, (query, scores[row, query], batch[uid].to_numpy()[row]))]
+                kept = tuple(c[best_rows(*whole, k)] for c in whole)
+        yield pd.DataFrame({query_id: names[kept[0]], uid: kept[2], "score": kept[1]})
 
     return corpus.select(uid, vector).mapInPandas(best, schema)
 
@@ -142,14 +142,20 @@ def context(hits: DataFrame, texts: DataFrame, queries: DataFrame, query_id: str
         "context", F.coalesce("context", F.lit(K.NOT_FOUND)))
 
 
-def risk_protocols(status: DataFrame, diagnoses: DataFrame) -> DataFrame:
+def risk_protocols(machines: DataFrame, protocols: DataFrame, n_rules: int) -> DataFrame:
     """For every high-risk machine the protocols of its diagnoses, in rule order, as one text.
 
-    ``diagnoses`` carry the protocol of their rule, which may be a text retrieved for it.
+    ``machines`` carry their risk, their status and the array ``rules`` of the rules they meet;
+    ``protocols`` (rule_order, protocol) have at most one row per rule. The text of each set of rules
+    is built once, so texts never travel with machines.
     """
-    wanted = status.where(F.col("status") == K.HIGH_RISK).select("machine_id", "failure_risk")
-    per_machine = diagnoses.groupBy("machine_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("protocol").isNotNull(), F.struct("rule_order", "protocol")))).alias("_p"))  # at most one row per rule
-    told = per_machine.where(F.size("_p") > 0).select("machine_id", F.array_join(
-        F.array_distinct(F.transform("_p", lambda p: p["protocol"])), CONTEXT_SEPARATOR).alias("context"))
-    return wanted.join(told, "machine_id", "left").withColumn("context", F.coalesce("context", F.lit(K.NOT_FOUND)))
+    sets = [[r for r in range(n_rules) if chosen >> r & 1] for chosen in range(1, 2**n_rules)]
+    spark = machines.sparkSession
+    members = spark.createDataFrame([(rules, r) for rules in sets for r in rules], "rules array<int>, rule_order int")
+    told = members.join(protocols.where(F.col("protocol").isNotNull()), "rule_order").groupBy("rules").agg(
+        F.array_sort(F.collect_list(F.struct("rule_order", "protocol"))).alias("_p"))
+    texts = told.select("rules", F.array_join(F.array_distinct(F.transform("_p", lambda p: p["protocol"])), CONTEXT_SEPARATOR).alias("context"))
+    wanted = machines.where(F.col("status") == K.HIGH_RISK).select("machine_id", "failure_risk", "rules")
+    # one row per set of rules
+    return wanted.join(F.broadcast(texts), "rules", "left").select(
+        "machine_id", "failure_risk", F.coalesce("context", F.lit(K.NOT_FOUND)).alias("context"))

@@ -69,14 +69,14 @@ def fleet_kpis(status: DataFrame) -> DataFrame:
     return status.agg(
         F.count(F.lit(1)).alias("total_machines"),
         F.count(F.when(F.col("status") == K.HIGH_RISK, 1)).alias("machines_at_risk"),
-        (F.avg("failure_risk") * 100).alias("average_risk_pct"))
+        C.exact_mean("failure_risk", 6, 100).alias("average_risk_pct"))
 
 
 def anomaly_kpis(scored: DataFrame) -> DataFrame:
     """Flagged machines and the mean probability in percent."""
     return scored.agg(
         F.count(F.when(F.col("is_anomaly"), 1)).alias("flagged_as_anomaly"),
-        (F.avg("mlp_probability") * 100).alias("average_probability_pct"))
+        C.exact_mean("mlp_probability", 6, 100).alias("average_probability_pct"))
 
 
 def worklist(df: DataFrame, by: str, limit: int | None = None, uid: str = "machine_id") -> DataFrame:
@@ -123,10 +123,11 @@ def lookup_telemetry(status: DataFrame, wanted: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class DiagnosisRule:
-    """A condition on the feature columns."""
+    """A condition on the feature columns, and the question that finds its protocol."""
 
     code: str
     condition: str
+    question: str = ""
 
 
 @dataclass(frozen=True)
@@ -147,11 +148,14 @@ def diagnosis_rules(limits: DiagnosisLimits = DiagnosisLimits()) -> list[Diagnos
     strain = (f"CASE type_code WHEN 'L' THEN {limits.strain_low}D WHEN 'M' THEN {limits.strain_medium}D "
               f"ELSE {limits.strain_high}D END")
     return [
-        DiagnosisRule("HDF", f"temp_diff_K < {limits.heat_gap_k}D AND rotational_speed_rpm < {limits.heat_speed_rpm}"),
-        DiagnosisRule("PWF", f"power_W < {limits.power_low_w}D OR power_W > {limits.power_high_w}D"),
-        DiagnosisRule("OSF", f"torque_x_toolwear > {strain}"),
-        DiagnosisRule("TWF", f"tool_wear_min BETWEEN {limits.wear_window_min} AND {limits.wear_window_max}"),
-        DiagnosisRule("WEAR", f"tool_wear_min > {limits.wear_warning}"),
+        DiagnosisRule("HDF", f"temp_diff_K < {limits.heat_gap_k}D AND rotational_speed_rpm < {limits.heat_speed_rpm}",
+                      "heat does not leave the process: the air is as hot as the process and the speed is low"),
+        DiagnosisRule("PWF", f"power_W < {limits.power_low_w}D OR power_W > {limits.power_high_w}D",
+                      "the power of the tool is too low or too high for the work"),
+        DiagnosisRule("OSF", f"torque_x_toolwear > {strain}", "strain: a worn tool at too high a torque for this type of machine"),
+        DiagnosisRule("TWF", f"tool_wear_min BETWEEN {limits.wear_window_min} AND {limits.wear_window_max}",
+                      "the tool is in the window of wear in which it fails and is to be replaced"),
+        DiagnosisRule("WEAR", f"tool_wear_min > {limits.wear_warning}", "wear of the tool is over the limit, plan to change it soon"),
     ]
 
 
@@ -165,6 +169,12 @@ def diagnose(engineered: DataFrame, rules: Sequence[DiagnosisRule] | None = None
     return engineered.select("machine_id", F.inline(hits))
 
 
+def rules_met(rules: Sequence[DiagnosisRule] | None = None) -> Column:
+    """The numbers of the rules a row of features meets, in their order."""
+    rules = diagnosis_rules() if rules is None else rules
+    return F.array_compact(F.array(*[F.when(F.expr(rule.condition), F.lit(i)) for i, rule in enumerate(rules)]))
+
+
 def with_protocols(diagnoses: DataFrame, protocols: DataFrame) -> DataFrame:
     """Diagnoses with the text of their rule from the rows (rule_order, protocol) of a table; null where it has none."""
     return diagnoses.join(protocols.select("rule_order", "protocol"), "rule_order", "left").select(

@@ -144,3 +144,9 @@ def pct(part: str, whole: str, digits: int = 2) -> str:
     """100 * part / whole rounded half up, from integers."""
     scale = 10**digits
     return (f"CAST((CAST({part} AS HUGEINT) * {200 * scale} + ({whole})) // (({whole}) * 2) AS DOUBLE) / {scale}")
+
+
+def exact_mean(value: str, digits: int, factor: int = 1) -> str:
+    """``factor`` times the mean of ``value`` to nine decimals, rounded half up, from integers."""
+    units = f"CAST(FLOOR(({value}) * 1000000000 + 0.5) AS HUGEINT)"
+    return f"CAST((SUM({units}) * {2 * factor * 10**digits} + COUNT(*) * 1000000000::HUGEINT) // (COUNT(*) * 2000000000::HUGEINT) AS DOUBLE) / {10**digits}"

@@ -28,13 +28,11 @@ def _describe(columns, table):
 
 
 def _erfc(x):
-    coefficients = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-                    0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    t = f"(1.0E0 / (({x}) * 0.5E0 + 1.0E0))"
-    poly = f"{coefficients[-1]}E0"
-    for c in reversed(coefficients[:-1]):
-        poly = f"({poly} * {t} + {c}E0)"
-    return f"({t} * EXP(-({x}) * ({x}) + {poly}))"
+    """Trapezoid sums of step 1/2 over exp(-t * t) / (t * t + x * x), less the residue at x; exact to double precision."""
+    sums = " + ".join(f"EXP(-{n * n / 4}E0) / ({n * n / 4}E0 + ({x}) * ({x}))" for n in range(1, 14))
+    residue = f"CASE WHEN ({x}) < 6.283E0 THEN 2.0E0 / (1.0E0 - EXP(4.0E0 * PI() * ({x}))) ELSE 0.0E0 END"
+    return (f"(CASE WHEN ({x}) < 1.0E-8 THEN 1.0E0 - 2.0E0 * ({x}) / SQRT(PI()) ELSE "
+            f"({x}) / 2.0E0 / PI() * EXP(-({x}) * ({x})) * (1.0E0 / (({x}) * ({x})) + 2.0E0 * ({sums})) + {residue} END)")
 
 
 RANKS = """

@@ -1,6 +1,8 @@
 """Scoring, evaluation, drift, replay and retrieval statements."""
 
-from oracles.base import features, fleet, splits
+from oracles.base import exact_mean, features, fleet, splits
+from millwright.constants import NOT_FOUND
+from millwright.operators.scoring import diagnosis_rules
 from oracles.exploration import histogram
 
 BAND = """CASE WHEN {r} <= -0.01 THEN NULL WHEN {r} <= 0.3 THEN '\U0001F7E2 Healthy' WHEN {r} <= 0.7 THEN '\U0001F7E1 Needs monitoring'
@@ -97,7 +99,7 @@ def _rule(torque):
 
 
 DEGRADED = features(" UNION ALL ".join(
-    f"SELECT {t} AS step, ROUND(AVG({_rule('torque_nm' if t == 0 else 'torque_nm + ' + _noise(t))}), 9) AS mean_risk FROM eng" for t in range(5)))
+    f"SELECT {t} AS step, {exact_mean(_rule('torque_nm' if t == 0 else 'torque_nm + ' + _noise(t)), 9)} AS mean_risk FROM eng" for t in range(5)))
 SENSORS = FEATURE_COLUMNS[:5]
 ATTR = """, mn AS (SELECT AVG(tool_wear_min) AS mw, AVG(torque_nm) AS mt FROM parts WHERE split = 'train')
 , att AS (SELECT machine_id, UNNEST([{pairs}], recursive := true) FROM parts CROSS JOIN mn)
@@ -111,6 +113,47 @@ PROTO = """, pr AS (SELECT label, i, AVG(CAST(embedding[i] AS DOUBLE)) AS m FROM
 , q AS (SELECT label AS query_id, LIST(m ORDER BY i) AS v FROM pr GROUP BY 1)
 , sc AS (SELECT query_id, vec_id, ROUND(LIST_COSINE_SIMILARITY(CAST(embedding AS DOUBLE[]), v), 9) AS score FROM embeddings CROSS JOIN q)
 , top AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM sc QUALIFY rank <= 3)"""
+CHUNKS = """chunks AS (SELECT doc_id, CAST(i AS INT) AS chunk_id, SUBSTR(text, i * 450 + 1, 500) AS chunk
+  FROM (SELECT doc_id, text, UNNEST(RANGE(0, CAST(CEIL(GREATEST(LENGTH(text) - 50, 1) / 450.0) AS BIGINT))) AS i FROM documents WHERE LENGTH(text) > 0))"""
+
+
+def _words(text):
+    return f"UNNEST(list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''))"
+
+
+INDEX = CHUNKS + f""", cw AS (SELECT doc_id, chunk_id, {_words('chunk')} AS term FROM chunks)
+, tf AS (SELECT doc_id, chunk_id, term, COUNT(*) AS n FROM cw GROUP BY ALL)
+, sz AS (SELECT doc_id, chunk_id, SUM(n)::BIGINT AS size FROM tf GROUP BY ALL)
+, nt AS (SELECT COUNT(*) AS texts, CAST(SUM(size) AS DOUBLE) / COUNT(*) AS mean FROM sz)
+, idf AS (SELECT term, COUNT(*) AS df, CAST(FLOOR(1000 * LN(1 + (texts - COUNT(*) + 0.5::DOUBLE) / (COUNT(*) + 0.5::DOUBLE))) AS BIGINT) AS idf FROM tf, nt GROUP BY term, texts)
+, sh AS (SELECT doc_id, chunk_id, term, CAST(FLOOR(2200000.0::DOUBLE * n / (n + 0.3::DOUBLE + 0.9::DOUBLE * (size / mean))) AS BIGINT) AS share
+  FROM tf JOIN sz USING (doc_id, chunk_id), nt)"""
+
+
+def _found(questions):
+    """The three best chunks of each row (query_id, text) of ``questions``."""
+    return INDEX + f""", qw AS (SELECT query_id, {_words('text')} AS term FROM {questions})
+, qt AS (SELECT query_id, term, COUNT(*) AS n FROM qw GROUP BY ALL)
+, hit AS (SELECT query_id, doc_id, chunk_id, SUM(qt.n * idf.idf * sh.share)::BIGINT AS score FROM qt JOIN idf USING (term) JOIN sh USING (term) GROUP BY ALL)
+, found AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_id) AS INT) AS rank FROM hit WHERE score > 0 QUALIFY rank <= 3)"""
+
+
+def _questions():
+    rows = ", ".join(f"({i}, '{rule.question}')" for i, rule in enumerate(diagnosis_rules()))
+    return f"asked(query_id, text) AS (VALUES {rows})"
+
+
+#: Pieces of at most 450 characters, cut one after the other.
+PIECES = """WITH RECURSIVE piece AS (
+  SELECT doc_id, 0 AS chunk_id, '' AS cut, text AS rest FROM documents WHERE LENGTH(text) > 0
+  UNION ALL
+  SELECT doc_id, chunk_id + 1, SUBSTR(rest, 1, size), SUBSTR(rest, size + 1) FROM (
+    SELECT doc_id, chunk_id, rest, CASE WHEN LENGTH(rest) <= 450 THEN LENGTH(rest) ELSE COALESCE(
+      CASE WHEN b > 0 AND 450 - b + 1 >= 225 THEN 450 - b + 1 END, CASE WHEN l > 0 AND 450 - l + 1 >= 225 THEN 450 - l + 1 END,
+      CASE WHEN s > 0 AND 450 - s + 1 >= 225 THEN 450 - s + 1 END, 450) END AS size
+    FROM (SELECT doc_id, chunk_id, rest, STRPOS(w, CHR(10) || CHR(10)) AS b, STRPOS(w, CHR(10)) AS l, STRPOS(w, ' ') AS s
+      FROM (SELECT *, REVERSE(SUBSTR(rest, 1, 450)) AS w FROM piece WHERE LENGTH(rest) > 0)))
+)"""
 LINE_SCORES = f"""SELECT machine_id, type_code, torque_nm, tool_wear_min, score AS failure_probability,
   CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted_failure, {BAND.format(r='score')} AS status FROM eng"""
 
@@ -139,8 +182,8 @@ SQL = {
         score AS failure_probability, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted_failure FROM eng"""),
     "h05_anomaly_flag": features("SELECT machine_id, score AS anomaly_score, score >= 0.6541 AS is_anomaly FROM eng"),
     "h06_status_bands": features(STATUS + " SELECT machine_id, failure_risk, status FROM st"),
-    "h07_fleet_kpis": features(STATUS + f" SELECT COUNT(*) AS total_machines, COUNT(*) FILTER (status = {HIGH}) AS machines_at_risk, ROUND(AVG(failure_risk) * 100, 6) AS average_risk_pct FROM st"),
-    "h07_anomaly_kpis": features("SELECT COUNT(*) FILTER (score >= 0.6541) AS flagged_as_anomaly, ROUND(AVG(score) * 100, 6) AS average_probability_pct FROM eng"),
+    "h07_fleet_kpis": features(STATUS + f" SELECT COUNT(*) AS total_machines, COUNT(*) FILTER (status = {HIGH}) AS machines_at_risk, {exact_mean('failure_risk', 6, 100)} AS average_risk_pct FROM st"),
+    "h07_anomaly_kpis": features(f"SELECT COUNT(*) FILTER (score >= 0.6541) AS flagged_as_anomaly, {exact_mean('score', 6, 100)} AS average_probability_pct FROM eng"),
     "h08_worklist": features(STATUS + " SELECT machine_id, failure_risk, status, air_temperature_k, process_temperature_k, rotational_speed_rpm, torque_nm, tool_wear_min FROM st"),
     "h08_worklist_top": features(STATUS + " SELECT machine_id, failure_risk, status FROM st ORDER BY failure_risk DESC, machine_id LIMIT 100"),
     "h09_telemetry_high_risk": features(STATUS + f" SELECT machine_id, {TELEMETRY} AS telemetry FROM st WHERE status = {HIGH}"),
@@ -179,22 +222,29 @@ SQL = {
     "j01_ks_drift": _drift([*FEATURE_COLUMNS, "type_H", "type_L", "type_M", "tool_wear_ordinal"]),
     "j02_degradation": DEGRADED,
     "j03_attributions": splits(ATTR + " SELECT machine_id, rank::INT AS rank, feature, contribution FROM rk"),
-    "j04_global_attribution": splits(ATTR + """ SELECT feature, ROUND(AVG(ABS(contribution)), 9) AS mean_abs_contribution FROM rk
+    "j04_global_attribution": splits(ATTR + f""" SELECT feature, {exact_mean('ABS(contribution)', 9)} AS mean_abs_contribution FROM rk
         WHERE machine_id IN (SELECT machine_id FROM eng ORDER BY md5(CONCAT(CAST(machine_id AS VARCHAR), '|42')), machine_id LIMIT 100) GROUP BY 1"""),
     "k01_replay_scores": features(LINE_SCORES),
     "k02_replay_status": features(f", s2 AS ({LINE_SCORES}) SELECT status, COUNT(*) AS n FROM s2 GROUP BY 1"),
     "l01_chunk_fixed": """SELECT doc_id, CAST(i AS INT) AS chunk_id, SUBSTR(text, i * 450 + 1, 500) AS chunk
         FROM (SELECT doc_id, text, UNNEST(RANGE(0, CAST(CEIL(GREATEST(LENGTH(text) - 50, 1) / 450.0) AS BIGINT))) AS i FROM documents WHERE LENGTH(text) > 0)""",
     "l03_similarity_search": "WITH dummy AS (SELECT 1)" + PROTO + " SELECT query_id, vec_id, score, rank FROM top",
-    "l04_context": "WITH dummy AS (SELECT 1)" + PROTO + """ SELECT q.query_id, COALESCE(STRING_AGG(d.text, CHR(10) || CHR(10) ORDER BY top.rank), 'No relevant maintenance documentation found.') AS context
+    "l04_context": "WITH dummy AS (SELECT 1)" + PROTO + f""" SELECT q.query_id, COALESCE(STRING_AGG(d.text, CHR(10) || CHR(10) ORDER BY top.rank), '{NOT_FOUND}') AS context
         FROM q LEFT JOIN top USING (query_id) LEFT JOIN documents d ON d.doc_id = top.vec_id GROUP BY 1""",
-    "l05_risk_protocols": features(STATUS + DIAG + PROTO + f""", found AS (SELECT q.query_id, COALESCE(STRING_AGG(d.text, CHR(10) || CHR(10) ORDER BY top.rank),
-            'No relevant maintenance documentation found.') AS protocol
-          FROM q LEFT JOIN top USING (query_id) LEFT JOIN documents d ON d.doc_id = top.vec_id GROUP BY 1)
-        , one AS (SELECT machine_id, protocol, MIN(rule_order) AS o FROM dg JOIN found ON query_id = rule_order GROUP BY 1, 2)
+    "l05_risk_protocols": features(STATUS + DIAG + f""", {_questions()}, {_found('asked')}
+        , proto AS (SELECT query_id AS rule_order, STRING_AGG(chunk, CHR(10) || CHR(10) ORDER BY rank) AS protocol FROM found JOIN chunks USING (doc_id, chunk_id) GROUP BY 1)
+        , one AS (SELECT machine_id, protocol, MIN(rule_order) AS o FROM dg JOIN proto USING (rule_order) GROUP BY 1, 2)
         , ctx AS (SELECT machine_id, STRING_AGG(protocol, CHR(10) || CHR(10) ORDER BY o) AS context FROM one GROUP BY 1)
-        SELECT st.machine_id, failure_risk, COALESCE(context, 'No relevant maintenance documentation found.') AS context
+        SELECT st.machine_id, failure_risk, COALESCE(context, '{NOT_FOUND}') AS context
         FROM st LEFT JOIN ctx USING (machine_id) WHERE status = {HIGH}"""),
+    "l01_chunk_separators": PIECES + """ SELECT doc_id, CAST(chunk_id - 1 AS INT) AS chunk_id,
+        COALESCE(RIGHT(LAG(cut) OVER (PARTITION BY doc_id ORDER BY chunk_id), 50), '') || cut AS chunk FROM piece WHERE chunk_id > 0""",
+    "l02_term_index": f"WITH {INDEX} SELECT term, df, idf, MAX(share)::BIGINT AS top FROM idf JOIN sh USING (term) GROUP BY ALL",
+    "l03_term_search": f"WITH asked AS (SELECT item_id AS query_id, text FROM benchmark), {_found('asked')} SELECT query_id, doc_id, chunk_id, score, rank FROM found",
+    "l03_pivot_search": """SELECT query_id, vec_id, score, rank FROM (
+        SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM (
+          SELECT q.vec_id AS query_id, e.vec_id, ROUND(LIST_COSINE_SIMILARITY(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS score
+          FROM embeddings e CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q)) WHERE rank <= 3""",
     "l01_chunk_lines": """WITH ln AS (SELECT doc_id, UNNEST(string_split(text, CHR(10))) AS line, UNNEST(RANGE(len(string_split(text, CHR(10))))) AS i FROM documents WHERE LENGTH(text) > 0)
         , placed AS (SELECT *, COALESCE(SUM(LENGTH(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ln)
         SELECT doc_id, CAST(s // 500 AS INT) AS chunk_id, STRING_AGG(line, CHR(10) ORDER BY i) AS chunk FROM placed GROUP BY 1, 2""",
