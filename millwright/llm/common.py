@@ -47,6 +47,17 @@ def two_hashes(text: Column, mark: str) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.concat(F.lit(mark), text))]
 
 
+#: Rows of a few numbers that may go to every task.
+FEW_ROWS = 100_000
+
+
+def held(keys: DataFrame) -> DataFrame:
+    """``keys``, a written table of a few numbers a row, as the right side of a semi or anti join whose
+    left side carries texts: broadcast while it has at most ``FEW_ROWS`` rows, else hashed in each
+    partition, so that texts are never sorted."""
+    return F.broadcast(keys) if keys.limit(FEW_ROWS + 1).count() <= FEW_ROWS else keys.hint("shuffle_hash")
+
+
 def stored(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """``frame`` written to a new folder under the shared one and read back, and the folder."""
     spark = frame.sparkSession

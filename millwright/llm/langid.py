@@ -45,18 +45,18 @@ ENTRIES = 20_000
 CELLS = 20_000_000
 LEAST_ENTRIES = 300
 PENALTY = -16.0
-#: Words learned while predicting are remembered up to this number and length.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 40
+#: Words met while predicting are remembered up to this number, and about this many letters.
+REMEMBERED, REMEMBERED_LETTERS = 200_000, 10_000_000
 PIECE = 2_000_000
 UNKNOWN = "und"
 
 
-@lru_cache(maxsize=1)
-def word_pattern() -> re.Pattern:
-    """Runs of letters and marks, from the categories of Unicode."""
+@lru_cache(maxsize=3)
+def word_pattern(limit: int) -> re.Pattern:
+    """Runs of letters and marks below the code point ``limit``, from the categories of Unicode."""
     spans, start = [], None
-    for code in range(sys.maxunicode + 2):
-        inside = code <= sys.maxunicode and unicodedata.category(chr(code))[0] in "LM"
+    for code in range(limit + 1):
+        inside = code < limit and unicodedata.category(chr(code))[0] in "LM"
         if inside and start is None:
             start = code
         if not inside and start is not None:
@@ -65,16 +65,34 @@ def word_pattern() -> re.Pattern:
     return re.compile(f"[{''.join(spans)}]+")
 
 
+@lru_cache(maxsize=1)
+def wide_pattern() -> re.Pattern:
+    """As ``word_pattern`` of 16 bits, with every character beyond them: one range, where the letters there are hundreds."""
+    return re.compile(word_pattern(0x10000).pattern[:-2] + "\U00010000-\U0010ffff]+")
+
+
+def _cut(text: str) -> list[str]:
+    """The runs of letters and marks of a lower-cased text that hold a letter."""
+    if text.isascii():
+        return re.findall("[a-z]+", text)
+    try:
+        text.encode("latin-1")
+        return word_pattern(256).findall(text)
+    except UnicodeEncodeError:
+        found = wide_pattern().findall(text)
+    if max(text) > "\uffff":
+        found = [part for w in found for part in ([w] if max(w) <= "\uffff" else word_pattern(sys.maxunicode + 1).findall(w))]
+    return [w for w in found if w.isalpha() or any(c.isalpha() for c in w)]
+
+
 def words_of(text: str) -> Iterator[list[str]]:
     """The words of a text that hold a letter, in pieces of bounded size."""
-    find = re.compile("[a-z]+").findall if text.isascii() else word_pattern().findall
     start = 0
     while start < len(text):
         end = min(start + PIECE, len(text))
         while end < len(text) and unicodedata.category(text[end])[0] in "LM":
             end += 1
-        found = find(text[start:end].lower())
-        yield found if text.isascii() else [w for w in found if w.isalpha() or any(c.isalpha() for c in w)]
+        yield _cut(text[start:end].lower())
         start = end
 
 
@@ -97,58 +115,54 @@ class LanguageModel:
         return Scorer(self)
 
 
-class _Rows(dict):
-    """The row of every word, found when first asked for."""
-
-    def __init__(self, words: dict[str, int], find):
-        super().__init__(words)
-        self.find = find
-
-    def __missing__(self, word: str) -> int:
-        return self.find(word)
-
-
 class Scorer:
     """Scores texts; remembers the sums of words that the model does not hold."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
         self.known = len(model.table)
-        # the last row is for words too long to remember, one at a time
-        self.table = np.vstack([model.table, np.zeros((REMEMBERED + 1, len(model.languages)), np.float32)])
-        self.rows = _Rows(model.words, self._find)
-        self.next = self.known
-
-    def _find(self, word: str) -> int:
-        if len(word) > LONGEST_REMEMBERED:
-            self.extra.append(self.backed_off(word))
-            return len(self.table) - 1
-        self.table[self.next] = self.backed_off(word)
-        self.rows[word] = self.next
-        self.next += 1
-        return self.next - 1
-
-    def backed_off(self, word: str) -> np.ndarray:
-        """The mean over the longest n-grams of which some language knows some."""
+        self.table = np.vstack([model.table, np.zeros((REMEMBERED, len(model.languages)), np.float32)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows, self.next, self.letters = dict(self.model.words), self.known, 0
+
+    def _found(self, word: str) -> list[int]:
+        """The rows of the longest n-grams of which some language knows some."""
         for length in range(ORDER, 0, -1):
             known = self.model.grams[length - 1]
             rows = [known[g] for g in grams(word, length) if g in known]
             if rows:
-                return self.model.table[rows].mean(axis=0)
-        return np.full(len(self.model.languages), PENALTY, np.float32)
+                return rows
+        return []
+
+    def _learn(self, words: list[str]) -> None:
+        """Sums of new words, found together: the mean over each word's n-grams."""
+        found = [self._found(w) for w in words]
+        counts = np.array([len(rows) for rows in found])
+        sums = np.full((len(words), self.table.shape[1]), PENALTY, np.float64)
+        if counts.any():
+            flat = self.model.table[[r for rows in found for r in rows]].astype(np.float64)
+            full = counts > 0
+            sums[full] = np.add.reduceat(flat, (np.cumsum(counts) - counts)[full], axis=0) / counts[full, None]
+        self.table[self.next:self.next + len(words)] = sums
+        self.rows.update(zip(words, range(self.next, self.next + len(words))))
+        self.next += len(words)
+        self.letters += sum(map(len, words))
 
     def sums(self, text: str) -> np.ndarray | None:
         """The sum over the words of a text for each language; None without a word."""
         total = None
         for words in words_of(text):
-            for start in range(0, len(words), REMEMBERED // 2):
-                part = words[start:start + REMEMBERED // 2]
-                if self.next + len(part) > self.known + REMEMBERED:
-                    self.rows = _Rows(self.model.words, self._find)
-                    self.next = self.known
-                self.extra: list[np.ndarray] = []
-                rows = np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
-                found = self.table[rows].sum(axis=0, dtype=np.float64) + sum(self.extra, np.zeros(self.table.shape[1]))
+            for start in range(0, len(words), REMEMBERED):
+                part = words[start:start + REMEMBERED]
+                new = sorted(set(part).difference(self.rows))
+                if self.next + len(new) > len(self.table) or self.letters > REMEMBERED_LETTERS:
+                    self._forget()
+                    new = sorted(set(part).difference(self.rows))
+                if new:
+                    self._learn(new)
+                found = self.table[np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))].sum(axis=0, dtype=np.float64)
                 total = found if total is None else total + found
         return total
 

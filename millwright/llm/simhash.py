@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import discard, packed, stored, unpacked, whole_text
+from millwright.llm.common import discard, held, packed, stored, unpacked, whole_text
 from millwright.llm.components import components
 
 SHINGLE = 3
@@ -163,23 +163,37 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
+def _prints(docs: DataFrame, shingle: int, **more: Column) -> DataFrame:
+    """(doc_id, text_hash, fp) and ``more`` per row of ``docs``, written once."""
+    text = whole_text()
+    columns = {"doc_id": F.col("doc_id").cast("long"), "text_hash": F.xxhash64(text), "fp": fingerprint(text, shingle), **more}
+    return stored(docs.select(*[c.alias(name) for name, c in columns.items()]), "prints")[0]
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, text_hash, fp, root, component_id) per row of ``docs``."""
-    text = whole_text()
-    prints, _ = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), fingerprint(text, shingle).alias("fp")), "prints")
-    return classes(prints, max_bits)
+    return classes(_prints(docs, shingle), max_bits)
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The columns of ``docs``; of each component one document with its smallest doc_id stays.
 
-    Where rows of a component share that id, the one with the least text hash stays, and of rows
-    equal in both the one whose other values hash least.
+    Where rows of a component share that id, the one with the least text hash stays, of rows
+    equal in both the one whose values hash least, and of wholly equal rows any one. Keepers are
+    chosen among rows of a few numbers; texts are met once, by a semi join with the chosen.
     """
+    def whole_row() -> Column:
+        return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+    key = ["number", "text_hash", "row_hash"]
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    classed = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keepers = classed.groupBy("root").agg(F.min(F.struct(number.alias("number"), "text_hash")).alias("one")).select("one.*")
-    rows = packed(docs, number=number, text_hash=F.xxhash64(whole_text()))
-    kept = rows.join(keepers, ["number", "text_hash"], "left_semi")
-    first = Window.partitionBy("number", "text_hash").orderBy(F.xxhash64("row"))
-    return unpacked(kept.withColumn("place", F.row_number().over(first)).where("place = 1"), docs.columns)
+    classed = classes(_prints(docs, shingle, row_hash=whole_row()), max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = classed.groupBy("root", number.alias("number"), "text_hash", "row_hash").agg(F.count(F.lit(1)).alias("times"))
+    chosen, _ = stored(rows.groupBy("root").agg(F.min(F.struct(*key, "times")).alias("one")).select("one.*"), "keepers")
+    alone, repeated = chosen.where("times = 1").select(*key), chosen.where("times > 1").select(*key)
+    source = packed(docs, number=number, text_hash=F.xxhash64(whole_text()), row_hash=whole_row())
+    kept = source.join(held(alone), key, "left_semi").select("row")
+    if repeated.limit(1).count():
+        again = source.join(held(repeated), key, "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
+        kept = kept.union(again.select("row"))
+    return unpacked(kept, docs.columns)
