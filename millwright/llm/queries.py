@@ -20,14 +20,14 @@ def vocabulary() -> str:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = rans.encode_corpus(table(spark, sf_dir, "documents"), vocabulary(), scratch_path(spark, "token-files"))
     pieces = rans.decode_corpus(spark, folder).select("part", "ordinal", "piece", "doc_id", "start", F.length("ids").cast("long").alias("bytes"), F.crc32("ids").alias("crc"))
-    join_crc = F.udf(lambda rows: rans.joined_crc32([(r["crc"], r["bytes"]) for r in rows]), "long")
+    join_crc = F.udf(lambda rows: rows and rans.joined_crc32([(r["crc"], r["bytes"]) for r in rows]), "long")
     whole = pieces.groupBy("part", "ordinal").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("bytes").alias("bytes"), F.min("crc").alias("crc"),
         F.sort_array(F.collect_list(F.struct("piece", "crc", "bytes"))).alias("pieces"),
     )
-    one = whole.where(F.size("pieces") == 1).select("doc_id", "start", (F.col("bytes") / 4).cast("long").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
-    more = whole.where(F.size("pieces") > 1).select("doc_id", "start", (F.col("bytes") / 4).cast("long").alias("n_tokens"), join_crc("pieces").alias("ids_crc32"))
-    return one.union(more)
+    several = F.size("pieces") > 1  # of one piece nothing travels to Python
+    crc = F.when(several, join_crc(F.when(several, F.col("pieces")))).otherwise(F.col("crc"))
+    return whole.select("doc_id", "start", (F.col("bytes") / 4).cast("long").alias("n_tokens"), crc.alias("ids_crc32"))
 
 
 def op2_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ shares it. ``blocks`` holds independent blocks of up to ``BLOCK`` ids in ascendi
 block's ids are dealt in turn to ``LANES`` interleaved coders that share one stream of 32-bit words.
 The states of all lanes are kept at every ``STRIDE``-th step together with the place in the stream:
 checkpoints from which the parts of a block are decoded side by side. A checksum of the
-words and states guards each block; a block that fails it is an error, never wrong ids.
+whole record of a block, its words, states, checkpoints, documents and numbers, guards it; a block that fails it is an error, never wrong ids.
 
 Defined cases: a null text is empty; each document ends with the end id, so none has no ids. Rows
 that repeat a doc_id are documents of their own, ordered by a hash of their text; null ids come
@@ -124,6 +124,16 @@ class Coder:
         return ids[:n - chosen[0] * STRIDE * LANES] if flat else ids
 
 
+def block_checksum(row: dict) -> int:
+    """The CRC-32 of a block's record, its checksum aside."""
+    numbers = [row[name] for name in ("part", "block", "start", "n_tokens", "first_doc", "goes_on")]
+    ids = [(d is None, d or 0) for d in row["doc_ids"]]
+    whole = 0
+    for values in (numbers, [len(ids)], *zip(*ids), row["lengths"], [len(row["at"])], row["at"]):
+        whole = zlib.crc32(np.asarray(values, "<i8").tobytes(), whole)
+    return zlib.crc32(row["words"], zlib.crc32(row["states"], whole))
+
+
 def _token_blocks(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Ids in ascending doc_id order, gathered in blocks; ``start`` counts from the part's first id."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +222,9 @@ def encode_corpus(docs: DataFrame, tokenizer_path: str, folder: str) -> str:
                 ids = np.frombuffer(row["ids"], kind)
                 states, at, words = coder.encode(ids)
                 states, words = states.astype("<u8").tobytes(), words.astype("<u4").tobytes()
-                yield pa.RecordBatch.from_pylist([{
-                    **{k: row[k] for k in ("part", "block", "first_doc", "doc_ids", "lengths", "goes_on")},
-                    "start": starts[row["part"]] + row["start"], "n_tokens": len(ids), "states": states, "at": at.tolist(), "words": words,
-                    "checksum": zlib.crc32(words, zlib.crc32(states))}], schema=coded)
+                record = {**{k: row[k] for k in ("part", "block", "first_doc", "doc_ids", "lengths", "goes_on")},
+                          "start": starts[row["part"]] + row["start"], "n_tokens": len(ids), "states": states, "at": at.tolist(), "words": words}
+                yield pa.RecordBatch.from_pylist([{**record, "checksum": block_checksum(record)}], schema=coded)
 
     coded = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_tokens", pa.int32()), ("first_doc", pa.int64()),
                        ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("goes_on", pa.bool_()), ("states", pa.binary()),
@@ -238,7 +247,7 @@ def decode_corpus(spark: SparkSession, folder: str) -> DataFrame:
         coder = Coder(shared.value)
         for batch in batches:
             for row in batch.to_pylist():
-                if zlib.crc32(row["words"], zlib.crc32(row["states"])) != row["checksum"]:
+                if block_checksum(row) != row["checksum"]:
                     raise ValueError(f"block {row['block']} of part {row['part']} is damaged")
                 states = np.frombuffer(row["states"], "<u8").reshape(-1, LANES)
                 ids = coder.decode(row["n_tokens"], states, np.array(row["at"], np.int64), np.frombuffer(row["words"], "<u4"))
