@@ -2,7 +2,8 @@
 
 Three kinds of candidates are found in every whole text: assigned values, access key ids and long
 hex runs. Their values travel as hashes only. Each hash is counted by distinct repositories and
-owners over the whole corpus: a value many owners share is a copied example; one that few owners hold
+owners over the whole corpus: a value that more than ``max_owners`` owners or more than
+``max_repositories`` repositories hold is a copied example; one that few of both hold
 and whose characters vary like a key's is a live-looking credential, whose value gets a span of the
 kind ``live`` beside the base spans.
 
@@ -36,8 +37,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_VALUE = 8
 
-#: A value held by more owners than this is a copied example.
-MAX_OWNERS = 2
+#: A value held by more owners, or more repositories, than this is a copied example.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 3
 #: Bits of entropy a character, and different characters, of a live-looking value.
 MIN_ENTROPY, MIN_DISTINCT = 2.5, 6
 
@@ -97,17 +98,19 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
 
 
-def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Column | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
+def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Column | None = None, max_owners: int = MAX_OWNERS,
+                 max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """(doc_id, spans, live, n_copied) per document: its base spans, the places of its live-looking
     values and how many of its values are copied examples."""
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", F.col("source"), F.col("lang")) if repository is None else repository
     scanned = scan(docs, owner, repository)
+    copied = (F.col("owners") > max_owners) | (F.col("repositories") > max_repositories)
     judged = (
         scanned.select("row", F.explode("found").alias("value")).select("row", "value.*").join(ownership(scanned), "hash")
         .groupBy("row").agg(
-            F.collect_list(F.when(F.col("live") & (F.col("owners") <= max_owners), F.struct("start", "end"))).alias("live"),
-            F.count_if(F.col("owners") > max_owners).alias("n_copied"),
+            F.collect_list(F.when(F.col("live") & ~copied, F.struct("start", "end"))).alias("live"),
+            F.count_if(copied).alias("n_copied"),
         )
     )
     return scanned.join(judged, "row", "left").select(
