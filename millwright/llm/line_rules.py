@@ -2,12 +2,14 @@
 
 Every line with a word is judged by itself. It fails when signs or exclamation marks stand beside
 too many of its words (punctuation), when it has fewer than three words and no closing mark
-(navigation), or when it holds a phrase of notices and licences (boilerplate). Failing lines go; a
+(navigation), or when phrases of notices and licences, as whole words, make up a fair share of its words: one
+in twelve at least (boilerplate). Failing lines go; a
 text that loses over three fifths of its word characters is rejected, as is one that fails the base
 rules: fewer than ten words, or over a fifth of its words in five-word windows that recur.
 
 Defined cases: a null text has no words and is rejected; lines without a word are kept as they are.
-Rows that repeat a doc_id each give a row. An empty table gives an empty one.
+Rows that repeat a doc_id each give a row. Extra columns are carried in ``row`` and not read. An empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,10 +32,14 @@ MAX_REPEAT_PERCENT = 20
 MAX_SIGN_TENTHS = 3
 NAVIGATION_WORDS = 3
 CLOSING = ".!?:;,)\"'…"
-BOILERPLATE = re.compile(
-    "all rights reserved|licensed under|released under|copyright|©|cookie|privacy policy|terms of use|terms of service"
-    "|lorem ipsum|javascript|subscribe|sign up|log in|click here"
-)
+PHRASES = [
+    "all rights reserved", "licensed under", "released under", "copyright", "cookies?", "privacy policy", "terms of use", "terms of service",
+    "lorem ipsum", "javascript", "subscribe", "sign up", "log in", "click here",
+]
+#: A phrase as whole words; the sign stands by itself.
+BOILERPLATE = re.compile(rf"©|(?<![a-z0-9_])(?:{'|'.join(PHRASES)})(?![a-z0-9_])")
+#: A line may have this many words for each phrase it holds.
+WORDS_PER_PHRASE = 12
 MAX_LOSS_PERCENT = 60
 JUDGED = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, "
           "n_failed_lines long, lost_chars long, clean_text string")
@@ -73,7 +79,7 @@ def fails(line: str) -> bool:
         return True
     if words < NAVIGATION_WORDS and line.rstrip(BLANKS)[-1] not in CLOSING:
         return True
-    return BOILERPLATE.search(line.lower()) is not None
+    return words <= WORDS_PER_PHRASE * sum(1 for _ in BOILERPLATE.finditer(line.lower()))
 
 
 def judge(text: str) -> tuple:

@@ -49,7 +49,7 @@ windows AS (
   SELECT *, n > 0 AND (
     10 * {_count("line", "[#*$%&|<>]")} > 3 * n OR 10 * {_count("line", "!")} > 3 * n
     OR (n < 3 AND NOT regexp_matches(line, '[.!?:;,)"\'\'…]{BLANK}*$'))
-    OR regexp_matches(lower(line), 'all rights reserved|licensed under|released under|copyright|©|cookie|privacy policy|terms of use|terms of service|lorem ipsum|javascript|subscribe|sign up|log in|click here')
+    OR n <= 12 * (len(regexp_extract_all(line, '©')) + len(regexp_extract_all(' ' || regexp_replace(lower(line), '([^a-z0-9_])', '\\1\\1', 'g') || ' ', '[^a-z0-9_](all  rights  reserved|licensed  under|released  under|copyright|cookies?|privacy  policy|terms  of  use|terms  of  service|lorem  ipsum|javascript|subscribe|sign  up|log  in|click  here)[^a-z0-9_]')))
   ) AS fails FROM judged
 ), docs AS (
   SELECT doc_id, SUM(n)::BIGINT AS n_words, SUM(chars)::BIGINT AS word_chars, SUM({_count("line", "[#*$%&|<>]")})::BIGINT AS n_symbols,
