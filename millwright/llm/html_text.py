@@ -2,11 +2,12 @@
 
 A page is cut into blocks at block-level tags. In the first pass each block is decided by its
 length, its link density (characters inside links) and its stop-word density; blocks inside menus,
-footers, forms and the like, named by tag, role, class or id, are not text. A class or id is only a
+footers, forms and the like, named by tag, role, class or id, are not text; the mark of a list item or table
+cell holds for all inside it, and a link around blocks links their text. A class or id is only a
 hint unless it names comments, related pages or advertisements: an article or main element inside
 such a wrapper is text, and so is a wrapper that holds most of the page's prose. Inside an article or
-main element, where a page has one, prose needs no stop words, since the element already says what it
-is; nor does it on a page whose long blocks have next to none, since its language is not known
+main element, where such elements hold at least half of a page's prose, prose needs no stop words, since the element already says what it
+is, and prose beside them is not text; where they hold less, one with under a quarter of the prose is a teaser and not text; nor does it on a page whose long blocks have next to none, since its language is not known
 here. Short blocks of few links are left open, those with a copyright sign are not text. In the second pass an open block takes the label of the
 nearest decided blocks before and after it; where those differ, or on a tie, a heading follows the
 block after it and any other block the one before it. Open blocks look no further than their article
@@ -36,6 +37,8 @@ from millwright.llm.common import whole_text
 
 MAX_LINKS = 0.33
 SHORT, LONG = 70, 200
+#: An article with a smaller part of a page's prose, where most of it lies elsewhere, is a teaser.
+TEASER_PARTS = 4
 FEW_STOPS, SOME_STOPS, MANY_STOPS = 0.05, 0.15, 0.25
 GOOD, BAD, OPEN = "good", "bad", "open"
 
@@ -43,8 +46,14 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html legend li main menu nav ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
-#: Block tags whose end tag may be left out, so nesting is not counted for them.
-LOOSE_TAGS = frozenset("p li dd dt tr td th option hr body html caption thead tbody tfoot".split())
+#: Block tags that hold no blocks, so nesting is not counted for them.
+LOOSE_TAGS = frozenset("p hr body html".split())
+#: Those that nest but may lack an end tag: the tags whose opening ends them, and the element that holds them.
+ITEM_TAGS = {
+    **dict.fromkeys(["li"], (("li",), ("ul", "ol", "menu", "dir"))), **dict.fromkeys(["dt", "dd"], (("dt", "dd"), ("dl",))),
+    **dict.fromkeys(["td", "th"], (("td", "th"), ("tr", "table"))), "tr": (("tr",), ("table",)), "option": (("option",), ("select",)),
+    **dict.fromkeys(["thead", "tbody", "tfoot", "caption"], (("thead", "tbody", "tfoot", "caption"), ("table",))),
+}
 DROPPED_TAGS = frozenset("script style noscript template svg iframe object title math canvas".split())
 OUTSIDE_TAGS = frozenset("nav footer aside form fieldset select textarea button menu dialog header".split())
 TEXT_TAGS = frozenset(["article", "main"])
@@ -74,6 +83,7 @@ STOPS = frozenset(
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 ATTRIBUTES = re.compile(r"""[^"'>]*+(?:"[^"]*+"[^"'>]*+|'[^']*+'[^"'>]*+)*+>""")
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+HREF = re.compile(r"(?:^|\s)href\s*=", re.IGNORECASE)
 NAME_PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 WORDS = re.compile(r"\w+")
 
@@ -125,9 +135,9 @@ def blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     linked: list[str] = []
     tag, in_link, loose_outside, breaks, articles, hints = "", False, False, 0, 0, 0
+    link_depth, link_in_paragraph = 0, False
 
     def close() -> None:
-        nonlocal in_link
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
             _, outside, article, wrappers = nest[-1] if nest else ("", False, 0, ())
@@ -181,28 +191,38 @@ def blocks(page: str) -> list[Block]:
                 add(" ")
             continue
         if name == "a":
-            in_link = not ends
+            in_link = not ends and HREF.search(attributes) is not None
+            link_depth, link_in_paragraph = len(nest), tag == "p"
             continue
         nested = name in BLOCK_TAGS or name == "button"
         if not nested:
             continue
         close()
-        breaks, in_link = 0, False
+        breaks = 0
+        # a link left open in a paragraph ends with it; one that goes on around a block links all of that
+        in_link, link_in_paragraph = in_link and not (link_in_paragraph and name in LOOSE_TAGS), link_in_paragraph and name in LOOSE_TAGS
         if name in LOOSE_TAGS:
             tag, loose_outside = ("", False) if ends else (name, any(_outside(attributes, bool(nest and nest[-1][2]))))
             continue
         loose_outside = False
-        if ends:
-            tag = ""
+        ended, holders = ITEM_TAGS.get(name, ((name,), ()))
+        if ends or name in ITEM_TAGS:
+            ended = (name,) if ends else ended
             for depth in range(len(nest) - 1, -1, -1):
-                if nest[depth][0] == name:
+                if nest[depth][0] in ended:
                     del nest[depth:]
                     break
+                if nest[depth][0] in holders:
+                    break
+            in_link = in_link and len(nest) >= link_depth
+        if ends:
+            tag = ""
             continue
         tag = name
         _, outside, article, wrappers = nest[-1] if nest else ("", False, 0, ())
         if name in TEXT_TAGS:
             wrappers = ()
+            outside = outside or _outside(attributes, bool(article))[0]
             if not article:
                 articles += 1
                 article = articles
@@ -242,9 +262,22 @@ def _unknown_language(found: list[Block]) -> bool:
     return sum(w in STOPS for w in words) < FEW_STOPS * len(words)
 
 
+def _article_prose(found: list[Block]) -> tuple[Counter, int]:
+    """The characters of prose in each article (0: in none), and in all."""
+    long = [b for b in found if not b.outside and len(b.text) >= SHORT and b.link_chars <= MAX_LINKS * len(b.text)]
+    beside = [b for b in long if not b.article]
+    # beside articles only what reads as prose counts, unless none of it has known stop words
+    dense = [b for b in beside if _stop_density(b.text) >= SOME_STOPS]
+    chars = Counter()
+    for b in [b for b in long if b.article] + (dense or [b for b in beside if len(b.text) >= LONG]):
+        chars[b.article] += len(b.text)
+    return chars, sum(chars.values())
+
+
 def first_pass(found: list[Block]) -> None:
     """Decide each block by itself, or leave it open."""
-    has_article = any(b.article and not b.outside for b in found)
+    chars, prose = _article_prose(found)
+    has_article = any(b.article and not b.outside for b in found) and 2 * (prose - chars[0]) >= prose
     unknown = not has_article and _unknown_language(found)
     for block in found:
         text = block.text
@@ -252,10 +285,13 @@ def first_pass(found: list[Block]) -> None:
         if block.outside or short and "©" in text or block.link_chars > MAX_LINKS * len(text):
             block.label = BAD
             continue
+        if block.article and not has_article and TEASER_PARTS * chars[block.article] < prose:
+            block.label = BAD
+            continue
         if short:
             block.label = BAD if has_article and not block.article else OPEN
             continue
-        if block.article:
+        if block.article and has_article:
             block.label = GOOD
             continue
         stops = _stop_density(text)
@@ -266,7 +302,7 @@ def first_pass(found: list[Block]) -> None:
         elif stops >= MANY_STOPS or stops >= SOME_STOPS and len(text) >= LONG:
             block.label = GOOD
         else:
-            block.label = OPEN if stops >= SOME_STOPS else BAD
+            block.label = OPEN if stops >= FEW_STOPS else BAD
 
 
 def second_pass(found: list[Block]) -> None:
