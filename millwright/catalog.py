@@ -24,6 +24,7 @@ from millwright.operators import quality as B
 from millwright.operators import retrieval as L
 from millwright.operators import scoring as H
 from millwright.operators.etl import refresh_fleet
+from millwright.operators.model_store import fitted
 from millwright.operators.modelling import FleetTables
 from millwright.operators.text_index import TextIndex, scan_search
 from millwright.operators.vector_index import PivotIndex
@@ -502,7 +503,7 @@ def _trained(name: str, make: Callable[[], object], weighted: bool = False, copi
         _, parts = _training(spark, folder)
         train = G.with_weights(parts["train"]) if weighted else parts["train"]
         train = G.oversample(train) if copies else train
-        _, row = G.train_and_evaluate(make(), train, parts["val"], name)
+        _, row = G.train_and_evaluate(fitted(make(), train), train, parts["val"], name, already_fitted=True)
         return _rounded(row, MEASURES, 9)
     return run
 
@@ -514,7 +515,7 @@ def _class_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 def _search(spark: SparkSession, folder: str) -> DataFrame:
     _, parts = _training(spark, folder)
-    return G.search_results(spark, G.random_search(parts["train"]))
+    return G.random_search(parts["train"]).rows(spark)
 
 
 def _mode_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -548,7 +549,7 @@ def _centre_distance(spark: SparkSession, folder: str) -> DataFrame:
 
 def _importance(spark: SparkSession, folder: str) -> DataFrame:
     _, parts = _training(spark, folder)
-    return G.feature_importance(spark, G.random_forest().fit(parts["train"]))
+    return G.feature_importance(spark, fitted(G.random_forest(), parts["train"]).stages[0])
 
 
 def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -562,19 +563,20 @@ def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """All models on the validation part; each fit is taken from the store where another query did it."""
     _, parts = _training(spark, folder)
     train, val = parts["train"], parts["val"]
     candidates = [("logistic regression", G.logistic_baseline(), train), ("decision tree", G.decision_tree(), train),
                   ("random forest", G.random_forest(), train), ("boosted trees", G.boosted_trees(), train),
-                  ("perceptron", G.perceptron(), G.oversample(train))]
-    rows = [G.train_and_evaluate(m, part, val, name)[1] for name, m, part in candidates]
-    weighted, row = G.train_and_evaluate(G.random_forest(weight="weight"), G.with_weights(train), val, "weighted forest")
-    best = I.threshold_for_precision(I.threshold_points(G.probability(weighted.transform(val)))).first()  # one row, or none
-    rows.append(row)
+                  ("perceptron", G.perceptron(), G.oversample(train)),
+                  ("weighted forest", G.random_forest(weight="weight"), G.with_weights(train)),
+                  ("tuned forest", G.tuned_forest(G.random_search(train)), train)]
+    scores = G.side_by_side([fitted(model, rows) for _, model, rows in candidates], val)
+    of = {name: scores.select(F.col(f"score_{i}").alias("score"), "label") for i, (name, _, _) in enumerate(candidates)}
+    rows = [I.metrics_row(of[name], name, "val") for name in of]
+    best = I.threshold_for_precision(I.threshold_points(of["weighted forest"])).first()  # one row, or none
     if best:
-        rows.append(G.train_and_evaluate(weighted, train, val, "weighted forest, wanted precision", threshold=best["threshold"], already_fitted=True)[1])
-    tuned = G.random_search(train).bestModel
-    rows.append(G.train_and_evaluate(tuned, train, val, "tuned forest", already_fitted=True)[1])
+        rows.append(I.metrics_row(of["weighted forest"], "weighted forest, wanted precision", "val", best["threshold"]))
     return _rounded(I.compare_models(rows), MEASURES, 9)
 
 

@@ -19,10 +19,8 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +28,12 @@ from millwright import constants as K
 from millwright.functions import columns as C
 from millwright.operators import evaluation as I
 from millwright.operators.features import FEATURE_COLUMNS, split_fleet
+from millwright.operators.forest_search import SearchResult, search
 from millwright.operators.transformers import GroupedZScorer, PopulationScaler, SensorFeatures
 from millwright.plans.split import folds
 from millwright.session import stage
 
 LABEL = "machine_failure"
-TREE_MEMORY_MB = 64  # split statistics held per task; with one task per core this must fit the heap several times
 
 
 def preparation() -> list:
@@ -80,10 +78,8 @@ def decision_tree(depth: int = 5) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol=LABEL, maxDepth=depth, seed=K.SEED)
 
 
-def random_forest(trees: int = 300, depth: int = 8, weight: str | None = None,
-                  memory_mb: int = TREE_MEMORY_MB) -> RandomForestClassifier:
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=K.SEED,
-                                    maxMemoryInMB=memory_mb)
+def random_forest(trees: int = 300, depth: int = 8, weight: str | None = None) -> RandomForestClassifier:
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=K.SEED)
     return forest.setWeightCol(weight) if weight else forest
 
 
@@ -129,17 +125,6 @@ def probability(scored: DataFrame) -> DataFrame:
     return scored.select(vector_to_array("probability")[1].alias("score"), F.col(LABEL).alias("label"))
 
 
-class AveragePrecision(Evaluator):
-    """Step-wise average precision of the positive class, for model selection."""
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        row = I.average_precision(I.threshold_points(probability(dataset))).first()
-        return float(row[0] or 0.0)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 def train_and_evaluate(model: Estimator | Model, train: DataFrame, held_out: DataFrame, name: str, split: str = "val",
                        threshold: float = K.DECISION_THRESHOLD, already_fitted: bool = False) -> tuple[Model, DataFrame]:
     """Fit unless already fitted, score the held-out rows, return the model and its metrics row."""
@@ -173,22 +158,26 @@ def draw_parameters(space: Mapping[str, Sequence], draws: int = 40, seed: int =
 
 
 def random_search(train: DataFrame, space: Mapping[str, Sequence] = SEARCH_SPACE, draws: int = 40, k: int = 5,
-                  parallelism: int = 4, seed: int = K.SEED) -> CrossValidatorModel:
+                  parallelism: int = 4, seed: int = K.SEED) -> SearchResult:
     """Random search of the forest by cross-validated average precision on the training rows."""
-    forest = RandomForestClassifier(labelCol=LABEL, seed=seed, maxMemoryInMB=TREE_MEMORY_MB)
-    maps = [{forest.getParam(name): value for name, value in d.items()} for d in draw_parameters(space, draws, seed)]
-    search = CrossValidator(estimator=forest, estimatorParamMaps=maps, evaluator=AveragePrecision(), numFolds=k,
-                            foldCol="fold", parallelism=parallelism)
-    return search.fit(folds(train, "machine_id", LABEL, seed, k))
+    def forest(**params) -> RandomForestClassifier:
+        return RandomForestClassifier(labelCol=LABEL, seed=seed, **params)
+
+    return search(folds(train, "machine_id", LABEL, seed, k), forest, draw_parameters(space, draws, seed), k, LABEL, parallelism)
 
 
-def search_results(spark: SparkSession, searched: CrossValidatorModel, top: int = 10) -> DataFrame:
-    """The best parameter sets with mean and deviation of their scores; one row per draw."""
-    rows = []
-    for params, mean, std in zip(searched.getEstimatorParamMaps(), searched.avgMetrics, searched.stdMetrics):
-        rows.append(({p.name: str(v) for p, v in params.items()}, float(mean), float(std)))
-    frame = spark.createDataFrame(rows, "params map<string,string>, mean_test_score double, std_test_score double")
-    return frame.orderBy(F.col("mean_test_score").desc()).limit(top)
+def tuned_forest(searched: SearchResult) -> RandomForestClassifier:
+    """A forest with the parameters that scored best."""
+    return RandomForestClassifier(labelCol=LABEL, seed=K.SEED, **searched.best)
+
+
+def side_by_side(models: Sequence[Model], df: DataFrame) -> DataFrame:
+    """The label and one score column per model, from one pass over the rows."""
+    out = df.select("features", LABEL)
+    for place, model in enumerate(models):
+        scored = model.transform(out).withColumn(f"score_{place}", vector_to_array("probability")[1])
+        out = scored.select("features", LABEL, *[f"score_{i}" for i in range(place + 1)])
+    return stage(out.drop("features").withColumnRenamed(LABEL, "label"), "scores")
 
 
 def mode_classifier(trees: int = 200, depth: int = 12) -> Pipeline:
@@ -197,7 +186,7 @@ def mode_classifier(trees: int = 200, depth: int = 12) -> Pipeline:
         StringIndexer(inputCol="failure_mode", outputCol="mode_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=K.SENSORS, outputCol="sensor_vector"),
         RandomForestClassifier(labelCol="mode_index", featuresCol="sensor_vector", numTrees=trees, maxDepth=depth,
-                               weightCol="weight", seed=K.SEED, maxMemoryInMB=TREE_MEMORY_MB),
+                               weightCol="weight", seed=K.SEED),
     ])
 
 
@@ -278,11 +267,6 @@ class SubspaceModel:
         return cls(np.array([r["loadings"] for r in rows]), [r["weight"] for r in rows], [r["column_name"] for r in rows])
 
 
-def stored_vector(matrix: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """The ordered feature columns as one vector."""
-    return matrix.withColumn("features", array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])))
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

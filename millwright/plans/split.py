@@ -7,6 +7,8 @@ few buckets are ranked. Assigning a row is then a comparison with literals.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,48 +52,66 @@ def stratified_split(df: DataFrame, uid: str, stratum: str, seed: int, held_out_
 
     ``stratum`` must have a small domain (a binary target, a failure mode).
     """
+    def wanted(sizes: DataFrame) -> DataFrame:
+        return stratum_cuts(sizes, stratum, held_out_pct, second_pct).select(stratum, F.array("first_cut", "second_cut").alias("cuts"))
+
+    def part(cuts: list) -> Column:
+        return F.when(_before(uid, seed, cuts[0]), names[0]).when(_before(uid, seed, cuts[1]), names[1]).otherwise(names[2])
+
+    # two cut points for each of the few strata come to the driver: from here on the split is a plain expression
+    split = F.lit(names[2])
+    for value, cuts in cut_points(df, uid, stratum, seed, wanted, 2).items():
+        split = F.when(F.col(stratum) == F.lit(value), part(cuts)).otherwise(split)
+    return df.withColumn("split", split)
+
+
+def _before(uid: str, seed: int, cut: tuple[str, int] | None) -> Column:
+    """Whether a row comes at or before a cut point."""
+    if cut is None:
+        return F.lit(False)
+    mine = row_hash(uid, seed)
+    return (mine < cut[0]) | (mine == cut[0]) & (F.col(uid).cast("long") <= cut[1])
+
+
+def cut_points(df: DataFrame, uid: str, stratum: str, seed: int, wanted: Callable[[DataFrame], DataFrame], n_cuts: int) -> dict:
+    """Per stratum the (hash, id) of the last row before each of ``n_cuts`` cuts, None for a cut before all rows.
+
+    ``wanted`` gives (stratum, array ``cuts`` of row counts) from (stratum, n).
+    """
     hashed = df.select(F.col(stratum), F.col(uid).cast("long").alias("_uid"), row_hash(uid, seed).alias("_hash"))
     bucketed = hashed.withColumn("_bucket", F.substring("_hash", 1, PREFIX))
     # at most 65,536 rows per stratum, written once, as four steps read them
     counts = stage(bucketed.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "split-counts")
     sizes = counts.groupBy(stratum).agg(F.sum("_n").alias("n"))
-    cuts = stratum_cuts(sizes, stratum, held_out_pct, second_pct)
-    wanted = cuts.select(stratum, F.explode(F.array(
-        F.struct(F.lit(1).alias("which"), F.col("first_cut").alias("rows")),
-        F.struct(F.lit(2).alias("which"), F.col("second_cut").alias("rows")),
-    )).alias("_cut")).select(stratum, "_cut.which", "_cut.rows")
+    asked = wanted(sizes).select(stratum, F.posexplode("cuts").alias("which", "rows"))
 
     ordered = Window.partitionBy(stratum).orderBy("_bucket")  # at most 65,536 rows per stratum
     spans = counts.withColumn("_end", F.sum("_n").over(ordered)).withColumn("_start", F.col("_end") - F.col("_n"))
-    hit = spans.join(wanted, stratum).where(
+    hit = spans.join(asked, stratum).where(
         (F.col("rows") > F.col("_start")) & (F.col("rows") <= F.col("_end"))
     ).select(stratum, "_bucket", "which", (F.col("rows") - F.col("_start")).alias("_nth"))
 
-    # The rows that share a bucket with a cut: two buckets per stratum.
-    near = bucketed.join(F.broadcast(hit), [stratum, "_bucket"])  # two rows per stratum
+    # The rows that share a bucket with a cut: ``n_cuts`` buckets per stratum.
+    near = bucketed.join(F.broadcast(hit), [stratum, "_bucket"])  # n_cuts rows per stratum
     rank = F.row_number().over(Window.partitionBy(stratum, "which").orderBy("_hash", "_uid"))
-    points = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_nth")).groupBy(stratum).agg(
-        *[F.max(F.when(F.col("which") == w, F.struct("_hash", "_uid"))).alias(f"_cut{w}") for w in (1, 2)]
-    )
-    mine = row_hash(uid, seed)
-
-    def before(cut) -> Column:
-        if cut is None:
-            return F.lit(False)
-        return (mine < cut["_hash"]) | (mine == cut["_hash"]) & (F.col(uid).cast("long") <= cut["_uid"])
-
-    # two cut points for each of the few strata come to the driver: from here on the split is a plain expression
-    split = F.lit(names[2])
-    for row in points.collect():
-        part = F.when(before(row["_cut1"]), names[0]).when(before(row["_cut2"]), names[1]).otherwise(names[2])
-        split = F.when(F.col(stratum) == F.lit(row[stratum]), part).otherwise(split)
-    return df.withColumn("split", split)
+    found: dict = {row[stratum]: [None] * n_cuts for row in sizes.select(stratum).collect()}
+    for row in near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_nth")).select(stratum, "which", "_hash", "_uid").collect():
+        found[row[stratum]][row["which"]] = (row["_hash"], row["_uid"])
+    return found
 
 
 def folds(df: DataFrame, uid: str, stratum: str, seed: int, k: int) -> DataFrame:
-    """Adds ``fold`` 0..k-1; every stratum is spread evenly by hash without a shuffle."""
-    bits = F.conv(F.substring(row_hash(uid, seed), 1, 12), 16, 10).cast("long")
-    return df.withColumn("fold", ((bits + F.hash(stratum)) % k + k).cast("int") % k)
+    """Adds ``fold`` 0..k-1: each stratum, in hash order, is cut at k-ths of its rows, so its folds differ by one row at most."""
+    def wanted(sizes: DataFrame) -> DataFrame:
+        return sizes.select(stratum, F.array(*[F.expr(f"n * {i} div {k}") for i in range(1, k)]).alias("cuts"))
+
+    fold = F.lit(k - 1)
+    for value, cuts in cut_points(df, uid, stratum, seed, wanted, k - 1).items():
+        place = F.lit(k - 1)
+        for i in range(k - 2, -1, -1):
+            place = F.when(_before(uid, seed, cuts[i]), i).otherwise(place)
+        fold = F.when(F.col(stratum).eqNullSafe(F.lit(value)), place).otherwise(fold)
+    return df.withColumn("fold", fold)
 
 
 def sample_rows(df: DataFrame, uid: str, n: int, seed: int) -> DataFrame:

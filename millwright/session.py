@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Marks what this driver process stages.
+RUN = uuid.uuid4().hex[:12]
 
 
 def build_session(app: str = "millwright", master: str | None = None, shuffle_partitions: int | None = None,
@@ -48,20 +50,48 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/millwright/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, whose name tells the run it belongs to."""
+    return f"{shared_folder(spark)}/millwright/{purpose}-{RUN}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the files.
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
-    Used where several jobs read one expensive frame (model fitting); the files outlive executors.
-    """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def create_file(spark: SparkSession, path: str, text: str = "") -> None:
+    """A new small file; an error where one of that name exists, so of two writers one fails."""
+    files, place = _file_system(spark, path)
+    out = files.create(place, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds; none where there is no folder."""
+    files, place = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that this library wrote, once nothing reads it."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all that this run staged; frames that read it cannot be used afterwards. Stored models stay."""
+    place = f"{shared_folder(spark)}/millwright"
+    for name in names_in(spark, place):
+        if f"-{RUN}-" in name:
+            remove(spark, f"{place}/{name}")
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:

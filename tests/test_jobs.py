@@ -16,6 +16,9 @@ from millwright.operators import retrieval as L
 from millwright.operators import scoring as H
 from millwright.operators.modelling import FleetTables
 from millwright.operators import fleet_queries as Q
+from millwright.operators import forest_search, model_store
+from millwright.operators.forest_search import SearchResult, Trees
+from millwright.plans.split import folds
 from millwright.session import scratch_path
 from millwright.sources import readers, writers
 from millwright.sources import lineitem_fleet as source
@@ -174,11 +177,73 @@ def test_harness_reuses_fitted_models(trained):
     assert first["tp"] + first["fn"] == parts["val"].where("machine_failure = 1").count()
 
 
+def test_folds_are_exactly_stratified(spark):
+    for n, k in ((103, 5), (7, 4), (2, 3)):
+        df = spark.range(n).selectExpr("id AS machine_id", "IF(id % 7 = 0, 1, 0) AS machine_failure").repartition(3)
+        got = [tuple(r) for r in folds(df, "machine_id", "machine_failure", 42, k).groupBy("machine_failure", "fold").count().collect()]
+        for label in (0, 1):
+            sizes = [c for m, _, c in got if m == label] + [0] * (k - sum(m == label for m, _, _ in got))
+            assert max(sizes) - min(sizes) <= 1 and sum(sizes) == df.where(f"machine_failure = {label}").count()
+
+
+def test_cut_forests_equal_forests_of_their_own(spark, trained):
+    import numpy as np
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    _, parts = trained
+    rows = parts["train"].limit(1500).cache()
+    x = np.stack([r[0].toArray() for r in rows.select("features").collect()])
+
+    def fit(depth):
+        return RandomForestClassifier(labelCol=G.LABEL, numTrees=6, maxDepth=depth, featureSubsetStrategy="all", seed=1).fit(rows)
+
+    deep = fit(7)
+    trees = Trees.of(spark, deep)
+    for depth in (1, 3, 7, 30):
+        own = [r[0] for r in fit(min(depth, 7)).transform(rows).select(vector_to_array("probability")[1]).collect()]
+        np.testing.assert_allclose(trees.scores(x, [(6, depth)])[:, 0], own, atol=1e-12)
+    first = [sum(t.predictProbability(v)[1] for t in deep.trees[:2]) / 2 for v in [r[0] for r in rows.select("features").limit(20).collect()]]
+    np.testing.assert_allclose(trees.scores(x[:20], [(2, 7), (6, 7)])[:, 0], first, atol=1e-12)
+
+
+def test_fold_precision_equals_average_precision(spark):
+    rows = [(d, f, round(((i * 37 + d * 11 + f) % 50) / 50, 2), int((i + d) % 4 == 0)) for d in range(3) for f in range(2) for i in range(60)]
+    scores = spark.createDataFrame(rows, "draw int, fold int, score double, label int")
+    got = {(r["draw"], r["fold"]): r["precision"] for r in forest_search.fold_precision(scores).collect()}
+    for (d, f), value in got.items():
+        own = scores.where(f"draw = {d} AND fold = {f}").select("score", "label")
+        assert value == pytest.approx(I.average_precision(I.threshold_points(own)).first()[0])
+    assert len(got) == 6
+
+
+def test_families_share_a_fit():
+    draws = G.draw_parameters(G.SEARCH_SPACE)
+    groups = forest_search.families(draws)
+    assert sorted(i for g in groups for i in g) == list(range(40)) and len(groups) <= 9
+    for group in groups:
+        assert len({(draws[i]["minInstancesPerNode"], draws[i]["featureSubsetStrategy"]) for i in group}) == 1
+
+
+def test_models_are_fitted_once(spark, trained, monkeypatch):
+    _, parts = trained
+    model = model_store.fitted(G.decision_tree(3), parts["train"])
+    monkeypatch.setattr(model_store, "Pipeline", None)  # no second fit
+    again = model_store.fitted(G.decision_tree(3), parts["train"].repartition(3))
+    assert again.stages[0].toDebugString.split("\n")[1:] == model.stages[0].toDebugString.split("\n")[1:]
+    with pytest.raises(TypeError):
+        model_store.fitted(G.decision_tree(4), parts["train"])
+    both = G.side_by_side([model, again], parts["val"])
+    assert both.where("score_0 != score_1").count() == 0 and both.count() == parts["val"].count()
+
+
 def test_search_and_importance(spark, trained):
     _, parts = trained
     space = {"numTrees": [3, 5], "maxDepth": [2, 3]}
-    found = G.search_results(spark, G.random_search(parts["train"], space, draws=2, k=2)).collect()
-    assert len(found) == 2 and found[0]["mean_test_score"] >= found[1]["mean_test_score"] > 0
+    found = G.random_search(parts["train"], space, draws=4, k=2)
+    listed = found.rows(spark).collect()
+    assert len(listed) == 4 and listed[0]["mean_test_score"] >= listed[-1]["mean_test_score"] > 0
+    assert listed[0]["mean_test_score"] == max(found.means) and G.tuned_forest(found).getNumTrees() == found.best["numTrees"]
     ranked = G.feature_importance(spark, G.random_forest(5, 3).fit(parts["train"]))
     assert ranked.count() == 14 and ranked.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
@@ -325,6 +390,20 @@ class StubSession:
         return None
 
 
+def test_a_run_removes_what_it_staged(spark, monkeypatch):
+    from millwright import session
+    mine = session.stage(spark.range(3), "kept-by-others")
+    monkeypatch.setattr(session, "RUN", "anotherrun")
+    path = scratch_path(spark, "gone")
+    spark.range(5).write.parquet(path)
+    session.remove_scratch(spark)
+    assert not session.file_exists(spark, path) and mine.count() == 3
+    session.create_file(spark, path, "once")
+    assert spark.read.text(path).first()[0] == "once" and path.rsplit("/", 1)[1] in session.names_in(spark, path.rsplit("/", 1)[0])
+    with pytest.raises(Exception):
+        session.create_file(spark, path)
+
+
 def test_shared_folder_is_the_configured_one():
     assert scratch_path(StubSession("/shared/place/", "spark://x"), "job").startswith("/shared/place/millwright/job-")
     with pytest.raises(RuntimeError):
@@ -338,34 +417,22 @@ def test_metrics_row_names_its_split(spark):
 
 
 def test_training_queries_do_the_whole_job(spark, monkeypatch):
-    scored = spark.createDataFrame([(0.9, 1), (0.2, 0)], "score double, label int")
     parts = {name: spark.createDataFrame([(n, n % 2) for n in range(4)], "machine_id long, machine_failure int") for name in ("train", "val")}
     trained, searches = [], []
-
-    class Forest:
-        bestModel = G.random_forest(700)
-        avgMetrics, stdMetrics = [n / 40 for n in range(40)], [0.0] * 40
-
-        def getEstimatorParamMaps(self):
-            return [{}] * 40
-
-        def transform(self, df):
-            return df
-
-    def evaluate(model, train, held_out, name, split="val", threshold=0.5, already_fitted=False):
-        trained.append((name, model))
-        return Forest(), spark.createDataFrame([(name, split, float(threshold), *[0.5] * 7)], ["model", "split", *catalog.MEASURES])
-
+    scores = spark.createDataFrame([tuple([0.9] * 7 + [1]), tuple([0.2] * 7 + [0])], ", ".join(f"score_{i} double" for i in range(7)) + ", label int")
+    found = SearchResult(G.draw_parameters(G.SEARCH_SPACE), [n / 40 for n in range(40)], [0.0] * 40)
     monkeypatch.setattr(catalog, "_training", lambda *_: (None, parts))
-    monkeypatch.setattr(G, "train_and_evaluate", evaluate)
-    monkeypatch.setattr(G, "probability", lambda df: scored)
-    monkeypatch.setattr(G, "random_search", lambda *args, **more: searches.append((args[1:], more)) or Forest())
-    catalog.QUERIES["g04_boosted_trees"](spark, "")
-    assert trained[-1][1].getMaxIter() == 300
+    monkeypatch.setattr(catalog, "fitted", lambda model, rows: trained.append(model) or model)
+    monkeypatch.setattr(G, "train_and_evaluate", lambda model, train, held, name, already_fitted: (
+        model, spark.createDataFrame([(name, "val", 0.5, *[0.5] * 7)], ["model", "split", *catalog.MEASURES])))
+    monkeypatch.setattr(G, "side_by_side", lambda models, df: scores)
+    monkeypatch.setattr(G, "random_search", lambda *args, **more: searches.append((args[1:], more)) or found)
+    catalog.QUERIES["g04_boosted_trees"](spark, "").collect()
+    assert trained[-1].getMaxIter() == 300
     assert catalog.QUERIES["g07_search_results"](spark, "").count() == 10
-    found = {r["model"]: r["threshold"] for r in catalog.QUERIES["i16_model_comparison"](spark, "").collect()}
-    assert set(found) == {"logistic regression", "decision tree", "random forest", "boosted trees", "perceptron", "weighted forest",
-                          "weighted forest, wanted precision", "tuned forest"}
-    models = dict(trained)
-    assert models["boosted trees"].getMaxIter() == 300 and models["perceptron"].getMaxIter() == 120 and models["tuned forest"].getNumTrees() == 700
-    assert searches == [((), {})] * 2 and len(G.draw_parameters(G.SEARCH_SPACE)) == 40
+    rows = {r["model"] for r in catalog.QUERIES["i16_model_comparison"](spark, "").collect()}
+    assert rows == {"logistic regression", "decision tree", "random forest", "boosted trees", "perceptron", "weighted forest",
+                    "weighted forest, wanted precision", "tuned forest"}
+    assert [m.getMaxIter() for m in trained if hasattr(m, "getMaxIter")][1:] == [1000, 300, 120]
+    assert [m.getNumTrees() for m in trained if hasattr(m, "getNumTrees")] == [300, 300, found.best["numTrees"]]
+    assert searches == [((), {})] * 2 and len(found.draws) == 40
