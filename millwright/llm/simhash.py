@@ -180,19 +180,26 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
 
     Where rows of a component share that id, the one with the least text hash stays, of rows
     equal in both the one whose values hash least, and of wholly equal rows any one. Keepers are
-    chosen among rows of a few numbers; texts are met once, by a semi join with the chosen.
+    chosen among rows of a few numbers; texts are met once, by a join with the kept or the dropped rows.
     """
     def whole_row() -> Column:
         return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
     key = ["number", "text_hash", "row_hash"]
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    classed = classes(_prints(docs, shingle, row_hash=whole_row()), max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rows = classed.groupBy("root", number.alias("number"), "text_hash", "row_hash").agg(F.count(F.lit(1)).alias("times"))
-    chosen, _ = stored(rows.groupBy("root").agg(F.min(F.struct(*key, "times")).alias("one")).select("one.*"), "keepers")
-    alone, repeated = chosen.where("times = 1").select(*key), chosen.where("times > 1").select(*key)
+    classed = classes(_prints(docs, shingle, row_hash=whole_row()), max_bits)
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    rows, _ = stored(classed.groupBy("root", number.alias("number"), "text_hash", "row_hash").agg(
+        F.count(F.lit(1)).alias("times"), F.max(least).alias("least")), "row-classes")
+    chosen, _ = stored(rows.where("least").groupBy("root").agg(F.min(F.struct(*key, "times")).alias("one")).select("one.*"), "keepers")
+    dropped, _ = stored(rows.join(chosen, key, "left_anti").select(*key).union(chosen.where("times > 1").select(*key)), "dropped")
     source = packed(docs, number=number, text_hash=F.xxhash64(whole_text()), row_hash=whole_row())
-    kept = source.join(held(alone), key, "left_semi").select("row")
+    # whichever list is shorter meets the texts
+    if dropped.count() <= chosen.count():
+        kept = source.join(held(dropped), key, "left_anti").select("row")
+    else:
+        kept = source.join(held(chosen.where("times = 1").select(*key)), key, "left_semi").select("row")
+    repeated = chosen.where("times > 1").select(*key)
     if repeated.limit(1).count():
         again = source.join(held(repeated), key, "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
         kept = kept.union(again.select("row"))

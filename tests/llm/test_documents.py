@@ -293,6 +293,34 @@ def test_links_lose_nothing(spark, bucket):
     assert [find(i) for i in range(len(values))] == brute_components(values)
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+@pytest.mark.parametrize("copies", [1, 9])
+def test_one_of_each_equals_brute_force_with_repeated_ids_and_rows(spark, monkeypatch, few, copies):
+    from millwright.llm import common
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    rng = random.Random(copies)
+    words = [f"w{n}" for n in range(40)]
+    base = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(25)]
+    rows = []
+    for n in range(60):
+        text = rng.choice(base)
+        rows += [(rng.choice([n % 20, n, None]), text, rng.choice("ab"))] * rng.choice([1, copies])
+    rows += [(5, None, "a"), (5, None, "a"), (None, "", "b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(4)
+    kept = [tuple(r) for r in simhash.one_of_each(frame).collect()]
+    roots = brute_components([brute_print(t or "") for _, t, _ in rows])
+    groups = collections.defaultdict(list)
+    for place, root in enumerate(roots):
+        groups[root].append(rows[place])
+    assert len(kept) == len(groups)
+    found = collections.Counter(brute_print(t or "") for _, t, _ in kept)
+    for members in groups.values():
+        ids = [d for d, _, _ in members if d is not None]
+        own = [r for r in kept if r in members]
+        assert len(own) == 1 and own[0][0] == (min(ids) if ids else None)
+    assert sum(found.values()) == len(groups)
+
+
 def test_one_of_each(spark, docs, texts, empty):
     kept = simhash.one_of_each(docs)
     prints = [brute_print(t) for t in texts]
