@@ -23,13 +23,13 @@ from millwright.operators import modelling as M
 from millwright.operators import quality as B
 from millwright.operators import retrieval as L
 from millwright.operators import scoring as H
-from millwright.operators.etl import refresh_fleet
+from millwright.operators.etl import load_fleet, refresh_fleet
 from millwright.operators.model_store import fitted
 from millwright.operators.modelling import FleetTables
 from millwright.operators.text_index import TextIndex, scan_search
 from millwright.operators.vector_index import PivotIndex
 from millwright.sources import lineitem_fleet as source
-from millwright.session import scratch_path, stage
+from millwright.session import scratch_path, shared_folder, stage
 from millwright.sources import readers, writers
 from millwright.sources import schemas as S
 from millwright.streaming import replay
@@ -103,9 +103,17 @@ def _source_keys(spark: SparkSession, folder: str) -> DataFrame:
     return B.foreign_key_report(tables, SOURCE_KEYS)
 
 
+_published: dict[tuple[str, str], str] = {}
+
+
 def _stored_tables(spark: SparkSession, folder: str) -> FleetTables:
-    """The six tables written by the refresh and read back."""
-    return refresh_fleet(source.repeated_observations(spark, folder), scratch_path(spark, "tables"))
+    """The six tables written by a refresh and read back; the queries of a session share one refresh of a folder."""
+    key = (shared_folder(spark), folder)
+    if key not in _published:
+        place = scratch_path(spark, "tables")
+        refresh_fleet(source.repeated_observations(spark, folder), place)
+        _published[key] = place
+    return load_fleet(spark, _published[key])
 
 
 def _stored(make: Callable[..., DataFrame], **options) -> Query:
@@ -359,9 +367,12 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_documents(spark, f"{folder}/documents.parquet")
 
 
+SCORE_COLUMNS = ["failure_probability", "predicted_failure", "rejected_for"]
+
+
 def _batch_scores(spark: SparkSession, folder: str) -> DataFrame:
-    scored, _ = H.score_raw(source.to_raw(source.observations(spark, folder)))
-    return scored.select("UDI", "Type", "`Torque [Nm]`", "`Tool wear [min]`", "failure_probability", "predicted_failure")
+    scored = H.all_scored(source.to_raw(source.observations(spark, folder)))
+    return scored.select("UDI", "Type", "`Torque [Nm]`", "`Tool wear [min]`", *SCORE_COLUMNS)
 
 
 def _anomalies(spark: SparkSession, folder: str) -> DataFrame:
@@ -552,14 +563,28 @@ def _importance(spark: SparkSession, folder: str) -> DataFrame:
     return G.feature_importance(spark, fitted(G.random_forest(), parts["train"]).stages[0])
 
 
+def _risk_model(spark: SparkSession, folder: str):
+    """The stored pipeline from raw sensors to the risk, and the split rows it was fitted on."""
+    parts = stage(_split_rows(spark, folder), "split")
+    return fitted(Pipeline(stages=[*G.preparation(), G.decision_tree()]), parts.where("split = 'train'")), parts
+
+
 def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Saved, reloaded, and applied to the raw rows."""
-    parts = stage(_split_rows(spark, folder), "split")
-    train = parts.where("split = 'train'")
-    path = scratch_path(spark, "model")
-    G.save_model(Pipeline(stages=[*G.preparation(), G.decision_tree()]).fit(train), path)
-    scored, _ = H.score_raw(source.to_raw(source.observations(spark, folder)), G.load_model(path))
-    return scored.select("UDI", "failure_probability", "predicted_failure")
+    model, _ = _risk_model(spark, folder)
+    scored = H.all_scored(source.to_raw(source.observations(spark, folder)), model)
+    return scored.select("UDI", *SCORE_COLUMNS)
+
+
+def _model_degradation(spark: SparkSession, folder: str) -> DataFrame:
+    model, parts = _risk_model(spark, folder)
+    return J.model_degradation_risk(parts.drop("split"), model)
+
+
+def _model_attributions(spark: SparkSession, folder: str) -> DataFrame:
+    model, parts = _risk_model(spark, folder)
+    means = J.reference_means(parts.where("split = 'train'")).first().asDict()  # one row
+    return J.model_attributions(parts.drop("split"), model, means)
 
 
 def _comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -685,8 +710,11 @@ EVALUATION_QUERIES: dict[str, Query] = {
 DRIFT_QUERIES: dict[str, Query] = {
     "j01_ks_drift": _drift,
     "j02_degradation": lambda s, d: J.degradation_risk(source.observations(s, d)),
+    "j02_model_degradation": _model_degradation,
     "j03_attributions": _attributions,
+    "j03_model_attributions": _model_attributions,
     "j04_global_attribution": _global_attribution,
+    "j04_model_attribution": lambda s, d: J.global_attribution(_model_attributions(s, d)),
 }
 
 STREAMING_QUERIES: dict[str, Query] = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from math import pi
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,15 +55,21 @@ def hashed_normal(uid: str, step: int, seed: int) -> Column:
     return radius * F.cos(2.0 * pi * _uniform(digest, 13))
 
 
-def degraded(clean: DataFrame, step: int, seed: int = K.SEED, heat_per_step: float = 3.5,
-             noise_per_step: float = 2.0) -> DataFrame:
-    """The fleet as seen through sensors that have drifted for ``step`` steps; raw units, before any feature."""
+def scored_beside(df: DataFrame, model, replaced: Mapping[str, Column], name: str) -> DataFrame:
+    """``df`` with the model's probability as ``name``, were its columns ``replaced``; a projection, rows stay where they are."""
+    held = df.withColumns({f"_own_{c}": F.col(c) for c in replaced}).withColumns(dict(replaced)) if replaced else df
+    scored = model.transform(held).withColumn(name, vector_to_array("probability")[1])
+    return scored.select(*[F.col(f"_own_{c}").alias(c) if c in replaced else F.col(c) for c in df.columns], name)
+
+
+def drifted_sensors(step: int, seed: int = K.SEED, heat_per_step: float = 3.5, noise_per_step: float = 2.0) -> dict[str, Column]:
+    """Raw sensors as they read after drifting for ``step`` steps."""
     if step == 0:
-        return clean
-    return clean.withColumns({
+        return {}
+    return {
         "air_temperature_k": F.col("air_temperature_k") + heat_per_step * step,
         "torque_nm": F.col("torque_nm") + hashed_normal("machine_id", step, seed) * (noise_per_step * step),
-    })
+    }
 
 
 def degradation_risk(clean: DataFrame, steps: Sequence[int] = (0, 1, 2, 3, 4), seed: int = K.SEED,
@@ -70,24 +77,18 @@ def degradation_risk(clean: DataFrame, steps: Sequence[int] = (0, 1, 2, 3, 4), s
     """Mean risk per degradation step, all steps in one pass over the fleet."""
     averages = []
     for step in steps:
-        inputs = {name: F.col(name) for name in K.SENSORS}
-        if step:
-            inputs["air_temperature_k"] = inputs["air_temperature_k"] + heat_per_step * step
-            noise = hashed_normal("machine_id", step, seed) * (noise_per_step * step)
-            inputs["torque_nm"] = inputs["torque_nm"] + noise
+        inputs = {**{name: F.col(name) for name in K.SENSORS}, **drifted_sensors(step, seed, heat_per_step, noise_per_step)}
         averages.append(F.struct(F.lit(step).alias("step"), C.exact_mean(scorer(inputs), 9).alias("mean_risk")).alias(f"_{step}"))
     return clean.agg(*averages).select(F.inline(F.array(*[F.col(f"_{s}") for s in steps])))
 
 
 def model_degradation_risk(clean: DataFrame, model, steps: Sequence[int] = (0, 1, 2, 3, 4), seed: int = K.SEED) -> DataFrame:
-    """The same with a fitted pipeline as scorer; features are derived from the drifted raw sensors."""
-    from functools import reduce
-
-    from pyspark.ml.functions import vector_to_array
-
-    drifted = reduce(DataFrame.unionByName, [degraded(clean, s, seed).withColumn("step", F.lit(s)) for s in steps])
-    scored = model.transform(drifted).withColumn("_risk", vector_to_array("probability")[1])
-    return scored.groupBy("step").agg(F.avg("_risk").alias("mean_risk"))
+    """The same with a fitted pipeline as scorer; features are derived from the drifted raw sensors, all steps in one pass."""
+    scored = clean
+    for step in steps:
+        scored = scored_beside(scored, model, drifted_sensors(step, seed), f"_risk_{step}")
+    averages = [F.struct(F.lit(s).alias("step"), C.exact_mean(f"_risk_{s}", 9).alias("mean_risk")).alias(f"_{s}") for s in steps]
+    return scored.agg(*averages).select(F.inline(F.array(*[F.col(f"_{s}") for s in steps])))
 
 
 def reference_means(train: DataFrame, features: Sequence[str] = K.SENSORS) -> DataFrame:
@@ -118,20 +119,18 @@ def attributions(df: DataFrame, means: DataFrame, features: Sequence[str] = K.SE
 
 
 def model_attributions(df: DataFrame, model, means: Mapping[str, float], top: int = 5, uid: str = "machine_id") -> DataFrame:
-    """Occlusion attribution through a fitted pipeline: each row is scored once per occluded sensor."""
-    from pyspark.ml.functions import vector_to_array
+    """Occlusion attribution through a fitted pipeline: beside its own score a row gets one per sensor held at its mean.
 
+    All scores of a row are made in the row, so nothing is shuffled.
+    """
     names = list(means)
-    unfolded = df.withColumn("_occluded", F.explode(F.array(F.lit(""), *[F.lit(n) for n in names])))
+    scored = scored_beside(df, model, {}, "_base")
     for name in names:
-        unfolded = unfolded.withColumn(name, F.when(F.col("_occluded") == name, F.lit(means[name])).otherwise(F.col(name)))
-    scored = model.transform(unfolded).select(uid, "_occluded", vector_to_array("probability")[1].alias("_score"))
-    wide = scored.groupBy(uid).agg(*[F.max(F.when(F.col("_occluded") == n, F.col("_score"))).alias(n or "_base")
-                                     for n in ["", *names]])
+        scored = scored_beside(scored, model, {name: F.lit(float(means[name]))}, f"_without_{name}")
+    gap = {n: F.round(F.col("_base") - F.col(f"_without_{n}"), 9) for n in names}
     parts = F.array_sort(F.array(*[
-        F.struct((-F.abs(F.col("_base") - F.col(n))).alias("key"), F.lit(i).alias("place"), F.lit(n).alias("feature"),
-                 (F.col("_base") - F.col(n)).alias("contribution")) for i, n in enumerate(names)]))
-    spread = wide.select(uid, F.posexplode(F.slice(parts, 1, top)).alias("_rank", "_p"))
+        F.struct((-F.abs(gap[n])).alias("key"), F.lit(i).alias("place"), F.lit(n).alias("feature"), gap[n].alias("contribution")) for i, n in enumerate(names)]))
+    spread = scored.select(uid, F.posexplode(F.slice(parts, 1, top)).alias("_rank", "_p"))
     return spread.select(uid, (F.col("_rank") + 1).alias("rank"), "_p.feature", "_p.contribution")
 
 

@@ -5,29 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millwright.operators.modelling import FleetTables, failure_events, maintenance_events
-from millwright.operators.quality import clean_observations
+from millwright.operators.quality import clean_observations, foreign_key_report, unique_key_report
 from millwright.sources.readers import good_lines, read_raw
+from millwright.session import remove
+from millwright.sources.schemas import FOREIGN_KEYS, UNIQUE_KEYS
+from millwright.sources.versions import current, new_version, publish
 from millwright.sources.writers import write_flat, write_table
 
 FLAT = "clean"
 
 
+class RefreshRejected(ValueError):
+    """The tables of a refresh break a key or a reference; the version before stays current."""
+
+
+def check_tables(tables: FleetTables) -> None:
+    """Stops where a key repeats or a reference points nowhere."""
+    named = tables.named()
+    keys = unique_key_report(named, UNIQUE_KEYS).where("n_repeated > 0").collect()  # a row per key
+    references = foreign_key_report(named, FOREIGN_KEYS).where("n_orphans > 0").collect()
+    if keys or references:
+        raise RefreshRejected("; ".join(str(r.asDict()) for r in keys + references))
+
+
 def refresh_fleet(clean: DataFrame, folder: str) -> FleetTables:
-    """Write the flat file, then every table from stored rows, dimensions first; a rerun replaces all.
+    """Write the flat file and all six tables as a new version, check keys and references there, and publish it.
 
     The expensive steps run once: the tables read the flat file, the maintenance log reads the
-    stored events with their keys.
+    stored events with their keys. Readers see all tables of the version before or all of this one.
     """
     spark = clean.sparkSession
-    write_flat(clean, f"{folder}/{FLAT}")
-    stored = spark.read.schema(clean.schema).parquet(f"{folder}/{FLAT}")
-    tables = FleetTables.from_observations(stored)
-    for name in ("machine_type", "machines", "sensor_readings", "failure_mode"):
-        write_table(name, getattr(tables, name), folder)
-    write_table("failure_events", failure_events(stored), folder)
-    loaded = FleetTables.load(spark, folder, but=("maintenance_events",))
-    write_table("maintenance_events", maintenance_events(loaded.failure_events, loaded.sensor_readings), folder)
-    return FleetTables.load(spark, folder)
+    version = new_version(folder)
+    try:
+        write_flat(clean, f"{version}/{FLAT}")
+        stored = spark.read.schema(clean.schema).parquet(f"{version}/{FLAT}")
+        tables = FleetTables.from_observations(stored)
+        for name in ("machine_type", "machines", "sensor_readings", "failure_mode"):
+            write_table(name, getattr(tables, name), version)
+        write_table("failure_events", failure_events(stored), version)
+        loaded = FleetTables.load(spark, version, but=("maintenance_events",))
+        write_table("maintenance_events", maintenance_events(loaded.failure_events, loaded.sensor_readings), version)
+        written = FleetTables.load(spark, version)
+        check_tables(written)
+    except Exception:
+        remove(spark, version)
+        raise
+    publish(spark, folder, version)
+    return written
+
+
+def load_fleet(spark: SparkSession, folder: str) -> FleetTables:
+    """The six tables of the version published last."""
+    version = current(spark, folder)
+    if version is None:
+        raise FileNotFoundError(f"nothing was published under {folder}")
+    return FleetTables.load(spark, version)
 
 
 def run_etl(spark: SparkSession, raw_path: str, folder: str, fmt: str = "csv") -> FleetTables:

@@ -99,10 +99,6 @@ def feature_table(clean: DataFrame) -> DataFrame:
     )
 
 
-def wear_labels(clean: DataFrame) -> DataFrame:
-    return clean.select("machine_id", "tool_wear_min", wear_bucket().alias("tool_wear_bucket"))
-
-
 @dataclass
 class FleetTables:
     """The six tables. ``source`` is the wide frame they were cut from, when there is one."""

@@ -57,6 +57,13 @@ def score_raw(raw: DataFrame, model=None, threshold: float = K.DECISION_THRESHOL
     return scored.withColumnsRenamed(K.CLEAN_TO_RAW), rejected.withColumnsRenamed(K.CLEAN_TO_RAW)
 
 
+def all_scored(raw: DataFrame, model=None, threshold: float = K.DECISION_THRESHOLD) -> DataFrame:
+    """Every input row: scored, or without a score and with the rules it breaks in ``rejected_for``."""
+    scored, rejected = score_raw(raw, model, threshold)
+    told = rejected.withColumn("rejected_for", F.array_join("broken_rules", "; ")).drop("broken_rules")
+    return scored.unionByName(told, allowMissingColumns=True)
+
+
 def fleet_status(clean: DataFrame) -> DataFrame:
     """Every machine with its risk and status band."""
     risk = clean.withColumn("failure_risk", rule_probability(clean))
@@ -85,10 +92,6 @@ def worklist(df: DataFrame, by: str, limit: int | None = None, uid: str = "machi
     return ordered if limit is None else ordered.limit(limit)
 
 
-def status_counts(status: DataFrame) -> DataFrame:
-    return status.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-
-
 def squared_errors(columns: Sequence[str], rebuilt: Sequence[str], weights: Sequence[float] | None = None) -> Column:
     """Mean (weighted) squared difference of two column lists."""
     weights = weights or [1.0] * len(columns)

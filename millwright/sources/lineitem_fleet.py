@@ -3,7 +3,8 @@
 One observation per delivered line, and no other. The rule constants below define the derived data
 set; integers until the last step keep every engine's result bit-equal.
 
-An observation's id is its order's key and its place among the order's lines, in the order of the
+All values of an observation come from its own line, so that a query which needs no id needs no order
+of lines either. An observation's id is its order's key and its place among the order's lines, in the order of the
 whole line; ``(l_orderkey, l_linenumber)`` is not unique in the delivered tables. Only lines equal in
 every column could swap places, which changes nothing.
 """
@@ -21,6 +22,7 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
               "l_returnflag", "l_linestatus", "l_shipdate"]
 LINE_VALUES = {
     "p": "l_partkey",
+    "s": "l_suppkey",
     "disc": "l_discount",
     "tax": "l_tax",
     "qty": "l_quantity",
@@ -29,21 +31,23 @@ LINE_VALUES = {
 
 # SQL text keeps the derivation a few plan nodes, whoever builds on it. floor(x + 0.5) is the plain
 # rounding of a non-negative number and stays inside generated code.
+DRAW = "p * 8191 + s * 131 + CAST(floor(cents * 100 + 0.5) AS BIGINT) AS u"
 SETTINGS = [
+    "u",
     "CASE WHEN p % 10 < 6 THEN 'L' WHEN p % 10 < 9 THEN 'M' ELSE 'H' END AS type_code",
-    "29500 + floor(disc * 100 + 0.5) * 90 + IF(udi % 211 = 0, 900, 0) AS air_c",
+    "29500 + floor(disc * 100 + 0.5) * 90 + IF(u % 211 = 0, 900, 0) AS air_c",
     "845 + floor(tax * 100 + 0.5) * 40 + floor(cents * 100 + 0.5) % 40 AS gap_c",
     "1160 + (floor(cents * 100 + 0.5) % 42) * (p % 42) AS rpm",
     "3450 + 115 * (CAST(qty AS BIGINT) - 1) AS watts",
-    "(udi * 7 + p * 31) % 254 AS wear",
+    "(u * 7 + p * 31) % 254 AS wear",
 ]
 TORQUE = "floor(watts * 9.549296585513721D * 100 / rpm + 0.5) AS torque_c"
 FLAGS = [
-    "IF(wear >= 240 AND udi % 5 = 0, 1, 0) AS TWF",
+    "IF(wear >= 240 AND u % 5 = 0, 1, 0) AS TWF",
     "IF(gap_c < 860 AND rpm < 1380, 1, 0) AS HDF",
     "IF(torque_c * rpm < 3342254 OR torque_c * rpm > 8594367, 1, 0) AS PWF",
     "IF(torque_c * wear > CASE type_code WHEN 'L' THEN 1100000 WHEN 'M' THEN 1200000 ELSE 1300000 END, 1, 0) AS OSF",
-    "IF(udi % 521 = 0, 1, 0) AS RNF",
+    "IF(u % 521 = 0, 1, 0) AS RNF",
 ]
 COLUMNS = [
     "udi AS machine_id",
@@ -54,14 +58,14 @@ COLUMNS = [
     "CAST(rpm AS INT) AS rotational_speed_rpm",
     "torque_c / 100 AS torque_nm",
     "CAST(wear AS INT) AS tool_wear_min",
-    "IF(TWF + HDF + PWF + OSF > 0 OR udi % 1009 = 0, 1, 0) AS machine_failure",
+    "IF(TWF + HDF + PWF + OSF > 0 OR u % 1009 = 0, 1, 0) AS machine_failure",
     *MODES,
     "p",
 ]
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """(udi, p, disc, tax, qty, cents) of every line, numbered inside its order."""
+    """(udi, p, s, disc, tax, qty, cents) of every line, numbered inside its order."""
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)) - 1
     udi = F.col("l_orderkey") * LINES_PER_ORDER + place
     return lines.select(udi.alias("udi"), *[F.col(column).alias(name) for name, column in LINE_VALUES.items()])
@@ -69,7 +73,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
 def observe(numbered: DataFrame) -> DataFrame:
     """Map numbered lines to observations with table column names and the part ``p``; stateless."""
-    settings = numbered.selectExpr("udi", "p", *SETTINGS)
+    settings = numbered.selectExpr("*", DRAW).selectExpr("udi", "p", *SETTINGS)
     return settings.selectExpr("*", TORQUE).selectExpr("*", *FLAGS).selectExpr(*COLUMNS)
 
 

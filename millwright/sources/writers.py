@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,36 +41,12 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
         write_table(name, tables[name], folder)
 
 
-def save_bucketed(tables: Mapping[str, DataFrame], database: str, buckets: int) -> None:
-    """The facts as catalog tables bucketed by machine, so that joins between them need no shuffle."""
-    for name, schema in TABLES.items():
-        typed = tables[name].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        writer = typed.write.mode("overwrite").format("parquet")
-        if name in FILE_SORT:
-            writer = writer.bucketBy(buckets, "machine_id").sortBy("machine_id")
-        writer.saveAsTable(f"{database}.{name}")
-
-
-def write_jdbc(tables: Mapping[str, DataFrame], url: str, properties: Mapping[str, str]) -> None:
-    """Full refresh of a database, dimensions first; keeps the database's own definitions.
-
-    Facts that point at a table are emptied by the database's own cascade or beforehand.
-    """
-    for name in TABLES:
-        tables[name].write.mode("overwrite").option("truncate", True).jdbc(url, name, properties=dict(properties))
-
-
 def write_features(matrix: DataFrame, path: str, features: list[str]) -> None:
     """Named feature columns and the same values as one dense array in the given order."""
     dense = F.array(*[F.col(f).cast("double") for f in features])
     matrix.withColumn("features", dense).write.mode("overwrite").parquet(path)
 
 
-def as_vector(df: DataFrame, column: str = "features") -> DataFrame:
-    """The stored array as an ML vector."""
-    return df.withColumn(column, array_to_vector(column))
-
-
 def write_scores(scored: DataFrame, rejected: DataFrame, path: str) -> None:
     """Scored rows by descending risk as CSV, rejected rows with their reasons beside them.
 

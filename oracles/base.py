@@ -6,6 +6,7 @@ k AS (
            PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
                                             l_returnflag, l_linestatus, l_shipdate) AS udi,
          l_partkey AS p,
+         l_partkey * 8191 + l_suppkey * 131 + CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS u,
          CAST(ROUND(l_discount * 100) AS INT) AS disc,
          CAST(ROUND(l_tax * 100) AS INT) AS tax,
          CAST(l_quantity AS INT) AS qty,
@@ -15,32 +16,32 @@ k AS (
 
 SENSE = """
 , s AS (
-  SELECT udi, p,
+  SELECT udi, p, u,
          CASE WHEN p % 10 < 6 THEN 'L' WHEN p % 10 < 9 THEN 'M' ELSE 'H' END AS type,
-         29500 + disc * 90 + CASE WHEN udi % 211 = 0 THEN 900 ELSE 0 END AS air_c,
+         29500 + disc * 90 + CASE WHEN u % 211 = 0 THEN 900 ELSE 0 END AS air_c,
          845 + tax * 40 + CAST(cents % 40 AS INT) AS gap_c,
          1160 + CAST((cents % 42) * (p % 42) AS INT) AS rpm,
          3450 + 115 * (qty - 1) AS watts,
-         CAST((udi * 7 + p * 31) % 254 AS INT) AS wear
+         CAST((u * 7 + p * 31) % 254 AS INT) AS wear
   FROM k
 ), v AS (
-  SELECT udi, p, type, air_c, air_c + gap_c AS proc_c, rpm, wear,
+  SELECT udi, p, u, type, air_c, air_c + gap_c AS proc_c, rpm, wear,
          CAST(ROUND(watts * 9.549296585513721E0 * 100 / rpm) AS INT) AS torque_c
   FROM s
 ), f AS (
   SELECT v.*,
-         CASE WHEN wear >= 240 AND udi % 5 = 0 THEN 1 ELSE 0 END AS twf,
+         CASE WHEN wear >= 240 AND u % 5 = 0 THEN 1 ELSE 0 END AS twf,
          CASE WHEN proc_c - air_c < 860 AND rpm < 1380 THEN 1 ELSE 0 END AS hdf,
          CASE WHEN CAST(torque_c AS BIGINT) * rpm < 3342254 OR CAST(torque_c AS BIGINT) * rpm > 8594367 THEN 1 ELSE 0 END AS pwf,
          CASE WHEN torque_c * wear > CASE type WHEN 'L' THEN 1100000 WHEN 'M' THEN 1200000 ELSE 1300000 END THEN 1 ELSE 0 END AS osf,
-         CASE WHEN udi % 521 = 0 THEN 1 ELSE 0 END AS rnf
+         CASE WHEN u % 521 = 0 THEN 1 ELSE 0 END AS rnf
   FROM v
 ), obs AS (
   SELECT udi AS reading_id, {machine} AS machine_id, CONCAT(type, CAST(10000 + {machine} AS VARCHAR)) AS product_id,
          type AS type_code,
          CAST(air_c AS DOUBLE) / 100 AS air_temperature_k, CAST(proc_c AS DOUBLE) / 100 AS process_temperature_k,
          rpm AS rotational_speed_rpm, CAST(torque_c AS DOUBLE) / 100 AS torque_nm, wear AS tool_wear_min, torque_c,
-         CASE WHEN twf + hdf + pwf + osf > 0 OR udi % 1009 = 0 THEN 1 ELSE 0 END AS machine_failure,
+         CASE WHEN twf + hdf + pwf + osf > 0 OR u % 1009 = 0 THEN 1 ELSE 0 END AS machine_failure,
          twf, hdf, pwf, osf, rnf
   FROM f
 )"""

@@ -179,7 +179,12 @@ SQL = {
     "h01_rule_score": features("SELECT machine_id, score AS failure_probability FROM eng"),
     "h02_predicted_flag": features("SELECT machine_id, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted_failure FROM eng"),
     "h03_batch_scores": features("""SELECT machine_id AS "UDI", type_code AS "Type", torque_nm AS "Torque [Nm]", tool_wear_min AS "Tool wear [min]",
-        score AS failure_probability, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted_failure FROM eng"""),
+        CASE WHEN why = '' THEN score END AS failure_probability, CASE WHEN why = '' THEN CASE WHEN score >= 0.5 THEN 1 ELSE 0 END END AS predicted_failure, NULLIF(why, '') AS rejected_for
+        FROM (SELECT *, CONCAT_WS('; ', CASE WHEN type_code NOT IN ('L', 'M', 'H') THEN 'type_code in domain' END,
+          CASE WHEN air_temperature_k <= 0 THEN 'air_temperature_k > 0' END, CASE WHEN process_temperature_k <= 0 THEN 'process_temperature_k > 0' END,
+          CASE WHEN rotational_speed_rpm < 0 THEN 'rotational_speed_rpm >= 0' END, CASE WHEN torque_nm < 0 THEN 'torque_nm >= 0' END,
+          CASE WHEN tool_wear_min < 0 THEN 'tool_wear_min >= 0' END, CASE WHEN air_temperature_k NOT BETWEEN 200 AND 500 THEN 'air temperature plausible' END,
+          CASE WHEN process_temperature_k NOT BETWEEN 200 AND 500 THEN 'process temperature plausible' END) AS why FROM eng)"""),
     "h05_anomaly_flag": features("SELECT machine_id, score AS anomaly_score, score >= 0.6541 AS is_anomaly FROM eng"),
     "h06_status_bands": features(STATUS + " SELECT machine_id, failure_risk, status FROM st"),
     "h07_fleet_kpis": features(STATUS + f" SELECT COUNT(*) AS total_machines, COUNT(*) FILTER (status = {HIGH}) AS machines_at_risk, {exact_mean('failure_risk', 6, 100)} AS average_risk_pct FROM st"),

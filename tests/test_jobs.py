@@ -81,6 +81,47 @@ def test_table_refresh_is_repeatable(spark, clean, tmp_path):
         assert query(stored).collect() == query(tables).collect()
 
 
+def test_a_refresh_is_all_or_nothing(spark, clean, tmp_path, monkeypatch):
+    from millwright.operators import etl
+    from millwright.sources import versions
+
+    folder = str(tmp_path / "fleet")
+    with pytest.raises(FileNotFoundError):
+        etl.load_fleet(spark, folder)
+    few, more = clean.where("machine_id % 7 = 0"), clean.where("machine_id % 3 = 0")
+    etl.refresh_fleet(few, folder)
+    before = {name: t.count() for name, t in etl.load_fleet(spark, folder).named().items()}
+    whole = etl.write_table
+    for stop in TABLES:
+        def failing(name, df, path, stop=stop):
+            if name == stop:
+                raise OSError(name)
+            whole(name, df, path)
+        monkeypatch.setattr(etl, "write_table", failing)
+        with pytest.raises(OSError, match=stop):
+            etl.refresh_fleet(more, folder)
+        assert {name: t.count() for name, t in etl.load_fleet(spark, folder).named().items()} == before
+    monkeypatch.setattr(etl, "write_table", lambda name, df, path: whole(name, df.limit(0) if name == "machines" else df, path))
+    with pytest.raises(etl.RefreshRejected, match="machine_id"):
+        etl.refresh_fleet(more, folder)
+    assert {name: t.count() for name, t in etl.load_fleet(spark, folder).named().items()} == before
+    monkeypatch.setattr(etl, "write_table", whole)
+    held = etl.load_fleet(spark, folder)
+    etl.refresh_fleet(more, folder)
+    assert etl.load_fleet(spark, folder).machines.count() == more.count() and held.machines.count() == before["machines"]
+    etl.refresh_fleet(few, folder)  # the first version expires
+    assert len(list((tmp_path / "fleet" / "versions").iterdir())) == 2
+    (tmp_path / "fleet" / "commits" / "000000000099").touch()  # cut off while written
+    assert etl.load_fleet(spark, folder).machines.count() == before["machines"]
+    assert versions.current(spark, str(tmp_path / "nowhere")) is None
+
+
+def test_lines_are_numbered_only_for_ids(spark, small):
+    for name, numbered in (("e12_correlations", False), ("i04_precision_recall", False), ("e06_class_balance", False), ("h01_rule_score", True)):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("row_number() windowspecdefinition(l_orderkey" in plan) == numbered, name
+
+
 def test_etl_from_csv(spark, clean, tmp_path):
     from millwright.operators.etl import run_etl
 
@@ -290,6 +331,28 @@ def test_model_drift_and_attribution(clean, trained):
     means = J.reference_means(train).first().asDict()
     local = J.model_attributions(X.seeded_sample(clean, 5), model, means, top=3)
     assert local.count() == 15 and local.agg(F.max("rank")).first()[0] == 3
+    heat = {r["step"]: r["mean_risk"] for r in J.model_degradation_risk(clean, model, steps=(0, 4)).collect()}
+    assert heat[0] != heat[4]
+    for made in (local, J.model_degradation_risk(clean, model, steps=(0, 2))):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(machine_id" not in plan
+    # a row's contributions are its score less its score with one sensor at the mean
+    from pyspark.ml.functions import vector_to_array
+    row = clean.orderBy("machine_id").limit(1)
+
+    def risk(df):
+        return model.transform(df).select(vector_to_array("probability")[1]).first()[0]
+
+    got = {r["feature"]: r["contribution"] for r in J.model_attributions(row, model, means).collect()}
+    assert got == {n: pytest.approx(risk(row) - risk(row.withColumn(n, F.lit(float(m)))), abs=1e-8) for n, m in means.items()}
+
+
+def test_rejected_rows_stay_with_their_reasons(rows):
+    raw = source.to_raw(rows({}, {"torque_nm": -1.0}, {"type_code": "X", "air_temperature_k": 30.0}))
+    got = {r["UDI"]: r for r in H.all_scored(raw).collect()}
+    assert len(got) == 3 and got[1]["rejected_for"] is None and 0 <= got[1]["failure_probability"] <= 1
+    assert got[2]["failure_probability"] is None and got[2]["rejected_for"] == "torque_nm >= 0"
+    assert got[3]["rejected_for"] == "type_code in domain; air temperature plausible"
 
 
 # ---- retrieval
