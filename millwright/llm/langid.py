@@ -193,7 +193,8 @@ def sample_words(docs: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, Data
     languages = kinds.groupBy("lang").agg(F.sum("rows").alias("documents"))
     least = Window.partitionBy("lang").orderBy("text_hash")
     chosen = kinds.withColumn("place", F.row_number().over(least)).where(F.col("place") <= sample).select("lang", "text_hash")
-    texts = known.join(chosen, ["lang", "text_hash"]).dropDuplicates(["lang", "text_hash"]).select("lang", "text")
+    # at most ``sample`` rows of a name and a number per language
+    texts = known.join(F.broadcast(chosen), ["lang", "text_hash"]).dropDuplicates(["lang", "text_hash"]).select("lang", "text")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
