@@ -287,7 +287,6 @@ def test_links_lose_nothing(spark, bucket):
             i = root[i]
         return i
     for a, b in found.collect():
-        assert ((a ^ b) % 2**64).bit_count() <= 64
         x, y = sorted((find(at[a]), find(at[b])))
         root[y] = x
     assert [find(i) for i in range(len(values))] == brute_components(values)
@@ -450,6 +449,25 @@ def test_masks_meet_three_substitutions_in_fifteen_tokens():
 
 # sharding
 
+def test_every_bin_is_the_fullest_with_its_largest_piece():
+    rng = random.Random(12)
+    for _ in range(200):
+        capacity = rng.randint(5, 60)
+        counts = {length: rng.randint(1, 5) for length in rng.sample(range(1, capacity + 1), rng.randint(1, min(9, capacity)))}
+        left = collections.Counter(counts)
+        for bins, items in packing.combinations(counts, capacity):
+            for _ in range(bins):
+                largest = max(length for length, n in left.items() if n)
+                fills = {largest}
+                for length, n in left.items():
+                    own = n - (length == largest)
+                    fills |= {f + k * length for f in fills for k in range(1, own + 1) if f + k * length <= capacity}
+                assert sum(length * times for length, times in items) == max(fills) and dict(items).get(largest)
+                left.subtract(dict(items))
+                assert min(left.values()) >= 0
+        assert not any(left.values())
+
+
 @pytest.mark.parametrize("block_rows", [10, 50_000])
 def test_shards(spark, docs, texts, monkeypatch, block_rows):
     monkeypatch.setattr(sharding, "BLOCK_ROWS", block_rows)
@@ -465,7 +483,11 @@ def test_shards(spark, docs, texts, monkeypatch, block_rows):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and {r["law"] for r in rows} == {"bytes"}
     assert max(loads.values()) - sum(loads.values()) / 8 <= 30_001
     linked, cut = sharding.cut_links(sharding.assign_shards(many)).first()
-    assert linked > 400 and cut <= 0.9 * linked
+    # the one text of 400 rows is larger than a shard's quota, or else no link needs to be cut
+    texts_of = collections.Counter(body.values())
+    quota = 1.01 * sum(loads.values()) / 8
+    unavoidable = sum(n for t, n in texts_of.items() if n > 1 and n * (len(t.encode()) + 1) > quota)
+    assert linked > 400 and cut <= unavoidable + 0.2 * linked
 
 
 def test_shards_cut_little_when_everything_is_linked(spark):

@@ -74,3 +74,20 @@ def test_every_planted_passage_is_found(spark, corpus):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     found = decontamination.matches(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} >= {(n, i) for n, t in enumerate(texts) for i, body in items if t and body in t}
+
+
+def test_stages_carry_extra_and_clashing_columns_and_take_repeated_rows(spark, corpus):
+    folder, texts, _ = corpus
+    rows = [(n, t, "en", "s", len(t or ""), f"r{n}", n, None, "x") for n, t in enumerate(texts[:40])]
+    rows += rows[:10] + [(rows[0][0], "another text under the id of the first one, which is long enough to be a line", "en", "s", 3, "o", 1, 2, "y"), (None, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, COLUMNS + ", row string, number long, text_hash long, doc string").repartition(3)
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == names, name
+        left = [r.asDict() for r in docs.collect()]
+        assert left and all(r["row"] is None or r["row"] == "o" or r["row"] == f"r{r['number']}" for r in left), name
+        docs = spark.createDataFrame([tuple(r[c] for c in names) for r in left], docs.schema)
+
+    placed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert placed.count() == len(left)
