@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from math import pi
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from millwright import constants as K
 from millwright.functions import columns as C
 from millwright.functions.columns import rule_score
 from millwright.functions.significance import kolmogorov_tail
+from millwright.operators.scoring import scored_beside
 from millwright.plans.ordering import cumulate
 from millwright.session import stage
 from millwright.plans.quantiles import long_values
@@ -55,13 +55,6 @@ def hashed_normal(uid: str, step: int, seed: int) -> Column:
     return radius * F.cos(2.0 * pi * _uniform(digest, 13))
 
 
-def scored_beside(df: DataFrame, model, replaced: Mapping[str, Column], name: str) -> DataFrame:
-    """``df`` with the model's probability as ``name``, were its columns ``replaced``; a projection, rows stay where they are."""
-    held = df.withColumns({f"_own_{c}": F.col(c) for c in replaced}).withColumns(dict(replaced)) if replaced else df
-    scored = model.transform(held).withColumn(name, vector_to_array("probability")[1])
-    return scored.select(*[F.col(f"_own_{c}").alias(c) if c in replaced else F.col(c) for c in df.columns], name)
-
-
 def drifted_sensors(step: int, seed: int = K.SEED, heat_per_step: float = 3.5, noise_per_step: float = 2.0) -> dict[str, Column]:
     """Raw sensors as they read after drifting for ``step`` steps."""
     if step == 0:

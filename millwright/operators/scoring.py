@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,22 +38,28 @@ def with_rule_score(df: DataFrame, threshold: float = K.DECISION_THRESHOLD) -> D
     return scored.withColumn("predicted_failure", C.at_least("failure_probability", threshold))
 
 
+def scored_beside(df: DataFrame, model, replaced: Mapping[str, Column], name: str) -> DataFrame:
+    """``df`` with the model's probability as ``name``, were its columns ``replaced``; a projection, rows stay where they are."""
+    # the model scales sensors in place, so every column is kept beside it
+    held = df.withColumns({f"_own_{c}": F.col(c) for c in df.columns})
+    held = held.withColumns(dict(replaced)) if replaced else held
+    scored = model.transform(held).withColumn(name, vector_to_array("probability")[1])
+    return scored.select(*[F.col(f"_own_{c}").alias(c) for c in df.columns], name)
+
+
 def score_raw(raw: DataFrame, model=None, threshold: float = K.DECISION_THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Score rows under the raw header: (scored rows, rejected rows with their reasons).
 
     ``model`` is a fitted pipeline that takes table column names and adds ``probability``; without
     one the rule score is used. Rows keep all their input columns.
     """
-    from pyspark.ml.functions import vector_to_array
-
     require_columns(raw, K.SCORING_COLUMNS)
     clean = raw.withColumnsRenamed(K.RAW_TO_CLEAN)
     good, rejected = split_rejects(clean, [DOMAIN_RULES[0], *RANGE_RULES, *PLAUSIBLE_RULES])
     if model is None:
         scored = with_rule_score(good, threshold)
     else:
-        out = model.transform(good).withColumn("failure_probability", vector_to_array("probability")[1])
-        scored = out.select(*good.columns, "failure_probability").withColumn(
+        scored = scored_beside(good, model, {}, "failure_probability").withColumn(
             "predicted_failure", C.at_least("failure_probability", threshold))
     return scored.withColumnsRenamed(K.CLEAN_TO_RAW), rejected.withColumnsRenamed(K.CLEAN_TO_RAW)
 

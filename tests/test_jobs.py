@@ -269,10 +269,13 @@ def test_families_share_a_fit():
 def test_models_are_fitted_once(spark, trained, monkeypatch):
     _, parts = trained
     model = model_store.fitted(G.decision_tree(3), parts["train"])
-    monkeypatch.setattr(model_store, "Pipeline", None)  # no second fit
+    def second_fit(*_):
+        raise AssertionError("fitted again")
+
+    monkeypatch.setattr(model_store.Pipeline, "fit", second_fit)
     again = model_store.fitted(G.decision_tree(3), parts["train"].repartition(3))
     assert again.stages[0].toDebugString.split("\n")[1:] == model.stages[0].toDebugString.split("\n")[1:]
-    with pytest.raises(TypeError):
+    with pytest.raises(AssertionError, match="again"):
         model_store.fitted(G.decision_tree(4), parts["train"])
     both = G.side_by_side([model, again], parts["val"])
     assert both.where("score_0 != score_1").count() == 0 and both.count() == parts["val"].count()
@@ -322,6 +325,8 @@ def test_oversampling_balances(trained):
 
 
 def test_model_drift_and_attribution(clean, trained):
+    from pyspark.ml.functions import vector_to_array
+
     from millwright.operators import drift as J
 
     train = X.split_fleet(clean).where("split = 'train'")
@@ -333,11 +338,15 @@ def test_model_drift_and_attribution(clean, trained):
     assert local.count() == 15 and local.agg(F.max("rank")).first()[0] == 3
     heat = {r["step"]: r["mean_risk"] for r in J.model_degradation_risk(clean, model, steps=(0, 4)).collect()}
     assert heat[0] != heat[4]
+    kept = H.all_scored(source.to_raw(clean), model).select("UDI", "`Torque [Nm]`").exceptAll(source.to_raw(clean).select("UDI", "`Torque [Nm]`"))
+    assert kept.count() == 0  # the model's scaling does not reach the rows
+    four = J.drifted_sensors(4)
+    own = model.transform(clean.withColumns(four)).select(vector_to_array("probability")[1].alias("p"))
+    assert heat[4] == pytest.approx(own.agg(F.avg("p")).first()[0], abs=1e-8)
     for made in (local, J.model_degradation_risk(clean, model, steps=(0, 2))):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(machine_id" not in plan
     # a row's contributions are its score less its score with one sensor at the mean
-    from pyspark.ml.functions import vector_to_array
     row = clean.orderBy("machine_id").limit(1)
 
     def risk(df):
