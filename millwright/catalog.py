@@ -598,10 +598,11 @@ def _comparison(spark: SparkSession, folder: str) -> DataFrame:
                   ("tuned forest", G.tuned_forest(G.random_search(train)), train)]
     scores = G.side_by_side([fitted(model, rows) for _, model, rows in candidates], val)
     of = {name: scores.select(F.col(f"score_{i}").alias("score"), "label") for i, (name, _, _) in enumerate(candidates)}
-    rows = [I.metrics_row(of[name], name, "val") for name in of]
+    # each row is written by a job of its own: one plan of all of them takes minutes to make
+    rows = [stage(I.metrics_row(of[name], name, "val"), "metrics") for name in of]
     best = I.threshold_for_precision(I.threshold_points(of["weighted forest"])).first()  # one row, or none
     if best:
-        rows.append(I.metrics_row(of["weighted forest"], "weighted forest, wanted precision", "val", best["threshold"]))
+        rows.append(stage(I.metrics_row(of["weighted forest"], "weighted forest, wanted precision", "val", best["threshold"]), "metrics"))
     return _rounded(I.compare_models(rows), MEASURES, 9)
 
 
