@@ -24,7 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,25 +70,30 @@ def looks_live(value: str) -> bool:
 
 
 SCANNED = "row long, doc_id long, owner string, repository string, spans array<struct<kind:int,start:int,end:int>>, found array<struct<hash:string,start:int,end:int,live:boolean>>"
+SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+FOUND = pa.list_(pa.struct([("hash", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("live", pa.bool_())]))
 
 
 def scan(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """One row per document with its base spans and candidate values, written once."""
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per document with its base spans and candidate values, written once.
+
+    Ids pass through as Arrow columns: in pandas a null beside them would make them doubles."""
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, values = [], []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 base = base_spans(text)
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b, _, _ in base])
                 places = sorted({(a, b) for _, _, _, a, b in base})
                 values.append([{"hash": hashlib.sha256(text[a:b].encode()).hexdigest()[:32], "start": a, "end": b, "live": looks_live(text[a:b])} for a, b in places])
-            yield batch[["row", "doc_id", "owner", "repository"]].assign(spans=spans, found=values)
+            carried = {name: batch.column(name) for name in ("row", "doc_id", "owner", "repository")}
+            yield pa.RecordBatch.from_pydict({**carried, "spans": pa.array(spans, SPANS), "found": pa.array(values, FOUND)})
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(owner.cast("string"), F.lit("")).alias("owner"), F.coalesce(repository.cast("string"), F.lit("")).alias("repository"), whole_text().alias("text"),
     )
-    return stored(rows.mapInPandas(look, SCANNED), "candidates")[0]
+    return stored(rows.mapInArrow(look, SCANNED), "candidates")[0]
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
@@ -118,6 +123,11 @@ def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Colum
     )
 
 
+def n_of_kind(spans: Column, kind: str) -> Column:
+    """How many spans are of a kind; the function takes one argument, as Spark gives a second one the place in the array."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind)))
+
+
 def span_list(spans: Column) -> Column:
     """Spans as kind:start:end by start, then kind, comma-joined."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
