@@ -281,6 +281,12 @@ def test_models_are_fitted_once(spark, trained, monkeypatch):
     assert both.where("score_0 != score_1").count() == 0 and both.count() == parts["val"].count()
 
 
+def test_digest_of_many_rows(spark):
+    """The sums of a digest hold more rows than 64 bits do."""
+    rows = spark.range(25_000_000)
+    assert model_store.rows_digest(rows).startswith("25000000-")
+
+
 def test_search_and_importance(spark, trained):
     _, parts = trained
     space = {"numTrees": [3, 5], "maxDepth": [2, 3]}
