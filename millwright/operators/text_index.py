@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.operators.evaluation import ranked_within
-from millwright.session import scratch_path, stage
+from millwright.session import remove, scratch_path, stage
 
 KEY = ["doc_id", "chunk_id"]
 #: Rows of a few numbers that may go to every task.
@@ -67,11 +67,14 @@ class TextIndex:
         """The index of ``chunks`` (doc_id, chunk_id, chunk), written under ``path``."""
         spark = chunks.sparkSession
         place = path or scratch_path(spark, "text-index")
-        held = chunks.select(*KEY, terms(F.col("chunk")).alias("words")).select(*KEY, F.size("words").alias("size"), F.explode("words").alias("term"))
-        counts = stage(held.groupBy(*KEY, "size", "term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
+        # whole chunks are shuffled by their key, so that the many more rows of their terms need no shuffle to be counted
+        held = chunks.repartition(*KEY).select(*KEY, terms(F.col("chunk")).alias("words")).select(*KEY, F.size("words").alias("size"), F.explode("words").alias("term"))
+        held.groupBy(*KEY, "size", "term").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{place}/counts")
+        counts = spark.read.parquet(f"{place}/counts")
         n, mean = _sizes(counts.select(*KEY, "size").distinct())
         shares = counts.select("term", *KEY, _share(F.col("n"), F.col("size"), mean).alias("share"))
         shares.repartitionByRange("term", *KEY).sortWithinPartitions("term", *KEY).write.parquet(f"{place}/postings")
+        remove(spark, f"{place}/counts")
         listed = spark.read.parquet(f"{place}/postings").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("share").alias("top"))
         listed.select("term", "df", _idf(n, F.col("df")).alias("idf"), "top").sortWithinPartitions("term").write.parquet(f"{place}/terms")
         return cls.load(spark, place)
@@ -91,8 +94,15 @@ class TextIndex:
         return weighed.withColumns({"rest": rest, "all": F.sum("bound").over(whole)})
 
     def _lists(self, wanted: DataFrame) -> DataFrame:
-        """(question, doc_id, chunk_id, part) over whole lists of the ``wanted`` (question, term, weight)."""
-        hits = self.postings.join(_few(wanted), "term")
+        """(question, doc_id, chunk_id, part) over whole lists of the ``wanted`` (question, term, weight).
+
+        For a few wanted rows each posting is shuffled once, by its text, and not once for each question that asks for its
+        term; the sums over a text then need no shuffle.
+        """
+        hits = self.postings.join(wanted, "term")
+        if wanted.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+            asked = self.postings.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
+            hits = asked.repartition(*KEY).join(F.broadcast(wanted), "term")
         return hits.groupBy("question", *KEY).agg(F.sum(F.col("weight") * F.col("share")).alias("part"))
 
     def search(self, questions: DataFrame, k: int = 3, question_id: str = "query_id", text: str = "text") -> DataFrame:

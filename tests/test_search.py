@@ -17,6 +17,7 @@ from millwright.operators import retrieval as L
 from millwright.operators import text_index, vector_index
 from millwright.operators.text_index import TextIndex
 from millwright.operators.vector_index import PivotIndex
+from millwright.session import names_in
 
 
 # ---- pivot index
@@ -219,3 +220,16 @@ def test_exact_mean_does_not_depend_on_order(spark):
     tie = spark.createDataFrame([(0.000001,), (0.0,)], "x double")
     assert tie.agg(C.exact_mean("x", 6)).first()[0] == 0.000001
     assert rows.limit(0).agg(C.exact_mean("x", 6)).first()[0] is None
+
+
+def test_text_index_shuffles_chunks_and_postings_once(spark):
+    """Terms are counted, and questions' parts summed, where the rows of a text already lie together."""
+    chunks = spark.createDataFrame([(n, 0, f"wear of tool {n % 3} and tool") for n in range(20)] + [(3, 0, "wear of tool 0 and tool")], "doc_id long, chunk_id int, chunk string")
+    index = TextIndex.build(chunks)
+    assert not names_in(spark, index.postings.inputFiles()[0].rsplit("/postings/", 1)[0] + "/counts")
+    wanted = spark.createDataFrame([(q, "tool", 2) for q in range(5)] + [(0, "0", 1)], "question int, term string, weight long")
+    lists = index._lists(wanted)
+    got = {(r["question"], r["doc_id"]): r["part"] for r in lists.collect()}
+    share = {(r["term"], r["doc_id"]): r["share"] for r in index.postings.collect()}
+    assert got == {(q, d): 2 * share["tool", d] + (share.get(("0", d), 0) if q == 0 else 0) for q in range(5) for d in range(20)}
+    assert "hashpartitioning(question" not in lists._jdf.queryExecution().executedPlan().toString()
