@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millwright import constants as K
 from millwright.functions.columns import centi, greatest_or_null, half_up_mean, percent
 from millwright.operators.modelling import FleetTables, is_overall
+from millwright.session import stage
 from millwright.plans.ordering import (
     ntile,
     percent_rank,
@@ -150,9 +151,13 @@ def multi_mode_machines(t: FleetTables) -> DataFrame:
 
 
 def maintenance_sequence(t: FleetTables) -> DataFrame:
-    """Maintenance events numbered per machine, with the wear since the event before."""
+    """Maintenance events numbered per machine, with the wear since the event before.
+
+    The events are written once where they are made from wide rows, as three steps read them.
+    """
+    events = t.maintenance_events.select("machine_id", "maintenance_id", "maintenance_type", "tool_wear_at_event")
     numbered = sequence_by_key(
-        t.maintenance_events.select("machine_id", "maintenance_id", "maintenance_type", "tool_wear_at_event"),
+        events if t.source is None else stage(events, "maintenance"),
         "machine_id", "maintenance_id", "tool_wear_at_event", "maint_sequence", "prev_tool_wear",
     )
     return numbered.select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millwright import constants as K
 from millwright.functions.columns import one_hot, type_from_dummies, wear_bucket
 from millwright.plans.ordering import dense_index
+from millwright.session import stage
 from millwright.sources import schemas as S
 
 
@@ -61,8 +62,11 @@ def melt_failures(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def failure_events(clean: DataFrame) -> DataFrame:
-    """Melted events numbered 1..n in reading order, then mode order."""
-    numbered = dense_index(melt_failures(clean), "reading_id", ["mode_order"], "event_id")
+    """Melted events numbered 1..n in reading order, then mode order.
+
+    The melted rows are written once, as three jobs read them to number them.
+    """
+    numbered = dense_index(stage(melt_failures(clean), "melted"), "reading_id", ["mode_order"], "event_id")
     return numbered.select("event_id", "reading_id", "machine_id", "failure_mode_code", "is_overall_failure")
 
 
@@ -113,11 +117,7 @@ class FleetTables:
 
     @classmethod
     def from_observations(cls, clean: DataFrame) -> FleetTables:
-        spark = clean.sparkSession
-        readings = sensor_readings(clean)
-        events = failure_events(clean)
-        return cls(machine_type(spark), machines(clean), readings, failure_mode(spark), events,
-                   maintenance_events(events, readings), clean)
+        return ObservedTables(clean)
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str, but: Sequence[str] = ()) -> FleetTables:
@@ -161,5 +161,23 @@ class FleetTables:
         return df.join(F.broadcast(self.machine_type.select("type_code", *names)), "type_code")
 
 
+class ObservedTables(FleetTables):
+    """The six tables cut from wide rows. Events are numbered when they are first asked for, as that runs jobs."""
+
+    def __init__(self, clean: DataFrame):
+        spark = clean.sparkSession
+        self.machine_type, self.failure_mode = machine_type(spark), failure_mode(spark)
+        self.machines, self.sensor_readings = machines(clean), sensor_readings(clean)
+        self.source = clean
+
+    @cached_property
+    def failure_events(self) -> DataFrame:
+        return failure_events(self.source)
+
+    @cached_property
+    def maintenance_events(self) -> DataFrame:
+        return maintenance_events(self.failure_events, self.sensor_readings)
+
+
 def is_overall(column: str = "is_overall_failure") -> Column:
     return F.col(column) == 1

@@ -122,6 +122,33 @@ def test_lines_are_numbered_only_for_ids(spark, small):
         assert ("row_number() windowspecdefinition(l_orderkey" in plan) == numbered, name
 
 
+def test_events_are_numbered_only_when_asked_for(spark, small, monkeypatch):
+    """Cutting the tables runs no job, and a query that counts events by mode numbers neither lines nor events."""
+    from millwright.operators import modelling
+
+    monkeypatch.setattr(modelling, "failure_events", None)
+    for name in ("c04_failure_mode", "q07_multi_mode_repeated", "q06_wear_quartile_failures"):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_linenumber" not in plan if name.startswith("q06") else "row_number" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["f12_standardised", "f18_aligned", "f19_display_names", "g05_class_weights", "j03_attributions"])
+def test_split_rows_number_their_lines_once(spark, small, name, monkeypatch):
+    calls = []
+    number = source.number_lines
+    monkeypatch.setattr(source, "number_lines", lambda lines: calls.append(1) or number(lines))
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(calls) == 1 and "l_linenumber" not in plan  # the numbered lines are read back
+
+
+def test_maintenance_events_keep_what_the_stored_tables_give(spark, small):
+    observed = FleetTables.from_observations(source.repeated_observations(spark, small, stored=True))
+    plain = FleetTables.from_observations(source.repeated_observations(spark, small))
+    columns = ["maintenance_id", "machine_id", "event_id", "tool_wear_at_event", "notes"]
+    assert sorted(observed.maintenance_events.select(columns).collect()) == sorted(plain.maintenance_events.select(columns).collect())
+    assert list(observed.named()) == list(TABLES)
+
+
 def test_etl_from_csv(spark, clean, tmp_path):
     from millwright.operators.etl import run_etl
 
