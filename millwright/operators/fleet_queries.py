@@ -24,18 +24,25 @@ def _rounded(column: Column) -> Column:
 
 
 def failure_rate_by_type(t: FleetTables) -> DataFrame:
-    """Readings and failures per type, failure rate, share of all failures."""
+    """Readings and failures per type, failure rate, share of all failures.
+
+    Stored readings are counted per machine before they meet its type, so that they are shuffled once.
+    """
     failed = t.melted.where(is_overall()).select("reading_id").distinct().withColumn("failed", F.lit(1))
-    facts = t.reading_facts.select("reading_id", "type_code").join(failed, "reading_id", "left")
-    per_type = facts.groupBy("type_code").agg(
+    wide = t.source is not None
+    readings = (t.source if wide else t.sensor_readings).select("reading_id", "type_code" if wide else "machine_id")
+    counts = readings.join(failed, "reading_id", "left").groupBy(readings.columns[1]).agg(
         F.count(F.lit(1)).alias("machine_count"), F.count("failed").alias("failures")
     )
+    per_type = counts if wide else counts.join(t.machines.select("machine_id", "type_code"), "machine_id").groupBy("type_code").agg(
+        F.sum("machine_count").alias("machine_count"), F.sum("failures").alias("failures")
+    )
     everything = Window.partitionBy()  # three rows
     return t.typed(per_type, "type_name").select(
         "type_name", "machine_count", "failures",
         percent("failures", "machine_count").alias("failure_rate_pct"),
         percent(F.col("failures"), F.sum("failures").over(everything)).alias("pct_of_all_failures"),
-    )
+    ).orderBy("type_name")
 
 
 def torque_rank(t: FleetTables, limit: int | None = 30) -> DataFrame:
@@ -113,8 +120,12 @@ def failure_mode_pareto(t: FleetTables) -> DataFrame:
 
 
 def wear_quartiles(t: FleetTables) -> DataFrame:
-    """Every reading with its wear quartile (NTILE) within type."""
+    """Every reading with its wear quartile (NTILE) within type.
+
+    Stored tables are joined once and the rows written, as three steps read them.
+    """
     facts = t.reading_facts.select("reading_id", "machine_id", "type_code", "tool_wear_min")
+    facts = stage(facts, "facts") if t.source is None else facts
     placed = positions(facts, ["type_code"], "tool_wear_min", "reading_id")
     return placed.withColumn("wear_quartile", ntile(F.col("_pos"), F.col("_total"), 4)).drop("_pos", "_total")
 
