@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millwright.operators.modelling import FleetTables, failure_events, maintenance_events
+from millwright.operators.modelling import FleetTables, failure_events, maintenance_records
 from millwright.operators.quality import clean_observations, foreign_key_report, unique_key_report
 from millwright.sources.readers import good_lines, read_raw
-from millwright.session import remove
+from millwright.session import remove, stage
 from millwright.sources.schemas import FOREIGN_KEYS, UNIQUE_KEYS
 from millwright.sources.versions import current, new_version, publish
 from millwright.sources.writers import write_flat, write_table
@@ -31,8 +32,8 @@ def check_tables(tables: FleetTables) -> None:
 def refresh_fleet(clean: DataFrame, folder: str) -> FleetTables:
     """Write the flat file and all six tables as a new version, check keys and references there, and publish it.
 
-    The expensive steps run once: the tables read the flat file, the maintenance log reads the
-    stored events with their keys. Readers see all tables of the version before or all of this one.
+    The expensive steps run once: the tables read the flat file, and the numbered events carry their reading's wear
+    to the maintenance log, as reading ids are checked to be unique. Readers see all tables of the version before or all of this one.
     """
     spark = clean.sparkSession
     version = new_version(folder)
@@ -42,9 +43,10 @@ def refresh_fleet(clean: DataFrame, folder: str) -> FleetTables:
         tables = FleetTables.from_observations(stored)
         for name in ("machine_type", "machines", "sensor_readings", "failure_mode"):
             write_table(name, getattr(tables, name), version)
-        write_table("failure_events", failure_events(stored), version)
-        loaded = FleetTables.load(spark, version, but=("maintenance_events",))
-        write_table("maintenance_events", maintenance_events(loaded.failure_events, loaded.sensor_readings), version)
+        events = stage(failure_events(stored, ["tool_wear_min"]), "events")
+        write_table("failure_events", events, version)
+        known = F.when(F.col("reading_id").isNotNull(), F.col("tool_wear_min"))  # no reading is found without an id
+        write_table("maintenance_events", maintenance_records(events.withColumn("tool_wear_min", known)), version)
         written = FleetTables.load(spark, version)
         check_tables(written)
     except Exception:

@@ -61,19 +61,23 @@ def melt_failures(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
                          "_event.mode_order", *keep)
 
 
-def failure_events(clean: DataFrame) -> DataFrame:
-    """Melted events numbered 1..n in reading order, then mode order.
+def failure_events(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Melted events numbered 1..n in reading order, then mode order, with the ``keep`` columns of their reading.
 
     The melted rows are written once, as three jobs read them to number them.
     """
-    numbered = dense_index(stage(melt_failures(clean), "melted"), "reading_id", ["mode_order"], "event_id")
-    return numbered.select("event_id", "reading_id", "machine_id", "failure_mode_code", "is_overall_failure")
+    numbered = dense_index(stage(melt_failures(clean, keep), "melted"), "reading_id", ["mode_order"], "event_id")
+    return numbered.select("event_id", "reading_id", "machine_id", "failure_mode_code", "is_overall_failure", *keep)
 
 
 def maintenance_events(events: DataFrame, readings: DataFrame) -> DataFrame:
     """One corrective record per failure event, with the reading's wear (0 when the reading is unknown)."""
-    wear = readings.select("reading_id", "tool_wear_min")
-    return events.join(wear, "reading_id", "left").select(
+    return maintenance_records(events.join(readings.select("reading_id", "tool_wear_min"), "reading_id", "left"))
+
+
+def maintenance_records(events: DataFrame) -> DataFrame:
+    """The records of events that carry their reading's ``tool_wear_min``."""
+    return events.select(
         F.col("event_id").alias("maintenance_id"),
         "machine_id",
         "event_id",

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 200_000
 CUT_BITS = 11  # values are cut into at most 2**CUT_BITS blocks
 HALO_BITS = 14
+TASK_ROWS = 1_500_000
 
 
 def _running_before(value: str, window) -> Column:
@@ -31,8 +32,17 @@ def _running_before(value: str, window) -> Column:
     return F.sum(value).over(window) - F.col(value)
 
 
-def _blocked(df: DataFrame, value: str, rows: int, by: Sequence[str] = ()) -> DataFrame:
-    """``df`` with ``_block``, ascending in ``value`` inside ``by``.
+def in_bounded_tasks(df: DataFrame, n_rows: int, *keys: str) -> DataFrame:
+    """``df`` of ``n_rows`` dealt by ``keys``, so that a task sorts about ``TASK_ROWS`` rows at most and need not spill.
+
+    Left as it is where the session's own number of partitions does that.
+    """
+    wanted = -(-n_rows // TASK_ROWS)
+    return df.repartition(wanted, *keys) if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
+def _blocked(df: DataFrame, value: str, rows: int, by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """``df`` with ``_block``, ascending in ``value`` inside ``by``, and its number of rows with a value.
 
     One aggregate brings the count and the values at even shares of the rows to the driver: fewer
     than ``2**CUT_BITS`` numbers for each of the few ``by``. Values are placed as doubles; where two
@@ -54,12 +64,13 @@ def _blocked(df: DataFrame, value: str, rows: int, by: Sequence[str] = ()) -> Da
     if not own:  # few rows: two blocks, cut at zero, as a constant block would turn joins on it into cross joins
         placed = Bucketizer(splits=[-math.inf, 0.0, math.inf], inputCol="_value", outputCol="_in0", handleInvalid="keep").transform(placed)
         own.append(F.col("_in0").cast("int"))
-    return placed.withColumn("_block", F.coalesce(*own, F.lit(0))).drop("_value", *[f"_in{i}" for i in range(max(1, len(found)))])
+    located = placed.withColumn("_block", F.coalesce(*own, F.lit(0))).drop("_value", *[f"_in{i}" for i in range(max(1, len(found)))])
+    return located, sum(row["_n"] for row in found)
 
 
 def id_blocks(df: DataFrame, uid: str, rows: int = BLOCK_ROWS) -> DataFrame:
     """``df`` with ``_block``: ranges of ids of about ``rows`` rows each, ascending."""
-    return _blocked(df, uid, rows)
+    return _blocked(df, uid, rows)[0]
 
 
 def dense_index(df: DataFrame, uid: str, order: Sequence[str], name: str, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -85,7 +96,7 @@ def positions(df: DataFrame, by: Sequence[str], key: str, uid: str, position: st
     one row per distinct key of a group, the next one row per id block of a (group, key).
     """
     by = list(by)
-    blocked = id_blocks(df, uid, rows)
+    blocked, n = _blocked(df, uid, rows)
     sizes = blocked.groupBy(*by, key, "_block").agg(F.count(F.lit(1)).alias("_n"))
     in_key = Window.partitionBy(*by, key)
     sizes = sizes.select(
@@ -104,7 +115,7 @@ def positions(df: DataFrame, by: Sequence[str], key: str, uid: str, position: st
         *by, key, "_block", (F.col("_key_start") + F.col("_block_start")).alias("_start"), total
     )
     inside = Window.partitionBy(*by, key, "_block").orderBy(uid)
-    numbered = blocked.withColumn("_row", F.row_number().over(inside))
+    numbered = in_bounded_tasks(blocked, n, *by, key, "_block").withColumn("_row", F.row_number().over(inside))
     return numbered.join(starts, [*by, key, "_block"]).withColumn(
         position, F.col("_start") + F.col("_row")
     ).drop("_block", "_row", "_start")
@@ -154,7 +165,7 @@ def cumulate(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str],
     if bounded:
         ordered = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.sum(s).over(ordered) for c, s in zip(running, sums)})
-    located = _blocked(df, value, rows, by)
+    located, _ = _blocked(df, value, rows, by)
     totals = located.groupBy(*by, "_block").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     across = Window.partitionBy(*by).orderBy("_block")
     starts = totals.select(*by, "_block", *[_running_before(f"_t_{s}", across).alias(f"_s_{s}") for s in sums])

@@ -5,8 +5,8 @@ set; integers until the last step keep every engine's result bit-equal.
 
 All values of an observation come from its own line, so that a query which needs no id needs no order
 of lines either. An observation's id is its order's key and its place among the order's lines, in the order of the
-whole line; ``(l_orderkey, l_linenumber)`` is not unique in the delivered tables. Only lines equal in
-every column could swap places, which changes nothing.
+values it is made of; ``(l_orderkey, l_linenumber)`` is not unique in the delivered tables. Only lines equal in
+all these could swap places, which changes nothing.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millwright.constants import CLEAN_TO_RAW, MODES
+from millwright.plans.ordering import in_bounded_tasks
 from millwright.session import stage
 
 #: Ids leave room for this many lines in an order.
 LINES_PER_ORDER = 1_000_000
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-              "l_returnflag", "l_linestatus", "l_shipdate"]
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINE_VALUES = {
     "p": "l_partkey",
     "s": "l_suppkey",
@@ -66,7 +66,11 @@ COLUMNS = [
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """(udi, p, s, disc, tax, qty, cents) of every line, numbered inside its order."""
+    """(udi, p, s, disc, tax, qty, cents) of every line, numbered inside its order.
+
+    The lines are counted first, as tasks of too many rows would spill their sort.
+    """
+    lines = in_bounded_tasks(lines.select("l_orderkey", *LINE_ORDER), lines.count(), "l_orderkey")
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)) - 1
     udi = F.col("l_orderkey") * LINES_PER_ORDER + place
     return lines.select(udi.alias("udi"), *[F.col(column).alias(name) for name, column in LINE_VALUES.items()])

@@ -187,6 +187,52 @@ def test_many_lines_in_an_order(spark):
     assert source.number_lines(lines).select("udi").distinct().count() == 1200
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_numbered_in_bounded_tasks(spark, monkeypatch):
+    """However few partitions a session has, no task sorts more rows than it should, and no column that no value needs."""
+    from millwright.plans import ordering
+
+    row = "id DIV 3 l_orderkey, CAST(id % 2 AS INT) l_linenumber, id % 5 l_partkey, 0L l_suppkey, 1D l_quantity, 2D l_extendedprice, 0D l_discount"
+    lines = spark.sql(f"SELECT {row}, 0D l_tax, 'A' l_returnflag, 'F' l_linestatus, DATE'2020-01-01' l_shipdate FROM range(1200)")
+    whole = source.number_lines(lines)
+    monkeypatch.setattr(ordering, "TASK_ROWS", 100)
+    bounded = source.number_lines(lines)
+    assert bounded.rdd.getNumPartitions() == 12 and "l_shipdate" not in bounded._jdf.queryExecution().executedPlan().toString()
+    assert bounded.exceptAll(whole).count() == 0 and whole.exceptAll(bounded).count() == 0
+
+
+def test_the_maintenance_log_of_a_refresh_joins_nothing(spark, rows, tmp_path, monkeypatch):
+    from millwright.operators import etl
+    from millwright.operators.modelling import maintenance_events
+
+    clean = rows(dict(TWF=1, machine_failure=1, tool_wear_min=7), dict(), dict(machine_failure=1, HDF=1, PWF=1, tool_wear_min=9),
+                 dict(machine_id=None, product_id="M0", OSF=1, tool_wear_min=5), dict(OSF=1, tool_wear_min=None))
+    plans, whole = {}, etl.write_table
+    monkeypatch.setattr(etl, "write_table", lambda name, df, path: plans.update({name: _plan(df)}) or whole(name, df, path))
+    stored = etl.refresh_fleet(clean, str(tmp_path / "fleet"))
+    assert "Join" not in plans["maintenance_events"]
+    wanted = maintenance_events(stored.failure_events, stored.sensor_readings)  # by a join
+    assert stored.maintenance_events.count() == 5 and stored.maintenance_events.exceptAll(wanted).count() == 0
+
+
+def test_stored_readings_meet_their_machines_once(spark, clean, tmp_path):
+    """Failure rates count readings per machine before the join; wear quartiles read the joined rows back."""
+    from millwright.operators import etl
+
+    stored = etl.refresh_fleet(clean.withColumn("machine_id", F.col("machine_id") % 9).drop("product_id", "type_code").selectExpr(
+        "*", "concat('M', 10000 + machine_id) AS product_id", "'M' AS type_code"), str(tmp_path / "fleet"))
+    rates = Q.failure_rate_by_type(stored)
+    assert "Aggregate [machine_id" in _plan(rates)
+    assert [r["machine_count"] for r in rates.collect()] == [clean.count()]
+    assert [r["failures"] for r in rates.collect()] == [clean.where("machine_failure = 1").count()]
+    quartiles = Q.wear_quartiles(stored)
+    assert not any("/machines/" in name for name in quartiles.inputFiles())
+    assert quartiles.count() == clean.count()
+
+
 # ---- streaming
 
 def test_replay_equals_batch_and_restarts(spark, small, tmp_path):
