@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from millwright import catalog
@@ -233,6 +234,16 @@ def test_stored_readings_meet_their_machines_once(spark, clean, tmp_path):
     assert quartiles.count() == clean.count()
 
 
+def test_forests_keep_node_ids_and_grow_the_same_trees(spark):
+    tuned = G.tuned_forest(SearchResult([{"numTrees": 3}], [0.5], [0.0]))
+    for forest in (G.random_forest(), G.random_forest(weight="weight"), tuned, G.mode_classifier().getStages()[2]):
+        assert forest.getCacheNodeIds()
+    rows = spark.range(400).selectExpr("id % 7 AS a", "id % 11 AS b", "IF(id % 7 > 3 AND id % 11 > 4, 1, 0) AS machine_failure")
+    train = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).coalesce(1)
+    kept, walked = (G.random_forest(5, 4).setCacheNodeIds(c).fit(train).toDebugString.split("\n", 1)[1] for c in (True, False))
+    assert kept == walked
+
+
 # ---- streaming
 
 def test_replay_equals_batch_and_restarts(spark, small, tmp_path):
