@@ -12,6 +12,7 @@ from millwright import constants as K
 from millwright.functions import columns as C
 from millwright.functions.columns import rule_score
 from millwright.functions.significance import kolmogorov_tail
+from millwright.operators.scoring import Scorer as ModelScorer
 from millwright.operators.scoring import scored_beside
 from millwright.plans.ordering import cumulate
 from millwright.session import stage
@@ -76,12 +77,18 @@ def degradation_risk(clean: DataFrame, steps: Sequence[int] = (0, 1, 2, 3, 4), s
 
 
 def model_degradation_risk(clean: DataFrame, model, steps: Sequence[int] = (0, 1, 2, 3, 4), seed: int = K.SEED) -> DataFrame:
-    """The same with a fitted pipeline as scorer; features are derived from the drifted raw sensors, all steps in one pass."""
-    scored = clean
-    for step in steps:
-        scored = scored_beside(scored, model, drifted_sensors(step, seed), f"_risk_{step}")
-    averages = [F.struct(F.lit(s).alias("step"), C.exact_mean(f"_risk_{s}", 9).alias("mean_risk")).alias(f"_{s}") for s in steps]
-    return scored.agg(*averages).select(F.inline(F.array(*[F.col(f"_{s}") for s in steps])))
+    """The same with a fitted pipeline as scorer; features are derived from the drifted raw sensors, all steps in one pass.
+
+    A row is repeated inside its task, once per step, so that its score is compiled once and not once per step.
+    """
+    drifted = [drifted_sensors(step, seed) for step in steps]
+    moved = sorted({name for sensors in drifted for name in sensors})
+    readings = [F.struct(F.lit(i).alias("_step"), *[sensors.get(n, F.col(n)).cast("double").alias(n) for n in moved]) for i, sensors in enumerate(drifted)]
+    repeated = clean.withColumn("_at", F.explode(F.array(*readings))).withColumns({n: F.col(f"_at.{n}") for n in [*moved, "_step"]}).drop("_at")
+    scored = scored_beside(repeated, model, {}, "_risk")
+    averages = [F.struct(F.lit(s).alias("step"), C.exact_mean(F.when(F.col("_step") == i, F.col("_risk")), 9).alias("mean_risk")).alias(f"_{i}")
+                for i, s in enumerate(steps)]
+    return scored.agg(*averages).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(steps))])))
 
 
 def reference_means(train: DataFrame, features: Sequence[str] = K.SENSORS) -> DataFrame:
@@ -117,9 +124,10 @@ def model_attributions(df: DataFrame, model, means: Mapping[str, float], top: in
     All scores of a row are made in the row, so nothing is shuffled.
     """
     names = list(means)
-    scored = scored_beside(df, model, {}, "_base")
+    scorer = ModelScorer(model)
+    scored = scored_beside(df, scorer, {}, "_base")
     for name in names:
-        scored = scored_beside(scored, model, {name: F.lit(float(means[name]))}, f"_without_{name}")
+        scored = scored_beside(scored, scorer, {name: F.lit(float(means[name]))}, f"_without_{name}")
     gap = {n: F.round(F.col("_base") - F.col(f"_without_{n}"), 9) for n in names}
     parts = F.array_sort(F.array(*[
         F.struct((-F.abs(gap[n])).alias("key"), F.lit(i).alias("place"), F.lit(n).alias("feature"), gap[n].alias("contribution")) for i, n in enumerate(names)]))

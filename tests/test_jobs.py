@@ -598,3 +598,57 @@ def test_training_queries_do_the_whole_job(spark, monkeypatch):
     assert [m.getMaxIter() for m in trained if hasattr(m, "getMaxIter")][1:] == [1000, 300, 120]
     assert [m.getNumTrees() for m in trained if hasattr(m, "getNumTrees")] == [300, 300, found.best["numTrees"]]
     assert searches == [((), {})] * 2 and len(found.draws) == 40
+
+
+def test_trees_are_scored_as_expressions(spark, rows):
+    """The same risks as by the fitted pipeline, without vectors or a join, for missing sensors and unknown types too."""
+    from pyspark.ml.functions import vector_to_array
+
+    from millwright.operators import drift as J
+
+    ordinary = [{"machine_id": i, "type_code": "LMH"[i % 3], "torque_nm": float(10 + i * 7 % 60), "tool_wear_min": i * 13 % 253,
+                 "air_temperature_k": 295 + i % 9 / 2, "machine_failure": int(i * 7 % 60 > 40 and i * 13 % 253 > 100)} for i in range(1, 300)]
+    odd = [{"type_code": "X"}, {"type_code": None, "product_id": "p"}, {"torque_nm": None}, {"torque_nm": 0.0}, {"tool_wear_min": None}, {"air_temperature_k": float("nan")},
+           {"rotational_speed_rpm": None, "machine_failure": None}]
+    clean = rows(*ordinary, *odd)
+    inner = Pipeline(stages=[*G.preparation(), G.decision_tree()])
+    model = Pipeline(stages=[inner]).fit(clean.where("machine_id <= 299 AND torque_nm > 0 AND air_temperature_k < 400"))  # as the store keeps it
+    assert model.stages[0].stages[-1].numNodes >= 5
+    risks = H.scored_beside(clean, model, {}, "risk")
+    plan = _plan(risks)
+    assert "UDF" not in plan and "Join" not in plan
+    own = model.transform(clean.withColumn("sensor", F.col("torque_nm"))).select("machine_id", "sensor", vector_to_array("probability")[1].alias("risk"))
+    got = risks.select("machine_id", F.col("torque_nm").alias("sensor"), "risk")
+    assert got.count() == own.count() and got.exceptAll(own).count() == 0
+    assert "UDF" not in _plan(J.model_attributions(clean, model, {"torque_nm": 40.0}))
+    logistic = Pipeline(stages=[*G.preparation(), G.logistic_baseline(5)]).fit(clean.where("machine_id <= 250 AND machine_failure >= 0"))
+    assert H.scored_beside(clean, logistic, {}, "risk").where("risk BETWEEN 0 AND 1").count() > 0  # any other model by its own transform
+
+
+def test_groups_beyond_literals_are_joined(spark):
+    from millwright.operators import transformers as T
+
+    df = spark.createDataFrame([(f"g{i % 60}", float(i)) for i in range(240)] + [(None, 3.0), ("new", 4.0)], "g string, v double")
+    many = T.GroupedZScorer("v", "g", "z").fit(df.where("g <> 'new'"))
+    few = T.GroupedZScorer("v", "g", "z").fit(df.where("g <> 'new' AND g < 'g3'"))
+    assert len(many.getOrDefault("groups")) > T.FEW_GROUPS >= len(few.getOrDefault("groups"))
+    assert "Join" in _plan(many.transform(df)) and "Join" not in _plan(few.transform(df))
+    shared = df.where("g IS NULL OR g = 'new' OR g < 'g3'")
+    for model in (many, few):
+        stats = {g: (m, s) for g, m, s in zip(*(model.getOrDefault(n) for n in ("groups", "means", "stds")))}
+        overall = tuple(model.getOrDefault("overall"))
+        for r in model.transform(shared).collect():
+            mean, std = stats.get(r["g"], overall)
+            assert r["z"] == pytest.approx((r["v"] - mean) / std)
+
+
+def test_degradation_scores_a_row_by_one_expression(spark, clean):
+    """Each step's mean is that of the drifted rows scored alone; the model is compiled once; a fleet without rows keeps its steps."""
+    from millwright.operators import drift as J
+
+    model = Pipeline(stages=[*G.preparation(), G.decision_tree(3)]).fit(X.split_fleet(clean).where("split = 'train'"))
+    made = J.model_degradation_risk(clean, model, steps=(0, 1, 3, 3))
+    alone = {s: H.scored_beside(clean, model, J.drifted_sensors(s), "p").agg(F.avg("p")).first()[0] for s in (0, 1, 3)}
+    assert [(r["step"], r["mean_risk"]) for r in made.collect()] == [(s, pytest.approx(alone[s], abs=1e-8)) for s in (0, 1, 3, 3)]
+    assert "UDF" not in _plan(made) and "Generate explode" in _plan(made)
+    assert [tuple(r) for r in J.model_degradation_risk(clean.limit(0), model, steps=(0, 2)).collect()] == [(0, None), (2, None)]
