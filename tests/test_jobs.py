@@ -652,3 +652,20 @@ def test_degradation_scores_a_row_by_one_expression(spark, clean):
     assert [(r["step"], r["mean_risk"]) for r in made.collect()] == [(s, pytest.approx(alone[s], abs=1e-8)) for s in (0, 1, 3, 3)]
     assert "UDF" not in _plan(made) and "Generate explode" in _plan(made)
     assert [tuple(r) for r in J.model_degradation_risk(clean.limit(0), model, steps=(0, 2)).collect()] == [(0, None), (2, None)]
+
+
+def test_weights_leave_rows_in_their_tasks(spark):
+    """Dealt by label, two classes would fill two tasks; each row takes its class's weight, a row without a label none."""
+    df = spark.createDataFrame([(i, None if i == 5 else int(i % 10 == 0)) for i in range(200)], "machine_id long, machine_failure int").repartition(4)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a large fleet is under no threshold
+    try:
+        weighed = G.with_weights(df)
+        assert "hashpartitioning(machine_failure" not in weighed._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in weighed._jdf.queryExecution().executedPlan().toString()
+        got = {r["machine_id"]: r["weight"] for r in weighed.collect()}
+        tasks = weighed.select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert tasks == 4 and set(got) == set(range(200)) - {5}
+    assert got[0] == 200 / (3 * 20) and got[1] == 200 / (3 * 179)  # a missing label counts as a class of its own, as before
