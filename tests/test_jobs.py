@@ -669,3 +669,36 @@ def test_weights_leave_rows_in_their_tasks(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert tasks == 4 and set(got) == set(range(200)) - {5}
     assert got[0] == 200 / (3 * 20) and got[1] == 200 / (3 * 179)  # a missing label counts as a class of its own, as before
+
+
+def test_large_forests_grow_in_bounded_fits(spark, trained, monkeypatch, tmp_path):
+    """All trees, over all rows, joined to one forest that scores as the mean of its trees; a small one is a single fit."""
+    from pyspark.ml.functions import vector_to_array
+
+    import numpy as np
+
+    from millwright.operators import forests
+
+    assert forests.shares(300, 420_000) == [300]
+    assert sum(forests.shares(300, 25_200_000)) == 300 and max(forests.shares(300, 25_200_000)) * 25_200_000 <= forests.FOREST_CELLS
+    assert set(forests.shares(300, 10**12)) == {forests.LEAST_TREES} and forests.shares(7, 0) == [7]
+    _, parts = trained
+    sizes, own = [], forests.RandomForestClassifier._fit
+    monkeypatch.setattr(forests.RandomForestClassifier, "_fit", lambda self, rows: sizes.append((self.getNumTrees(), rows.count())) or own(self, rows))
+    train = G.with_weights(parts["train"])
+    n = train.count()
+    monkeypatch.setattr(forests, "FOREST_CELLS", 6 * n)
+    model = Pipeline(stages=[G.random_forest(16, 3, "weight")]).fit(train)
+    assert sizes == [(6, n), (5, n), (5, n)]
+    forest = model.stages[0]
+    assert forest.getNumTrees == 16 and forest.numClasses == 2 and forest.getOrDefault("weightCol") == "weight"
+    assert len({t.toDebugString.split("\n", 1)[1] for t in forest.trees}) > 8  # each fit draws for itself
+    assert abs(sum(forest.featureImportances.toArray()) - 1) < 1e-9
+    model.write().save(str(tmp_path / "forest"))
+    again = G.load_model(str(tmp_path / "forest"))
+    few = parts["val"].limit(20).cache()
+    got = [r[0] for r in again.transform(few).select(vector_to_array("probability")[1]).collect()]
+    vectors = [r["features"] for r in few.collect()]
+    assert got == pytest.approx([sum(t.predictProbability(v)[1] for t in forest.trees) / 16 for v in vectors])
+    cut = Trees.of(spark, forest)
+    assert list(cut.scores(np.stack([v.toArray() for v in vectors]), [(16, 3)])[:, 0]) == pytest.approx(got)
