@@ -6,7 +6,8 @@ that most texts hold is spread over many files and a search reads the row groups
 
 A search joins the rare half of each question's weight first. The k-th best sum so far is a bar: where
 all terms left could not lift a new text over it, they are only looked up for the texts that can still reach it;
-questions with a lower bar read all their lists. Results are exact either way.
+questions with a lower bar read all their lists at once, each text's sum complete in its task, and rank those that reach the bar.
+Results are exact either way.
 
 Scores are integers, so sums do not depend on their order. With n texts that hold a term, df of them this one, and
 a text of ``size`` terms where texts have ``mean`` on average: idf = floor(1000 * ln(1 + (n - df + 0.5) / (df + 0.5))), and a term's share
@@ -118,12 +119,14 @@ class TextIndex:
         later = stage(asked.where(~first).select("question", "term", "weight"), "later-terms")
         few = stage(near.join(_few(closed), "question").where(F.col("part") + F.col("left") >= F.col("bar")).select("question", *KEY, "part"), "candidates")
         looked_up = self.postings.join(_few(few.select("question", *KEY).join(_few(later), "question")), ["term", *KEY]).select("question", *KEY, (F.col("weight") * F.col("share")).alias("part"))
-        open_ones = stage(state.where(F.col("left") >= F.col("bar")).select("question"), "open-questions")
-        whole = few.union(looked_up).union(near.join(_few(open_ones), "question", "left_semi").select("question", *KEY, "part"))
-        rest = later.join(_few(open_ones), "question", "left_semi")
+        scores = few.union(looked_up).groupBy("question", *KEY).agg(F.sum("part").alias("score"))
+        # the k-th best sum is no less than the bar, so a text whose whole sum is below it leaves no task and is not sorted
+        open_ones = stage(state.where(F.col("left") >= F.col("bar")).select("question", "bar"), "open-questions")
+        rest = stage(asked.join(_few(open_ones.select("question")), "question", "left_semi").select("question", "term", "weight"), "open-terms")
         if rest.limit(1).count():
-            whole = whole.union(self._lists(stage(rest, "open-terms")).select("question", *KEY, "part"))
-        scores = whole.groupBy("question", *KEY).agg(F.sum("part").alias("score")).where("score > 0")
+            reached = self._lists(rest).join(_few(open_ones), "question").where(F.col("part") >= F.col("bar"))
+            scores = scores.union(reached.select("question", *KEY, F.col("part").alias("score")))
+        scores = scores.where("score > 0")
         ranked = ranked_within(scores, ["question"], [F.col("score").desc(), *[F.col(c) for c in KEY]], k)
         return ranked.select(F.col("question").alias(question_id), *KEY, "score", "rank")
 

@@ -233,3 +233,15 @@ def test_text_index_shuffles_chunks_and_postings_once(spark):
     share = {(r["term"], r["doc_id"]): r["share"] for r in index.postings.collect()}
     assert got == {(q, d): 2 * share["tool", d] + (share.get(("0", d), 0) if q == 0 else 0) for q in range(5) for d in range(20)}
     assert "hashpartitioning(question" not in lists._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_texts_that_reach_the_bar_are_ranked(spark, monkeypatch):
+    """Questions whose common terms could lift any text sum whole lists; sums below the k-th best so far are left where they are."""
+    rows = [(n, 0, f"the w{n % 40} a{n}" + " often" * (n % 7 == 0)) for n in range(400)]
+    questions = [(q, " ".join(f"w{10 * q + i}" for i in range(10)) + " often" * 16 + " the") for q in range(4)]
+    ranked, own = [], text_index.ranked_within
+    monkeypatch.setattr(text_index, "ranked_within", lambda df, *more: ranked.append(df.count()) or own(df, *more))
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk_id int, chunk string").repartition(4)
+    found = TextIndex.build(chunks).search(spark.createDataFrame(questions, "query_id long, text string"))
+    assert sorted(tuple(r[c] for c in ("query_id", "doc_id", "chunk_id", "score", "rank")) for r in found.collect()) == scored(rows, questions, 3)
+    assert 4 * 3 <= ranked[-1] < 4 * 200  # every text holds a term of every question
