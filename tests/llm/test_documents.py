@@ -752,3 +752,18 @@ def test_pages_of_unknown_language(prose):
     for wrapper in ("page", "page fixed-header"):
         page = f"<body><div class='{wrapper}'><ul>{menu}</ul><h1>{prose[:20]}</h1><p>{long}</p><p>{long}</p><footer>{long}</footer></div></body>"
         assert html_text.main_text(page).split("\n") == [prose[:20].strip(), long, long]
+
+
+def test_benchmark_blocks_are_taken_one_after_the_other(spark, monkeypatch):
+    """No plan sends more than one block of seeds out; the matches are those of a single block."""
+    docs = spark.createDataFrame([(n, " ".join(f"w{n}x{i}" for i in range(30))) for n in range(12)], "doc_id long, text string")
+    items = spark.createDataFrame([(n, " ".join(f"w{n}x{i}" for i in range(5, 25))) for n in range(6)], "item_id long, text string")
+    whole = sorted(map(tuple, decontamination.matches(docs, items).collect()))
+    assert {(r[0], r[2]) for r in whole} == {(n, n) for n in range(6)}
+    monkeypatch.setattr(decontamination, "BLOCK", 40)
+    written, own = [], decontamination.stored
+    monkeypatch.setattr(decontamination, "stored", lambda frame, purpose: written.append(frame._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")) or own(frame, purpose))
+    found = decontamination.matches(docs, items)
+    assert found._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 0
+    assert len(written) > 3 and max(written) == 1
+    assert sorted(map(tuple, found.collect())) == whole
